@@ -137,24 +137,27 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
     upto = wb.rowsBetween(Window.unboundedPreceding, 0)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
 
-    # --- 1. in-block running sums -------------------------------------------
+    # --- 1. in-block running sums (batched selects: one analysis each) ------
+    step1 = []
     for i, s in enumerate(specs):
         x = F.col(s.x)
-        d = (d.withColumn(f"_lc{i}", F.count(x).over(upto))
-             .withColumn(f"_pv{i}", F.last(F.when(x.isNotNull(), F.col(RN)), True).over(before)))
+        step1 += [F.count(x).over(upto).alias(f"_lc{i}"),
+                  F.last(F.when(x.isNotNull(), F.col(RN)), True).over(before).alias(f"_pv{i}")]
+    d = d.select("*", *step1)
+    step2 = []
     for i, s in enumerate(specs):
         x, a, la = F.col(s.x), float(s.alpha), _ln1m(s.alpha)
         inner = x.isNotNull() & F.col(f"_pv{i}").isNotNull()
         dd = (F.col(RN) - F.col(f"_pv{i}")).cast("double")
         o = F.exp(dd * F.lit(la))
-        d = (d.withColumn(f"_ln{i}", F.when(inner, dd * F.lit(la) - F.log(o + F.lit(a))).otherwise(F.lit(0.0)))
-             .withColumn(f"_bt{i}", F.when(inner, F.lit(a) * x / (o + F.lit(a))).otherwise(F.lit(0.0))))
-    for i in range(len(specs)):
-        d = d.withColumn(f"_cum{i}", F.sum(f"_ln{i}").over(upto))
-    for i in range(len(specs)):
-        d = d.withColumn(f"_acc{i}", F.sum(F.col(f"_bt{i}") * F.exp(-F.col(f"_cum{i}"))).over(upto))
-    for i in range(len(specs)):
-        d = d.withColumn(f"_loc{i}", F.exp(F.col(f"_cum{i}")) * F.col(f"_acc{i}")).drop(f"_acc{i}", f"_bt{i}", f"_ln{i}")
+        step2 += [F.when(inner, dd * F.lit(la) - F.log(o + F.lit(a))).otherwise(F.lit(0.0)).alias(f"_ln{i}"),
+                  F.when(inner, F.lit(a) * x / (o + F.lit(a))).otherwise(F.lit(0.0)).alias(f"_bt{i}")]
+    d = d.select("*", *step2)
+    d = d.select("*", *[F.sum(f"_ln{i}").over(upto).alias(f"_cum{i}") for i in range(len(specs))])
+    d = d.select("*", *[F.sum(F.col(f"_bt{i}") * F.exp(-F.col(f"_cum{i}"))).over(upto).alias(f"_acc{i}")
+                        for i in range(len(specs))])
+    d = d.select(*[c for c in d.columns if not c.startswith(("_acc", "_bt", "_ln"))],
+                 *[(F.exp(F.col(f"_cum{i}")) * F.col(f"_acc{i}")).alias(f"_loc{i}") for i in range(len(specs))])
 
     # --- 2. one summary row per e-block, long format (spec, symbol, e-block) --
     summ_cols = []
@@ -187,14 +190,16 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
     seed = has & F.col("prev_obs").isNull()
     dfn = (F.col("f_rn") - F.col("prev_obs")).cast("double")
     o = F.exp(dfn * la)
-    longf = (longf
-             .withColumn("A_f", F.when(seed, F.lit(0.0)).otherwise(o / (o + alpha)))
-             .withColumn("b_f", F.when(seed, F.col("x_f")).otherwise(alpha * F.col("x_f") / (o + alpha)))
-             .withColumn("ell_f", F.when(seed, F.lit(-CLAMP)).otherwise(F.greatest(dfn * la - F.log(o + alpha), F.lit(-CLAMP))))
-             .withColumn("ell", F.when(has, F.greatest(F.col("L_end") + F.col("ell_f"), F.lit(-CLAMP))).otherwise(F.lit(0.0)))
-             .withColumn("B_E", F.when(has, F.exp(F.col("L_end")) * F.col("b_f") + F.col("loc_end")).otherwise(F.lit(0.0)))
-             .withColumn("dec", (-F.col("ell")).cast(DEC))
-             .drop("ell_f", "ell", "L_end", "loc_end", "last_obs", "prev_obs", "f_rn", "x_f"))
+    longf = longf.select(
+        *pk, BLK, "_eb", "n_obs", "cnt_before",
+        F.when(seed, F.lit(0.0)).otherwise(o / (o + alpha)).alias("A_f"),
+        F.when(seed, F.col("x_f")).otherwise(alpha * F.col("x_f") / (o + alpha)).alias("b_f"),
+        F.when(seed, F.lit(-CLAMP)).otherwise(F.greatest(dfn * la - F.log(o + alpha), F.lit(-CLAMP))).alias("ell_f"),
+        "L_end", "loc_end")
+    longf = longf.select(
+        *pk, BLK, "_eb", "n_obs", "cnt_before", "A_f", "b_f",
+        F.when(has, F.exp(F.col("L_end")) * F.col("b_f") + F.col("loc_end")).otherwise(F.lit(0.0)).alias("B_E"),
+        (-F.when(has, F.greatest(F.col("L_end") + F.col("ell_f"), F.lit(-CLAMP))).otherwise(F.lit(0.0))).cast(DEC).alias("dec"))
     longf = _prefix(longf, pk, blocked, {"T": ("dec", "sum")})
     longf = longf.withColumn("T", F.coalesce(F.col("T"), F.lit(0).cast(DEC)))
 
@@ -227,12 +232,14 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
         F.sort_array(F.collect_list(F.when(F.col("spec") == i, F.struct("_idx", "c", "A_f", "b_f", "cb")))).alias(f"_cy{i}")
         for i in range(len(specs))])
     d = d.join(arrays, [*keys, BLK])
-    idx = F.col("_eb") - F.col(BLK) * per_blk + 1
+    idx = (F.col("_eb") - F.col(BLK) * per_blk + 1).cast("int")
+    outs = []
     for i, s in enumerate(specs):
-        cy = F.element_at(F.col(f"_cy{i}"), idx.cast("int"))
+        cy = F.element_at(F.col(f"_cy{i}"), idx)
         y = F.when(F.col(f"_lc{i}") == 0, cy["c"]).otherwise(
             F.exp(F.col(f"_cum{i}")) * (cy["A_f"] * cy["c"] + cy["b_f"]) + F.col(f"_loc{i}"))
         mp = max(1, int(s.min_periods))
-        d = d.withColumn(s.name, F.when(cy["cb"] + F.col(f"_lc{i}") >= mp, y))
+        outs.append(F.when(cy["cb"] + F.col(f"_lc{i}") >= mp, y).alias(s.name))
+    d = d.select("*", *outs)
     drop = ["_eb"] + [f"_{p}{i}" for i in range(len(specs)) for p in ("lc", "pv", "cum", "loc", "cy")]
     return d.drop(*drop)

@@ -22,6 +22,7 @@ from barforge.functions.columns import rolling, safe_div
 from barforge.functions.intervals import step_micros
 from barforge.operators.ewm import EwmSpec, add_ewms
 from barforge.operators.series import BLK, CORE, RN, SeriesPlan
+from barforge.session import persist
 
 RAW_FEATURE_BASE = ["symbol", "ts", "open", "high", "low", "close", "volume", "close_time",
                     "quote_volume", "trades", "taker_buy_base", "taker_buy_quote"]
@@ -140,7 +141,7 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
     warm = cfg.warmup_rows()
 
     def per_branch(d: DataFrame, blocked: bool) -> DataFrame:
-        d = _window_columns(d, cfg, plan.window, horizons, task, thresh).filter(F.col(CORE))
+        d = persist(_window_columns(d, cfg, plan.window, horizons, task, thresh).filter(F.col(CORE)))
         if trim_warmup and warm > 0:
             keep_rows = F.col(RN) > warm
         else:
@@ -150,7 +151,7 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
                   EwmSpec.wilder(f"atr_{cfg.atr_period}", "_tr", cfg.atr_period)]
         d = add_ewms(d, specs, blocked=blocked, block_rows=layout.block_rows, cap=layout.ewm_block)
         macd = f"macd_{cfg.macd_fast}_{cfg.macd_slow}"
-        d = d.withColumn(macd, F.col(f"_ema{cfg.macd_fast}") - F.col(f"_ema{cfg.macd_slow}"))
+        d = persist(d.withColumn(macd, F.col(f"_ema{cfg.macd_fast}") - F.col(f"_ema{cfg.macd_slow}")))
         sig = f"macd_signal_{cfg.macd_signal}"
         d = add_ewms(d, [EwmSpec.span(sig, macd, cfg.macd_signal)], blocked=blocked,
                      block_rows=layout.block_rows, cap=layout.ewm_block)
@@ -176,3 +177,33 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
         return d.filter(cond).select(*base, *feats, *tgts, CORE)
 
     return plan.map(per_branch)
+
+
+def make_targets(df: DataFrame, horizons: Iterable[int] = DEFAULT_HORIZONS, task: str = DEFAULT_TASK,
+                 thresh: float = DEFAULT_THRESH, layout: Layout | None = None,
+                 hot_symbols="auto") -> DataFrame:
+    """Forward-return targets per horizon, then drop the last
+    ``max(horizons)`` rows of every symbol (one ``lead`` window pass)."""
+    horizons = tuple(horizons)
+    max_h = max(horizons) if horizons else 0
+    plan = SeriesPlan(df, ahead=max_h, layout=layout or Layout(), hot_symbols=hot_symbols)
+    names = target_names(horizons, task)
+
+    def fn(d: DataFrame, blocked: bool) -> DataFrame:
+        close = F.col("close")
+        cols = [label(F.ln(F.lead(close, h).over(plan.window)) - F.ln(close), task, thresh).alias(n)
+                for h, n in zip(horizons, names)]
+        tail = F.lead(F.lit(1), max_h).over(plan.window).isNotNull() if max_h > 0 else F.lit(True)
+        d = d.select("*", *cols, tail.alias("_tail_ok"))
+        return d.filter(F.col("_tail_ok")).drop("_tail_ok")
+
+    return plan.map(fn)
+
+
+def future_return(df: DataFrame, horizon: int, name: str | None = None, layout: Layout | None = None,
+                  hot_symbols="auto") -> DataFrame:
+    """``ln(close[t+h]) - ln(close[t])`` per symbol (no trimming)."""
+    plan = SeriesPlan(df, ahead=horizon, layout=layout or Layout(), hot_symbols=hot_symbols)
+    nm = name or f"future_ret_{horizon}"
+    return plan.map(lambda d, b: d.select(
+        "*", (F.ln(F.lead("close", horizon).over(plan.window)) - F.ln("close")).alias(nm)))

@@ -77,3 +77,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(p)
+
+
+# ---------------------------------------------------------------------------
+# Materialised intermediates.  A persisted frame keeps the hash partitioning
+# and ordering of its plan, so the operators that read it twice (summary and
+# join-back of the EWM scan) share one exchange.  MEMORY_AND_DISK: a lost
+# executor's blocks are recomputed from lineage.
+_PERSISTED: list = []
+
+
+def persist(df):
+    from pyspark import StorageLevel
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(out)
+    return out
+
+
+def release_cached() -> None:
+    """Unpersist every intermediate this package persisted."""
+    while _PERSISTED:
+        try:
+            _PERSISTED.pop().unpersist()
+        except Exception:
+            pass
