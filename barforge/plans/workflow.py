@@ -14,10 +14,11 @@ from barforge.sources.klines import read_kline_pages
 
 
 def get_raw_dataset(spark: SparkSession, pages_root: str, out_dir: str, interval: str = "1m",
-                    start=None, end=None, file_format: str = "csv", layout: Layout | None = None):
+                    start=None, end=None, file_format: str = "csv", layout: Layout | None = None,
+                    pages_whole_files: bool = True):
     """Ingest landed pages; stop with a warning if empty; print the first 20
     gaps; write the raw sink.  Returns (raw DataFrame, manifest) or None."""
-    raw = read_kline_pages(spark, pages_root, start, end)
+    raw = read_kline_pages(spark, pages_root, start, end, whole_files=pages_whole_files)
     if raw.isEmpty():
         print("[WARN] No data fetched. Check your symbols/time window.")
         return None
@@ -31,9 +32,11 @@ def get_raw_dataset(spark: SparkSession, pages_root: str, out_dir: str, interval
 
 
 def run_chain(spark: SparkSession, pages_root: str, raw_dir: str, features_dir: str,
-              interval: str = "1m", file_format: str = "parquet", layout: Layout | None = None):
+              interval: str = "1m", file_format: str = "parquet", layout: Layout | None = None,
+              pages_whole_files: bool = True):
     """PIPE-1 as one multi-symbol job per stage.  Returns (dataset, meta)."""
-    got = get_raw_dataset(spark, pages_root, raw_dir, interval, file_format=file_format, layout=layout)
+    got = get_raw_dataset(spark, pages_root, raw_dir, interval, file_format=file_format, layout=layout,
+                          pages_whole_files=pages_whole_files)
     if got is None:
         return None
     raw, _ = got
