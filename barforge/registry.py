@@ -307,7 +307,8 @@ def q_feature_roundtrip(spark, d):
 def q_feature_dataset(spark, d):
     root = scratch_path(spark, "rawcsv")
     save_raw(supplier_bars(spark, d), root, "csv", "1d")
-    df, feats, tgts, _ = get_features_dataset(spark, f"{root}/interval=1d", interval="1d", log_gaps=False)
+    df, feats, tgts, _ = get_features_dataset(spark, f"{root}/interval=1d", interval="1d", log_gaps=False,
+                                           input_format="csv")
     return _out(df.select(*feats, *tgts))
 
 
