@@ -24,7 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -87,7 +87,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 _PERSISTED: list = []
 
 
+MATERIALIZE = os.environ.get("BARFORGE_MATERIALIZE", "persist")
+
+
 def persist(df):
+    """Materialise an intermediate that is read more than once.
+
+    ``persist`` (default): MEMORY_AND_DISK cache; keeps the hash
+    partitioning and ordering of the plan, and lost blocks are recomputed
+    from lineage.  ``checkpoint`` (``BARFORGE_MATERIALIZE=checkpoint``):
+    reliable checkpoint into the shared checkpoint folder, which also cuts
+    the lineage; it costs an extra computation and a serialized write.
+    """
+    if MATERIALIZE == "checkpoint":
+        scratch_root(df.sparkSession)
+        return df.checkpoint(eager=True)
     from pyspark import StorageLevel
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     _PERSISTED.append(out)
