@@ -42,7 +42,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barforge.operators.series import BLK, RN
+from barforge.operators.series import BLK, CORE, RN
 
 CLAMP = 60.0          # ln-multiplier floor: a map with A < e^-60 resets
 EPOCH = 50            # decay epoch width; terms below e^-50 are dropped
@@ -118,9 +118,9 @@ def _prefix(tbl: DataFrame, keys: list[str], blocked: bool, cols: dict[str, tupl
 
 def add_ewms(df: DataFrame, specs: Sequence[EwmSpec], symbol: str = "symbol", ts: str = "ts",
              blocked: bool = False, block_rows: int = 1 << 20, cap: int = 512) -> DataFrame:
-    """Add one column per spec to ``df`` (rows carry ``_blk`` and ``_rn``;
-    ``df`` must already be laid out by ``SeriesPlan`` and hold core rows
-    only)."""
+    """Add one column per spec to ``df`` (laid out by ``SeriesPlan``: rows
+    carry ``_blk``, ``_rn`` and ``_core``).  Halo rows pass through with
+    NULL results; only core rows enter the scan."""
     groups: dict[int, list[EwmSpec]] = {}
     for s in specs:
         groups.setdefault(eblock_size(s.alpha, cap), []).append(s)
@@ -172,7 +172,8 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
             F.max_by(F.col(f"_cum{i}"), F.col(RN)).alias(f"Lend{i}"),
             F.max_by(F.col(f"_loc{i}"), F.col(RN)).alias(f"locend{i}"),
         ]
-    summ = d.groupBy(symbol, BLK, "_eb").agg(*summ_cols)
+    core = d.filter(F.col(CORE)) if CORE in d.columns else d
+    summ = core.groupBy(symbol, BLK, "_eb").agg(*summ_cols)
     longf = summ.select(
         symbol, BLK, "_eb",
         F.explode(F.array(*[
@@ -233,9 +234,13 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
         for i in range(len(specs))])
     d = d.join(arrays, [*keys, BLK])
     idx = (F.col("_eb") - F.col(BLK) * per_blk + 1).cast("int")
+    # halo rows (other blocks' rows copied in for bounded frames) get NULL
+    ok = (idx >= 1) & (idx <= F.size(F.col("_cy0")))
+    if CORE in d.columns:
+        ok = ok & F.col(CORE)
     outs = []
     for i, s in enumerate(specs):
-        cy = F.element_at(F.col(f"_cy{i}"), idx)
+        cy = F.when(ok, F.element_at(F.col(f"_cy{i}"), idx))
         y = F.when(F.col(f"_lc{i}") == 0, cy["c"]).otherwise(
             F.exp(F.col(f"_cum{i}")) * (cy["A_f"] * cy["c"] + cy["b_f"]) + F.col(f"_loc{i}"))
         mp = max(1, int(s.min_periods))

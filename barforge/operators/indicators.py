@@ -81,10 +81,6 @@ def _window_columns(d: DataFrame, cfg: WindowsConfig, w, horizons, task, thresh)
     p = cfg.bb_period
     exprs["_bbm"] = rolling(F.avg, close, p, w)
     exprs["_bbs"] = rolling(F.stddev_pop, close, p, w)
-    delta = close - prev
-    exprs["_gain"] = F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0)))
-    exprs["_loss"] = F.when(delta.isNotNull(), -F.least(delta, F.lit(0.0)))
-    exprs["_tr"] = F.greatest(high - low, F.abs(high - prev), F.abs(low - prev))
     dollar = F.col("quote_volume") if "quote_volume" in cols else close * vol
     exprs["dollar_volume"] = dollar
     if "taker_buy_base" in cols:
@@ -141,20 +137,31 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
     warm = cfg.warmup_rows()
 
     def per_branch(d: DataFrame, blocked: bool) -> DataFrame:
-        d = persist(_window_columns(d, cfg, plan.window, horizons, task, thresh).filter(F.col(CORE)))
-        if trim_warmup and warm > 0:
-            keep_rows = F.col(RN) > warm
-        else:
-            keep_rows = F.lit(True)
+        w = plan.window
+        close, high, low = F.col("close"), F.col("high"), F.col("low")
+        prev = F.lag(close, 1).over(w)
+        d = d.select("*", prev.alias("_prev"))
+        delta = close - F.col("_prev")
+        d = d.select("*",
+                     F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0))).alias("_gain"),
+                     F.when(delta.isNotNull(), -F.least(delta, F.lit(0.0))).alias("_loss"),
+                     F.greatest(high - low, F.abs(high - F.col("_prev")), F.abs(low - F.col("_prev"))).alias("_tr"))
+        # narrow frame (raw columns + EWM inputs), read twice by the scan
+        d = persist(d)
         specs = [EwmSpec.span(f"_ema{s}", "close", s) for s in spans]
         specs += [EwmSpec.wilder("_ag", "_gain", cfg.rsi), EwmSpec.wilder("_al", "_loss", cfg.rsi),
                   EwmSpec.wilder(f"atr_{cfg.atr_period}", "_tr", cfg.atr_period)]
         d = add_ewms(d, specs, blocked=blocked, block_rows=layout.block_rows, cap=layout.ewm_block)
         macd = f"macd_{cfg.macd_fast}_{cfg.macd_slow}"
-        d = persist(d.withColumn(macd, F.col(f"_ema{cfg.macd_fast}") - F.col(f"_ema{cfg.macd_slow}")))
+        keep_cols = [c for c in d.columns if c not in ("_gain", "_loss", "_tr", "_prev")
+                     and not (c.startswith("_ema") and int(c[4:]) not in (*cfg.ma, cfg.macd_fast, cfg.macd_slow))]
+        d = persist(d.select(*keep_cols, (F.col(f"_ema{cfg.macd_fast}") - F.col(f"_ema{cfg.macd_slow}")).alias(macd)))
         sig = f"macd_signal_{cfg.macd_signal}"
         d = add_ewms(d, [EwmSpec.span(sig, macd, cfg.macd_signal)], blocked=blocked,
                      block_rows=layout.block_rows, cap=layout.ewm_block)
+        # bounded frames, lags and leads last: one window pass over the same
+        # partitions (sorted again, not re-shuffled)
+        d = _window_columns(d, cfg, w, horizons, task, thresh)
         rs = safe_div(F.col("_ag"), F.nullif(F.col("_al"), F.lit(0.0)))
         p, k = cfg.bb_period, F.lit(float(cfg.bb_std))
         up = F.col("_bbm") + k * F.col("_bbs")
@@ -171,7 +178,9 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
         for w_ in cfg.vol_feat:
             extra[f"vol_roll_mean_{w_}"] = F.col(f"_vmean{w_}")
         d = d.select("*", *[e.alias(n) for n, e in extra.items()])
-        cond = keep_rows
+        cond = F.col(CORE)
+        if trim_warmup and warm > 0:
+            cond = cond & (F.col(RN) > warm)
         if horizons is not None:
             cond = cond & F.col("_tail_ok")
         return d.filter(cond).select(*base, *feats, *tgts, CORE)

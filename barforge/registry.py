@@ -24,7 +24,8 @@ from barforge.plans.workflow import run_chain
 from barforge.rounding import round_frame
 from barforge.session import ensure_utc, scratch_path
 from barforge.sources.files import gather_input_files, load_and_prepare, load_time_index, manifest, save_features, save_raw
-from barforge.sources.fixtures import hourly_bars, supplier_bars, table
+from barforge.config import Layout
+from barforge.sources.fixtures import hot_symbols_upper_bound, hourly_bars, supplier_bars, table
 from barforge.sources.klines import read_kline_pages, write_kline_pages
 from barforge.sources.scan import bounded_scan
 
@@ -52,8 +53,10 @@ def hb_clean(spark, d):
 
 def sb_features(spark, d, horizons=(1, 5, 15), task="binclass", thresh=0.0, trim=True):
     rows = sb_clean(spark, d)
+    hot = hot_symbols_upper_bound(spark, d, "supplier", Layout().hot_rows)
     return add_all_features(rows, CFG, interval="1d", horizons=horizons, task=task, thresh=thresh,
-                            trim_warmup=trim, dedup_order=dedup_order(rows.columns), keep=keep_valid())
+                            trim_warmup=trim, dedup_order=dedup_order(rows.columns), keep=keep_valid(),
+                            hot_symbols=hot)
 
 
 def dirty_raw(spark: SparkSession, d: str) -> DataFrame:
