@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference has no streaming work: a run fetches a closed interval and
+rewrites files.  Batch jobs over landed files cover it (see ``sources``);
+nothing is built here on purpose.
+"""
