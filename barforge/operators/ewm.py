@@ -55,14 +55,15 @@ class EwmSpec:
     x: str               # input column (already on the frame)
     alpha: float
     min_periods: int = 0
+    dense: bool = False  # True: x has no NULL after its first value (one running sum suffices)
 
     @staticmethod
-    def span(name: str, x: str, span: float, min_periods: int | None = None) -> "EwmSpec":
-        return EwmSpec(name, x, 2.0 / (span + 1.0), int(span if min_periods is None else min_periods))
+    def span(name: str, x: str, span: float, min_periods: int | None = None, dense: bool = False) -> "EwmSpec":
+        return EwmSpec(name, x, 2.0 / (span + 1.0), int(span if min_periods is None else min_periods), dense)
 
     @staticmethod
-    def wilder(name: str, x: str, period: int) -> "EwmSpec":
-        return EwmSpec(name, x, 1.0 / period, period)
+    def wilder(name: str, x: str, period: int, dense: bool = False) -> "EwmSpec":
+        return EwmSpec(name, x, 1.0 / period, period, dense)
 
 
 def eblock_size(alpha: float, cap: int = 512) -> int:
@@ -95,25 +96,23 @@ def _prefix(tbl: DataFrame, keys: list[str], blocked: bool, cols: dict[str, tupl
     """
     agg = {"sum": F.sum, "max": F.max}
     w_in = Window.partitionBy(*keys, BLK).orderBy("_eb").rowsBetween(Window.unboundedPreceding, -1)
-    out = tbl
-    for name, (c, how) in cols.items():
-        out = out.withColumn(name, agg[how](c).over(w_in))
+    out = tbl.select("*", *[agg[how](c).over(w_in).alias(n) for n, (c, how) in cols.items()])
     if not blocked:
         return out
     tot = tbl.groupBy(*keys, BLK).agg(*[agg[how](c).alias(f"_t_{n}") for n, (c, how) in cols.items()])
     w_b = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    for n, (c, how) in cols.items():
-        tot = tot.withColumn(f"_p_{n}", agg[how](f"_t_{n}").over(w_b)).drop(f"_t_{n}")
+    tot = tot.select(*keys, BLK, *[agg[how](f"_t_{n}").over(w_b).alias(f"_p_{n}") for n, (c, how) in cols.items()])
     out = out.join(tot, [*keys, BLK])
+    fixed = []
     for n, (c, how) in cols.items():
         if how == "sum":
-            e = F.coalesce(F.col(n), F.lit(0).cast(out.schema[n].dataType)) + \
-                F.coalesce(F.col(f"_p_{n}"), F.lit(0).cast(out.schema[n].dataType))
-            out = out.withColumn(n, F.when(F.col(n).isNull() & F.col(f"_p_{n}").isNull(), F.lit(None)).otherwise(e))
+            z = F.lit(0).cast(out.schema[n].dataType)
+            e = F.coalesce(F.col(n), z) + F.coalesce(F.col(f"_p_{n}"), z)
+            fixed.append(F.when(F.col(n).isNull() & F.col(f"_p_{n}").isNull(), F.lit(None)).otherwise(e).alias(n))
         else:
-            out = out.withColumn(n, F.greatest(F.col(n), F.col(f"_p_{n}")))
-        out = out.drop(f"_p_{n}")
-    return out
+            fixed.append(F.greatest(F.col(n), F.col(f"_p_{n}")).alias(n))
+    rest = [c for c in out.columns if c not in cols and not c.startswith("_p_")]
+    return out.select(*rest, *fixed)
 
 
 def add_ewms(df: DataFrame, specs: Sequence[EwmSpec], symbol: str = "symbol", ts: str = "ts",
@@ -123,6 +122,8 @@ def add_ewms(df: DataFrame, specs: Sequence[EwmSpec], symbol: str = "symbol", ts
     NULL results; only core rows enter the scan."""
     groups: dict[int, list[EwmSpec]] = {}
     for s in specs:
+        if s.dense and s.alpha >= 1.0:  # e-blocks of one row: nothing to sum
+            s = EwmSpec(s.name, s.x, s.alpha, s.min_periods, False)
         groups.setdefault(eblock_size(s.alpha, cap), []).append(s)
     for be, group in sorted(groups.items(), reverse=True):
         df = _add_group(df, group, be, symbol, ts, blocked, block_rows)
@@ -136,52 +137,103 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
     wb = Window.partitionBy(symbol, BLK, "_eb").orderBy(ts)
     upto = wb.rowsBetween(Window.unboundedPreceding, 0)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_eb") * be + 1                      # first _rn of the e-block
+    dense = [i for i, s in enumerate(specs) if s.dense]
+    gen = [i for i, s in enumerate(specs) if not s.dense]
+
+    def g(i):
+        # exp(|ln(1-a)| * (rn - start)) <= e^600 inside an e-block
+        return F.exp(F.lit(-_ln1m(specs[i].alpha)) * (F.col(RN) - start).cast("double"))
 
-    # --- 1. in-block running sums (batched selects: one analysis each) ------
+    # --- 1. in-block running sums -------------------------------------------
+    # dense inputs (no NULL after the first value): one running sum
+    #   G = sum(x * g); the value assuming a zero carry-in is
+    #   a * exp(ln(1-a) * (t - start)) * (G - x_f * g_f)
+    # general inputs: running sums of ln A and B * exp(-L) (holes renormalise)
     step1 = []
     for i, s in enumerate(specs):
         x = F.col(s.x)
-        step1 += [F.count(x).over(upto).alias(f"_lc{i}"),
-                  F.last(F.when(x.isNotNull(), F.col(RN)), True).over(before).alias(f"_pv{i}")]
+        step1.append(F.count(x).over(upto).alias(f"_lc{i}"))
+        if s.dense:
+            step1.append(F.sum(x * g(i)).over(upto).alias(f"_G{i}"))
+        else:
+            step1.append(F.last(F.when(x.isNotNull(), F.col(RN)), True).over(before).alias(f"_pv{i}"))
     d = d.select("*", *step1)
-    step2 = []
-    for i, s in enumerate(specs):
-        x, a, la = F.col(s.x), float(s.alpha), _ln1m(s.alpha)
-        inner = x.isNotNull() & F.col(f"_pv{i}").isNotNull()
-        dd = (F.col(RN) - F.col(f"_pv{i}")).cast("double")
-        o = F.exp(dd * F.lit(la))
-        step2 += [F.when(inner, dd * F.lit(la) - F.log(o + F.lit(a))).otherwise(F.lit(0.0)).alias(f"_ln{i}"),
-                  F.when(inner, F.lit(a) * x / (o + F.lit(a))).otherwise(F.lit(0.0)).alias(f"_bt{i}")]
-    d = d.select("*", *step2)
-    d = d.select("*", *[F.sum(f"_ln{i}").over(upto).alias(f"_cum{i}") for i in range(len(specs))])
-    d = d.select("*", *[F.sum(F.col(f"_bt{i}") * F.exp(-F.col(f"_cum{i}"))).over(upto).alias(f"_acc{i}")
-                        for i in range(len(specs))])
-    d = d.select(*[c for c in d.columns if not c.startswith(("_acc", "_bt", "_ln"))],
-                 *[(F.exp(F.col(f"_cum{i}")) * F.col(f"_acc{i}")).alias(f"_loc{i}") for i in range(len(specs))])
+    if gen:
+        step2 = []
+        for i in gen:
+            s = specs[i]
+            x, a, la = F.col(s.x), float(s.alpha), _ln1m(s.alpha)
+            inner = x.isNotNull() & F.col(f"_pv{i}").isNotNull()
+            dd = (F.col(RN) - F.col(f"_pv{i}")).cast("double")
+            o = F.exp(dd * F.lit(la))
+            step2 += [F.when(inner, dd * F.lit(la) - F.log(o + F.lit(a))).otherwise(F.lit(0.0)).alias(f"_ln{i}"),
+                      F.when(inner, F.lit(a) * x / (o + F.lit(a))).otherwise(F.lit(0.0)).alias(f"_bt{i}")]
+        d = d.select("*", *step2)
+        d = d.select("*", *[F.sum(f"_ln{i}").over(upto).alias(f"_cum{i}") for i in gen])
+        d = d.select("*", *[F.sum(F.col(f"_bt{i}") * F.exp(-F.col(f"_cum{i}"))).over(upto).alias(f"_acc{i}")
+                            for i in gen])
+        d = d.select(*[c for c in d.columns if not c.startswith(("_acc", "_bt", "_ln"))],
+                     *[(F.exp(F.col(f"_cum{i}")) * F.col(f"_acc{i}")).alias(f"_loc{i}") for i in gen])
 
     # --- 2. one summary row per e-block, long format (spec, symbol, e-block) --
-    summ_cols = []
-    for i, s in enumerate(specs):
-        x = F.col(s.x)
+    def long_rows(frame, idxs, cols_of):
+        summ = frame.groupBy(symbol, BLK, "_eb").agg(*[c for i in idxs for c in cols_of(i)])
+        return summ.select(
+            symbol, BLK, "_eb",
+            F.explode(F.array(*[
+                F.struct(F.lit(i).alias("spec"), F.col(f"n{i}").alias("n_obs"), F.col(f"f{i}").alias("f_rn"),
+                         F.col(f"xf{i}").alias("x_f"), F.col(f"lo{i}").alias("last_obs"),
+                         F.col(f"Lend{i}").alias("L_end"), F.col(f"locend{i}").alias("loc_end"))
+                for i in idxs])).alias("s"),
+        ).select(symbol, BLK, "_eb", "s.*")
+
+    def dense_cols(i):
+        s = specs[i]
+        x, a, la = F.col(s.x), float(s.alpha), _ln1m(s.alpha)
+        nn = F.when(x.isNotNull(), F.col(RN))
+        return [F.count(x).alias(f"n{i}"), F.min(nn).alias(f"f{i}"), F.min_by(x, nn).alias(f"xf{i}"),
+                F.max(nn).alias(f"lo{i}"), F.sum(x * g(i)).alias(f"_gs{i}"),
+                F.min_by(x * g(i), nn).alias(f"_gf{i}")]
+
+    def dense_finish(frame, idxs):
+        st = F.col("_eb") * be + 1
+        extra = []
+        for i in idxs:
+            a, la = float(specs[i].alpha), _ln1m(specs[i].alpha)
+            extra += [(F.lit(la) * (F.col(f"n{i}") - 1).cast("double")).alias(f"Lend{i}"),
+                      (F.lit(a) * F.exp(F.lit(la) * (F.col(f"lo{i}") - st).cast("double"))
+                       * (F.col(f"_gs{i}") - F.col(f"_gf{i}"))).alias(f"locend{i}")]
+        return frame.select("*", *extra)
+
+    def gen_cols(i):
+        x = F.col(specs[i].x)
         first = x.isNotNull() & (F.col(f"_lc{i}") == 1)
-        summ_cols += [
-            F.count(x).alias(f"n{i}"),
-            F.min(F.when(x.isNotNull(), F.col(RN))).alias(f"f{i}"),
-            F.max(F.when(first, x)).alias(f"xf{i}"),
-            F.max(F.when(x.isNotNull(), F.col(RN))).alias(f"lo{i}"),
-            F.max_by(F.col(f"_cum{i}"), F.col(RN)).alias(f"Lend{i}"),
-            F.max_by(F.col(f"_loc{i}"), F.col(RN)).alias(f"locend{i}"),
-        ]
-    core = d.filter(F.col(CORE)) if CORE in d.columns else d
-    summ = core.groupBy(symbol, BLK, "_eb").agg(*summ_cols)
-    longf = summ.select(
-        symbol, BLK, "_eb",
-        F.explode(F.array(*[
-            F.struct(F.lit(i).alias("spec"), F.col(f"n{i}").alias("n_obs"), F.col(f"f{i}").alias("f_rn"),
-                     F.col(f"xf{i}").alias("x_f"), F.col(f"lo{i}").alias("last_obs"),
-                     F.col(f"Lend{i}").alias("L_end"), F.col(f"locend{i}").alias("loc_end"))
-            for i in range(len(specs))])).alias("s"),
-    ).select(symbol, BLK, "_eb", "s.*")
+        return [F.count(x).alias(f"n{i}"), F.min(F.when(x.isNotNull(), F.col(RN))).alias(f"f{i}"),
+                F.max(F.when(first, x)).alias(f"xf{i}"), F.max(F.when(x.isNotNull(), F.col(RN))).alias(f"lo{i}"),
+                F.max_by(F.col(f"_cum{i}"), F.col(RN)).alias(f"Lend{i}"),
+                F.max_by(F.col(f"_loc{i}"), F.col(RN)).alias(f"locend{i}")]
+
+    parts = []
+    if dense:
+        # plain aggregate over the input rows: no window recomputation
+        base = df.withColumn("_eb", F.floor((F.col(RN) - 1) / be).cast("long"))
+        base = base.filter(F.col(CORE)) if CORE in base.columns else base
+        summ = base.groupBy(symbol, BLK, "_eb").agg(*[c for i in dense for c in dense_cols(i)])
+        summ = dense_finish(summ, dense)
+        parts.append(summ.select(
+            symbol, BLK, "_eb",
+            F.explode(F.array(*[
+                F.struct(F.lit(i).alias("spec"), F.col(f"n{i}").alias("n_obs"), F.col(f"f{i}").alias("f_rn"),
+                         F.col(f"xf{i}").alias("x_f"), F.col(f"lo{i}").alias("last_obs"),
+                         F.col(f"Lend{i}").alias("L_end"), F.col(f"locend{i}").alias("loc_end"))
+                for i in dense])).alias("s")).select(symbol, BLK, "_eb", "s.*"))
+    if gen:
+        core = d.filter(F.col(CORE)) if CORE in d.columns else d
+        parts.append(long_rows(core, gen, gen_cols))
+    longf = parts[0]
+    for p_ in parts[1:]:
+        longf = longf.unionByName(p_)
     pk = ["spec", *keys]
     longf = _prefix(longf, pk, blocked, {"cnt_before": ("n_obs", "sum"), "prev_obs": ("last_obs", "max")})
 
@@ -192,45 +244,46 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
     dfn = (F.col("f_rn") - F.col("prev_obs")).cast("double")
     o = F.exp(dfn * la)
     longf = longf.select(
-        *pk, BLK, "_eb", "n_obs", "cnt_before",
+        *pk, BLK, "_eb", "n_obs", "cnt_before", "f_rn", "x_f",
         F.when(seed, F.lit(0.0)).otherwise(o / (o + alpha)).alias("A_f"),
         F.when(seed, F.col("x_f")).otherwise(alpha * F.col("x_f") / (o + alpha)).alias("b_f"),
         F.when(seed, F.lit(-CLAMP)).otherwise(F.greatest(dfn * la - F.log(o + alpha), F.lit(-CLAMP))).alias("ell_f"),
         "L_end", "loc_end")
     longf = longf.select(
-        *pk, BLK, "_eb", "n_obs", "cnt_before", "A_f", "b_f",
+        *pk, BLK, "_eb", "n_obs", "cnt_before", "f_rn", "x_f", "A_f", "b_f",
         F.when(has, F.exp(F.col("L_end")) * F.col("b_f") + F.col("loc_end")).otherwise(F.lit(0.0)).alias("B_E"),
         (-F.when(has, F.greatest(F.col("L_end") + F.col("ell_f"), F.lit(-CLAMP))).otherwise(F.lit(0.0))).cast(DEC).alias("dec"))
     longf = _prefix(longf, pk, blocked, {"T": ("dec", "sum")})
-    longf = longf.withColumn("T", F.coalesce(F.col("T"), F.lit(0).cast(DEC)))
+    longf = longf.select(*[c for c in longf.columns if c != "T"], F.coalesce(F.col("T"), F.lit(0).cast(DEC)).alias("T"))
 
     # --- 3. carry-in through decay epochs ------------------------------------
     ep_w = F.lit(EPOCH).cast(DEC)
     tgt = longf.select(*pk, BLK, "_eb", F.lit(0).alias("kind"),
                        F.floor(F.col("T") / ep_w).cast("long").alias("ep"),
-                       "T", F.lit(0.0).alias("val"), "A_f", "b_f", "cnt_before", "n_obs")
+                       "T", F.lit(0.0).alias("val"), "A_f", "b_f", "cnt_before", "n_obs", "f_rn", "x_f")
     u = F.col("T") + F.col("dec")
     src = (longf.filter(has)
-           .withColumn("_u", u)
-           .withColumn("ep", F.explode(F.array(F.floor(F.col("_u") / ep_w).cast("long"),
-                                               F.floor(F.col("_u") / ep_w).cast("long") + 1)))
+           .select("*", u.alias("_u"))
+           .select("*", F.explode(F.array(F.floor(F.col("_u") / ep_w).cast("long"),
+                                          F.floor(F.col("_u") / ep_w).cast("long") + 1)).alias("ep"))
            .select(*pk, BLK, "_eb", F.lit(1).alias("kind"), "ep", F.lit(None).cast(DEC).alias("T"),
                    (F.col("B_E") * F.exp((F.col("_u") - _ref(F.col("ep"))).cast("double"))).alias("val"),
                    F.lit(None).cast("double").alias("A_f"), F.lit(None).cast("double").alias("b_f"),
-                   F.lit(None).cast("long").alias("cnt_before"), F.lit(None).cast("long").alias("n_obs")))
+                   F.lit(None).cast("long").alias("cnt_before"), F.lit(None).cast("long").alias("n_obs"),
+                   F.lit(None).cast("long").alias("f_rn"), F.lit(None).cast("double").alias("x_f")))
     w_ep = Window.partitionBy(*pk, "ep").orderBy(BLK, "_eb", "kind").rowsBetween(Window.unboundedPreceding, 0)
     carry = (tgt.unionByName(src)
-             .withColumn("_run", F.sum("val").over(w_ep))
+             .select("*", F.sum("val").over(w_ep).alias("_run"))
              .filter(F.col("kind") == 0)
-             .withColumn("c", F.exp((_ref(F.col("ep")) - F.col("T")).cast("double")) * F.col("_run"))
-             .select(*pk, BLK, "_eb", "c", "A_f", "b_f",
+             .select(*pk, BLK, "_eb", (F.exp((_ref(F.col("ep")) - F.col("T")).cast("double")) * F.col("_run")).alias("c"),
+                     "A_f", "b_f", "f_rn", "x_f",
                      F.coalesce(F.col("cnt_before"), F.lit(0)).cast("long").alias("cb")))
 
     # --- 4. one sorted array of carries per (symbol, layout block) ----------
     per_blk = block_rows // be
-    carry = carry.withColumn("_idx", F.col("_eb") - F.col(BLK) * per_blk)
+    carry = carry.select("*", (F.col("_eb") - F.col(BLK) * per_blk).alias("_idx"))
     arrays = carry.groupBy(*keys, BLK).agg(*[
-        F.sort_array(F.collect_list(F.when(F.col("spec") == i, F.struct("_idx", "c", "A_f", "b_f", "cb")))).alias(f"_cy{i}")
+        F.sort_array(F.collect_list(F.when(F.col("spec") == i, F.struct("_idx", "c", "A_f", "b_f", "cb", "f_rn", "x_f")))).alias(f"_cy{i}")
         for i in range(len(specs))])
     d = d.join(arrays, [*keys, BLK])
     idx = (F.col("_eb") - F.col(BLK) * per_blk + 1).cast("int")
@@ -241,10 +294,17 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
     outs = []
     for i, s in enumerate(specs):
         cy = F.when(ok, F.element_at(F.col(f"_cy{i}"), idx))
-        y = F.when(F.col(f"_lc{i}") == 0, cy["c"]).otherwise(
-            F.exp(F.col(f"_cum{i}")) * (cy["A_f"] * cy["c"] + cy["b_f"]) + F.col(f"_loc{i}"))
+        if s.dense:
+            a, la = float(s.alpha), _ln1m(s.alpha)
+            gf = cy["x_f"] * F.exp(F.lit(-la) * (cy["f_rn"] - start).cast("double"))
+            loc = F.lit(a) * F.exp(F.lit(la) * (F.col(RN) - start).cast("double")) * (F.col(f"_G{i}") - gf)
+            lt = F.lit(la) * (F.col(RN) - cy["f_rn"]).cast("double")
+            y = F.when(F.col(f"_lc{i}") == 0, cy["c"]).otherwise(F.exp(lt) * (cy["A_f"] * cy["c"] + cy["b_f"]) + loc)
+        else:
+            y = F.when(F.col(f"_lc{i}") == 0, cy["c"]).otherwise(
+                F.exp(F.col(f"_cum{i}")) * (cy["A_f"] * cy["c"] + cy["b_f"]) + F.col(f"_loc{i}"))
         mp = max(1, int(s.min_periods))
         outs.append(F.when(cy["cb"] + F.col(f"_lc{i}") >= mp, y).alias(s.name))
     d = d.select("*", *outs)
-    drop = ["_eb"] + [f"_{p}{i}" for i in range(len(specs)) for p in ("lc", "pv", "cum", "loc", "cy")]
+    drop = ["_eb"] + [f"_{p}{i}" for i in range(len(specs)) for p in ("lc", "pv", "cum", "loc", "cy", "G")]
     return d.drop(*drop)

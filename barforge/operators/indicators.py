@@ -148,8 +148,12 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
                      F.greatest(high - low, F.abs(high - F.col("_prev")), F.abs(low - F.col("_prev"))).alias("_tr"))
         # narrow frame (raw columns + EWM inputs), read twice by the scan
         d = persist(d)
-        specs = [EwmSpec.span(f"_ema{s}", "close", s) for s in spans]
-        specs += [EwmSpec.wilder("_ag", "_gain", cfg.rsi), EwmSpec.wilder("_al", "_loss", cfg.rsi),
+        # with the FLT-2 filter in the pass, close has no NULL: close, its
+        # changes and MACD are NULL-free after their first value (dense);
+        # the true range may have holes (NULL high and low)
+        dn = keep is not None
+        specs = [EwmSpec.span(f"_ema{s}", "close", s, dense=dn) for s in spans]
+        specs += [EwmSpec.wilder("_ag", "_gain", cfg.rsi, dense=dn), EwmSpec.wilder("_al", "_loss", cfg.rsi, dense=dn),
                   EwmSpec.wilder(f"atr_{cfg.atr_period}", "_tr", cfg.atr_period)]
         d = add_ewms(d, specs, blocked=blocked, block_rows=layout.block_rows, cap=layout.ewm_block)
         macd = f"macd_{cfg.macd_fast}_{cfg.macd_slow}"
@@ -157,7 +161,7 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
                      and not (c.startswith("_ema") and int(c[4:]) not in (*cfg.ma, cfg.macd_fast, cfg.macd_slow))]
         d = persist(d.select(*keep_cols, (F.col(f"_ema{cfg.macd_fast}") - F.col(f"_ema{cfg.macd_slow}")).alias(macd)))
         sig = f"macd_signal_{cfg.macd_signal}"
-        d = add_ewms(d, [EwmSpec.span(sig, macd, cfg.macd_signal)], blocked=blocked,
+        d = add_ewms(d, [EwmSpec.span(sig, macd, cfg.macd_signal, dense=dn)], blocked=blocked,
                      block_rows=layout.block_rows, cap=layout.ewm_block)
         # bounded frames, lags and leads last: one window pass over the same
         # partitions (sorted again, not re-shuffled)

@@ -35,8 +35,8 @@ TIME_LO, TIME_HI = "1996-01-01 00:00:00", "1997-01-01 00:00:00"
 
 def _ntz(df: DataFrame) -> DataFrame:
     """TIMESTAMP columns as TIMESTAMP_NTZ (UTC wall time), the oracle's type."""
-    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
-                       if f.dataType.typeName() == "timestamp" else F.col(f.name) for f in df.schema.fields])
+    return df.selectExpr(*[f"CAST(`{n}` AS TIMESTAMP_NTZ) AS `{n}`" if t == "timestamp" else f"`{n}`"
+                           for n, t in df.dtypes])
 
 
 def _out(df: DataFrame, scaled: set[str] | None = None) -> DataFrame:

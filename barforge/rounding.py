@@ -39,7 +39,9 @@ def rnd(c, d: int):
     """Half-away-from-zero rounding done in binary arithmetic, written the
     same way in the SQL oracle (``rnd_sql``), so equal doubles always round
     equally (engine ``round`` functions differ on exact decimal ties)."""
-    c = F.col(c) if isinstance(c, str) else c
+    if isinstance(c, str):
+        # one SQL expression: a single call into the JVM per column
+        return F.expr(rnd_sql(f"`{c}`", d))
     scale = float(10 ** d)
     return F.signum(c) * F.floor(F.abs(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
@@ -52,12 +54,12 @@ def rnd_sql(expr: str, d: int) -> str:
 def round_frame(df: DataFrame, scaled: set[str] | None = None) -> DataFrame:
     scaled = scaled or set()
     out = []
-    for f in df.schema.fields:
-        if f.dataType.typeName() == "double":
-            out.append(rnd(f.name, digits(f.name, f.name in scaled)).alias(f.name))
+    for name, typ in df.dtypes:
+        if typ == "double":
+            out.append(f"{rnd_sql(f'`{name}`', digits(name, name in scaled))} AS `{name}`")
         else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+            out.append(f"`{name}`")
+    return df.selectExpr(*out)
 
 
 def round_sql(cols: list[str], doubles: set[str], scaled: set[str] | None = None) -> str:

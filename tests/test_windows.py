@@ -25,9 +25,9 @@ def _series(spark, values, symbol="A"):
     return df.withColumn("x", nan_to_null("x")), pdf
 
 
-def _ewm(spark, df, alpha, mp, layout=Layout(), hot=()):
+def _ewm(spark, df, alpha, mp, layout=Layout(), hot=(), dense=False):
     plan = SeriesPlan(df, layout=layout, hot_symbols=list(hot))
-    out = plan.map(lambda d, b: add_ewms(d.filter("_core"), [EwmSpec("y", "x", alpha, mp)], blocked=b,
+    out = plan.map(lambda d, b: add_ewms(d.filter("_core"), [EwmSpec("y", "x", alpha, mp, dense)], blocked=b,
                                          block_rows=layout.block_rows, cap=layout.ewm_block))
     return out.orderBy("symbol", "ts").toPandas()["y"].to_numpy(dtype="float64", na_value=np.nan)
 
@@ -52,6 +52,18 @@ def test_ewm_matches_pandas(spark, alpha, hot):
     assert np.allclose(got, exp, rtol=1e-10, atol=1e-10, equal_nan=True)
 
 
+@pytest.mark.parametrize("alpha", [2 / 51, 1 / 3, 1.0])
+@pytest.mark.parametrize("hot", [False, True])
+def test_ewm_dense_matches_pandas(spark, alpha, hot):
+    rng = np.random.default_rng(11)
+    x = np.cumsum(rng.normal(size=900)) + 80
+    x[:30] = np.nan  # leading NULLs only
+    df, pdf = _series(spark, list(x))
+    got = _ewm(spark, df, alpha, 9, TINY if hot else Layout(ewm_block=64), ["A"] if hot else [], dense=True)
+    exp = pdf["x"].ewm(alpha=alpha, adjust=False, min_periods=9).mean().to_numpy()
+    assert np.allclose(got, exp, rtol=1e-10, atol=1e-10, equal_nan=True)
+
+
 def _features(spark, layout=Layout(), hot="auto", horizons=(1, 5, 15)):
     rows = prepare_rows(hourly_bars(spark, SF001))
     f = add_all_features(rows, interval="1h", layout=layout, hot_symbols=hot, horizons=horizons,
