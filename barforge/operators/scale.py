@@ -44,9 +44,26 @@ def apply_scaler(df: DataFrame, params: DataFrame, features: list[str]) -> DataF
     return j.select(*cols)
 
 
+def apply_scaler_values(df: DataFrame, params: dict, features: list[str]) -> DataFrame:
+    """Apply fitted parameters given as driver-side numbers (two per
+    feature, so the size is fixed): plain projections, no join."""
+    def lit(v):
+        return "CAST(NULL AS DOUBLE)" if v is None else repr(float(v))
+    cols = []
+    for c in df.columns:
+        if c in features:
+            cols.append(f"(CAST(`{c}` AS DOUBLE) - {lit(params[c + '__mean'])}) / {lit(params[c + '__scale'])} AS `{c}`")
+        else:
+            cols.append(f"`{c}`")
+    return df.selectExpr(*cols)
+
+
 def scale_if_needed(df: DataFrame, features: list[str], enable: bool = True,
-                    train_filter=None) -> tuple[DataFrame, DataFrame | None]:
+                    train_filter=None) -> tuple[DataFrame, dict | None]:
+    """Fit once (one aggregate, one row brought to the driver) and apply the
+    numbers as literals."""
     if not enable:
         return df, None
-    params = fit_scaler(df, features, train_filter)
-    return apply_scaler(df, params, features), params
+    row = fit_scaler(df, features, train_filter).first()
+    params = row.asDict() if row is not None else {}
+    return apply_scaler_values(df, params, features), params
