@@ -113,10 +113,15 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
                      horizons: Iterable[int] | None = DEFAULT_HORIZONS, task: str = DEFAULT_TASK,
                      thresh: float = DEFAULT_THRESH, trim_warmup: bool = True,
                      layout: Layout | None = None, hot_symbols="auto",
-                     dedup_order=None, keep: Column | None = None) -> DataFrame:
+                     dedup_order=None, keep: Column | None = None,
+                     columns: Iterable[str] | None = None) -> DataFrame:
     """Features (and, unless ``horizons`` is None, targets) of a cleaned bar
     table keyed ``(symbol, ts)``.
 
+    ``columns``: only these indicator columns (default: all).  Unused
+    rolling frames are pruned by the optimizer; the recursive averages are
+    only scanned when a requested column needs them.
+
     Output columns: base columns present in the input, indicators in the
     reference's order, then targets.  The first ``cfg.warmup_rows()`` rows
     of every symbol are dropped when ``trim_warmup``; with targets the last
@@ -128,12 +133,26 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
     present = bars.columns
     base = [c for c in RAW_FEATURE_BASE if c in present]
     feats = feature_names(cfg, present)
+    if columns is not None:
+        wanted = set(columns)
+        unknown = wanted - set(feats)
+        if unknown:
+            raise ValueError(f"unknown feature columns: {sorted(unknown)}")
+        feats = [c for c in feats if c in wanted]
     tgts = target_names(horizons, task) if horizons is not None else []
+    macd_name = f"macd_{cfg.macd_fast}_{cfg.macd_slow}"
+    need_signal = bool({f"macd_signal_{cfg.macd_signal}", "macd_hist"} & set(feats))
+    need_macd = need_signal or macd_name in feats
+    need_rsi = f"rsi_{cfg.rsi}" in feats
+    need_atr = f"atr_{cfg.atr_period}" in feats
+    ema_spans = {w_ for w_ in cfg.ma if f"ema_{w_}" in feats}
+    if need_macd:
+        ema_spans |= {cfg.macd_fast, cfg.macd_slow}
     back = cfg.lookback_rows()
     ahead = max(horizons) if horizons else 0
     plan = SeriesPlan(bars, back=back, ahead=ahead, step_us=step_micros(interval), layout=layout,
                       hot_symbols=hot_symbols, dedup_order=dedup_order, keep=keep)
-    spans = sorted(set(cfg.ma) | {cfg.macd_fast, cfg.macd_slow})
+    spans = sorted(ema_spans)
     warm = cfg.warmup_rows()
 
     def per_branch(d: DataFrame, blocked: bool) -> DataFrame:
@@ -146,38 +165,50 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
                      F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0))).alias("_gain"),
                      F.when(delta.isNotNull(), -F.least(delta, F.lit(0.0))).alias("_loss"),
                      F.greatest(high - low, F.abs(high - F.col("_prev")), F.abs(low - F.col("_prev"))).alias("_tr"))
-        # narrow frame (raw columns + EWM inputs), read twice by the scan
-        d = persist(d)
-        # with the FLT-2 filter in the pass, close has no NULL: close, its
-        # changes and MACD are NULL-free after their first value (dense);
-        # the true range may have holes (NULL high and low)
         dn = keep is not None
         specs = [EwmSpec.span(f"_ema{s}", "close", s, dense=dn) for s in spans]
-        specs += [EwmSpec.wilder("_ag", "_gain", cfg.rsi, dense=dn), EwmSpec.wilder("_al", "_loss", cfg.rsi, dense=dn),
-                  EwmSpec.wilder(f"atr_{cfg.atr_period}", "_tr", cfg.atr_period)]
-        d = add_ewms(d, specs, blocked=blocked, block_rows=layout.block_rows, cap=layout.ewm_block)
-        macd = f"macd_{cfg.macd_fast}_{cfg.macd_slow}"
+        if need_rsi:
+            specs += [EwmSpec.wilder("_ag", "_gain", cfg.rsi, dense=dn),
+                      EwmSpec.wilder("_al", "_loss", cfg.rsi, dense=dn)]
+        if need_atr:
+            specs.append(EwmSpec.wilder(f"atr_{cfg.atr_period}", "_tr", cfg.atr_period))
+        macd = macd_name
+        sig = f"macd_signal_{cfg.macd_signal}"
+        if specs:
+            # narrow frame (raw columns + EWM inputs), read twice by the scan;
+            # with the FLT-2 filter in the pass, close has no NULL: close, its
+            # changes and MACD are NULL-free after their first value (dense);
+            # the true range may have holes (NULL high and low)
+            d = persist(d)
+            d = add_ewms(d, specs, blocked=blocked, block_rows=layout.block_rows, cap=layout.ewm_block)
         keep_cols = [c for c in d.columns if c not in ("_gain", "_loss", "_tr", "_prev")
                      and not (c.startswith("_ema") and int(c[4:]) not in (*cfg.ma, cfg.macd_fast, cfg.macd_slow))]
-        d = persist(d.select(*keep_cols, (F.col(f"_ema{cfg.macd_fast}") - F.col(f"_ema{cfg.macd_slow}")).alias(macd)))
-        sig = f"macd_signal_{cfg.macd_signal}"
-        d = add_ewms(d, [EwmSpec.span(sig, macd, cfg.macd_signal, dense=dn)], blocked=blocked,
-                     block_rows=layout.block_rows, cap=layout.ewm_block)
+        if need_macd:
+            d = d.select(*keep_cols, (F.col(f"_ema{cfg.macd_fast}") - F.col(f"_ema{cfg.macd_slow}")).alias(macd))
+        else:
+            d = d.select(*keep_cols)
+        if need_signal:
+            d = persist(d)
+            d = add_ewms(d, [EwmSpec.span(sig, macd, cfg.macd_signal, dense=dn)], blocked=blocked,
+                         block_rows=layout.block_rows, cap=layout.ewm_block)
         # bounded frames, lags and leads last: one window pass over the same
         # partitions (sorted again, not re-shuffled)
         d = _window_columns(d, cfg, w, horizons, task, thresh)
-        rs = safe_div(F.col("_ag"), F.nullif(F.col("_al"), F.lit(0.0)))
         p, k = cfg.bb_period, F.lit(float(cfg.bb_std))
         up = F.col("_bbm") + k * F.col("_bbs")
         lo = F.col("_bbm") - k * F.col("_bbs")
         extra = {
-            f"rsi_{cfg.rsi}": F.lit(100.0) - safe_div(F.lit(100.0), F.lit(1.0) + rs),
-            "macd_hist": F.col(macd) - F.col(sig),
             f"bb_mid_{p}": F.col("_bbm"), f"bb_up_{p}": up, f"bb_low_{p}": lo,
             "bb_percent_b": safe_div(F.col("close") - lo, up - lo),
         }
+        if need_rsi:
+            rs = safe_div(F.col("_ag"), F.nullif(F.col("_al"), F.lit(0.0)))
+            extra[f"rsi_{cfg.rsi}"] = F.lit(100.0) - safe_div(F.lit(100.0), F.lit(1.0) + rs)
+        if need_signal:
+            extra["macd_hist"] = F.col(macd) - F.col(sig)
         for w_ in cfg.ma:
-            extra[f"ema_{w_}"] = F.col(f"_ema{w_}")
+            if w_ in ema_spans:
+                extra[f"ema_{w_}"] = F.col(f"_ema{w_}")
             extra[f"vol_sma_{w_}"] = F.col(f"_vmean{w_}")
         for w_ in cfg.vol_feat:
             extra[f"vol_roll_mean_{w_}"] = F.col(f"_vmean{w_}")

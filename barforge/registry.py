@@ -51,12 +51,12 @@ def hb_clean(spark, d):
     return prepare_rows(hourly_bars(spark, d))
 
 
-def sb_features(spark, d, horizons=(1, 5, 15), task="binclass", thresh=0.0, trim=True):
+def sb_features(spark, d, horizons=(1, 5, 15), task="binclass", thresh=0.0, trim=True, columns=None):
     rows = sb_clean(spark, d)
     hot = hot_symbols_upper_bound(spark, d, "supplier", Layout().hot_rows)
     return add_all_features(rows, CFG, interval="1d", horizons=horizons, task=task, thresh=thresh,
                             trim_warmup=trim, dedup_order=dedup_order(rows.columns), keep=keep_valid(),
-                            hot_symbols=hot)
+                            hot_symbols=hot, columns=columns)
 
 
 def dirty_raw(spark: SparkSession, d: str) -> DataFrame:
@@ -127,7 +127,8 @@ def q_distinct_symbols(spark, d):
 
 # --------------------------------------------------------------- indicators --
 def _feat_cols(spark, d, cols, trim=False):
-    f = sb_features(spark, d, horizons=None, trim=trim)
+    """Only the requested indicator family is computed."""
+    f = sb_features(spark, d, horizons=None, trim=trim, columns=[c for c in cols if c not in RAW12])
     return _out(f.select("symbol", "ts", *cols))
 
 
