@@ -22,7 +22,7 @@ from barforge.operators.split import split_random, split_time
 from barforge.plans.features import get_features_dataset
 from barforge.plans.workflow import run_chain
 from barforge.rounding import round_frame
-from barforge.session import ensure_utc, scratch_path
+from barforge.session import ensure_utc, release_cached, scratch_path
 from barforge.sources.files import gather_input_files, load_and_prepare, load_time_index, manifest, save_features, save_raw
 from barforge.config import Layout
 from barforge.sources.fixtures import hot_symbols_upper_bound, hourly_bars, supplier_bars, table
@@ -371,6 +371,9 @@ QUERIES = {
 def wrap(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
+        # intermediates persisted for the previous query are released here:
+        # its result has been consumed by then (a later reuse recomputes)
+        release_cached()
         return fn(spark, sf_dir)
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__

@@ -33,8 +33,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """All time arithmetic in this package assumes a UTC session."""
+    """All time arithmetic in this package assumes a UTC session.  Plan
+    strings are capped: plans that read persisted intermediates repeat the
+    cached sub-plan in their text, and an uncapped text is kept per
+    execution by the SQL status store (a slow driver-memory leak)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        if int(spark.conf.get("spark.sql.maxPlanStringLength", "2147483632")) > 200_000:
+            spark.conf.set("spark.sql.maxPlanStringLength", "200000")
+    except Exception:
+        pass
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -108,10 +116,14 @@ def persist(df):
     return out
 
 
-def release_cached() -> None:
-    """Unpersist every intermediate this package persisted."""
-    while _PERSISTED:
-        try:
-            _PERSISTED.pop().unpersist()
-        except Exception:
-            pass
+def release_cached(keep=()) -> None:
+    """Unpersist the intermediates this package persisted, except ``keep``
+    (call once a downstream frame that reads them is materialised)."""
+    kept = [d for d in _PERSISTED if any(d is k for k in keep)]
+    for d in _PERSISTED:
+        if not any(d is k for k in keep):
+            try:
+                d.unpersist()
+            except Exception:
+                pass
+    _PERSISTED[:] = kept
