@@ -21,7 +21,7 @@ from barforge.config import DEFAULT_HORIZONS, DEFAULT_TASK, DEFAULT_THRESH, Layo
 from barforge.functions.columns import rolling, safe_div
 from barforge.functions.intervals import step_micros
 from barforge.operators.ewm import EwmSpec, add_ewms
-from barforge.operators.series import BLK, CORE, RN, SeriesPlan
+from barforge.operators.series import CORE, RN, SeriesPlan
 from barforge.session import persist
 
 RAW_FEATURE_BASE = ["symbol", "ts", "open", "high", "low", "close", "volume", "close_time",

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from barforge.config import WindowsConfig
 from barforge.operators.indicators import feature_names, target_names
-from barforge.operators.split import random_split_sizes  # noqa: F401  (sizes documented there)
 from barforge.rounding import digits, rnd_sql
 from barforge.sources.fixtures import HOURLY_BARS_SQL, SUPPLIER_BARS_SQL
 

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.config import WindowsConfig
-from barforge.functions.columns import epoch_micros
 from barforge.operators.clean import dedup_order, keep_valid, prepare_bars, prepare_rows
 from barforge.operators.gaps import check_gaps, find_time_gaps, first_gaps, grid_missing
 from barforge.operators.indicators import add_all_features, make_targets
