@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from barforge.llm import op2_lines, op10_urls
+from barforge.llm import op2_lines, op7_substrings, op10_urls
 
 QUERIES = {
     "op2_line_dedup": op2_lines.op2_line_dedup,
+    "op7_substring_dedup": op7_substrings.op7_substring_dedup,
     "op10_url_filter": op10_urls.op10_url_filter,
 }
 
 ORACLE_SQL = {
     "op2_line_dedup": op2_lines.ORACLE,
+    "op7_substring_dedup": op7_substrings.ORACLE,
     "op10_url_filter": op10_urls.ORACLE,
 }
