@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from barforge.llm import op2_lines, op7_substrings, op10_urls
+from barforge.llm import op2_lines, op7_substrings, op9_fingerprints, op10_urls
 
 QUERIES = {
     "op2_line_dedup": op2_lines.op2_line_dedup,
     "op7_substring_dedup": op7_substrings.op7_substring_dedup,
+    "op9_fingerprints": op9_fingerprints.op9_fingerprints,
     "op10_url_filter": op10_urls.op10_url_filter,
 }
 
