@@ -34,13 +34,14 @@ class Settings:
     the fit; all other rows and whole texts are scored."""
     sample_rows: int = 3000
     sample_bytes: int = 16_384
-    table_bits: int = 15
+    table_bits: int = 17
     size: int = 8
     filters: int = 12
     widths: tuple[int, ...] = (1, 2, 3)
     epochs: int = 8
-    batch: int = 64
-    rate: float = 0.01
+    batch: int = 32
+    least_texts: int = 3
+    rate: float = 0.03
     threshold: float = 0.7
     precision: float = 0.95
 
@@ -127,14 +128,20 @@ def _word_slices(data: np.ndarray, at: np.ndarray, limit: int = 1 << 17):
 
 def fit(texts: list[str], labels: np.ndarray, settings: Settings | None = None) -> Model:
     """Minibatch Adam on the logistic loss; only the positions of the maxima
-    carry gradients.  Deterministic."""
+    carry gradients.  Only embeddings of slots that ``least_texts``
+    texts hold are trained, the others are zero: unknown words say nothing, and rare ones can't be
+    learnt by heart.  Filters only add to the score, so a long text's other words
+    can't outweigh an insult.  Deterministic."""
     s = settings or Settings()
     rng = np.random.default_rng(3)
     f = s.filters * len(s.widths)
-    model = Model(s, rng.normal(0, 0.1, (1 << s.table_bits, s.size)).astype(np.float32),
+    model = Model(s, np.zeros((1 << s.table_bits, s.size), np.float32),
                   [rng.normal(0, 0.5, (w, s.size, s.filters)).astype(np.float32) for w in s.widths],
-                  np.zeros(f, np.float32), rng.normal(0, 0.3, f).astype(np.float32), float(np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1))))
+                  np.zeros(f, np.float32), np.abs(rng.normal(0, 0.3, f)).astype(np.float32), float(np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1))))
     kept = [features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]), s.table_bits)[0] for t in texts]
+    held = np.bincount(np.concatenate([np.unique(k) for k in kept]) if kept else [], minlength=1 << s.table_bits)
+    known = held >= s.least_texts
+    model.embed[known] = rng.normal(0, 0.01, (int(known.sum()), s.size))
     params = [model.embed, *model.weights, model.bias, model.out]
     first_moment, second_moment, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     for epoch in range(s.epochs):
@@ -142,7 +149,7 @@ def fit(texts: list[str], labels: np.ndarray, settings: Settings | None = None)
         for pick in np.array_split(rng.permutation(len(kept)), max(1, len(kept) // s.batch)):
             slots = np.concatenate([kept[i] for i in pick])
             first = np.concatenate([[0], np.cumsum([len(kept[i]) for i in pick])])
-            grads, bias_grad = _gradients(model, slots, first, labels[pick])
+            grads, bias_grad = _gradients(model, slots, first, labels[pick], known)
             model.out_bias -= rate * bias_grad
             step += 1
             for p, g, m, v in zip(params, grads, first_moment, second_moment):
@@ -151,10 +158,11 @@ def fit(texts: list[str], labels: np.ndarray, settings: Settings | None = None)
                 m[rows] = 0.9 * m[rows] + 0.1 * g
                 v[rows] = 0.99 * v[rows] + 0.01 * g * g
                 p[rows] -= rate * (m[rows] / (1 - 0.9 ** step)) / (np.sqrt(v[rows] / (1 - 0.99 ** step)) + 1e-6)
+            np.maximum(model.out, 0, out=model.out)
     return model
 
 
-def _gradients(model: Model, slots: np.ndarray, first: np.ndarray, labels: np.ndarray):
+def _gradients(model: Model, slots: np.ndarray, first: np.ndarray, labels: np.ndarray, known: np.ndarray):
     s, texts = model.settings, len(labels)
     pooled, conv, words = _pooled(model, slots, first)
     active = np.maximum(pooled, 0)
@@ -175,9 +183,11 @@ def _gradients(model: Model, slots: np.ndarray, first: np.ndarray, labels: np.nd
         d_weights.append(d)
     row = np.arange(len(slots)) + pad * np.repeat(np.arange(texts), np.diff(first))
     moved = np.flatnonzero(np.abs(d_words[row]).sum(1))
-    used, number = np.unique(slots[moved], return_inverse=True)
+    touched = slots[moved].ravel()
+    learnt = known[touched]
+    used, number = np.unique(touched[learnt], return_inverse=True)
     d_embed = np.zeros((len(used), s.size), np.float32)
-    np.add.at(d_embed, number.ravel(), np.repeat(d_words[row[moved]], slots.shape[1], 0))
+    np.add.at(d_embed, number, np.repeat(d_words[row[moved]], slots.shape[1], 0)[learnt])
     return [(used, d_embed), *d_weights, back.sum(0), active.T @ error], float(error.sum())
 
 
