@@ -38,7 +38,7 @@ class Settings:
     size: int = 8
     filters: int = 12
     widths: tuple[int, ...] = (1, 2, 3)
-    epochs: int = 8
+    epochs: int = 6
     batch: int = 32
     least_texts: int = 3
     rate: float = 0.03

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from barforge.llm import op2_lines, op3_toxicity, op6_minhash, op7_substrings, op9_fingerprints, op10_urls
+from barforge.llm import op2_lines, op3_toxicity, op4_topk, op5_warc, op6_minhash, op7_substrings, op9_fingerprints, op10_urls
 
 QUERIES = {
     "op2_line_dedup": op2_lines.op2_line_dedup,
     "op3_toxicity": op3_toxicity.op3_toxicity,
+    "op4_topk": op4_topk.op4_topk,
+    "op5_warc": op5_warc.op5_warc,
     "op6_near_duplicates": op6_minhash.op6_near_duplicates,
     "op7_substring_dedup": op7_substrings.op7_substring_dedup,
     "op9_fingerprints": op9_fingerprints.op9_fingerprints,
@@ -15,6 +17,8 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_line_dedup": op2_lines.ORACLE,
+    "op4_topk": op4_topk.ORACLE,
+    "op5_warc": op5_warc.ORACLE,
     "op6_near_duplicates": op6_minhash.ORACLE,
     "op7_substring_dedup": op7_substrings.ORACLE,
     "op10_url_filter": op10_urls.ORACLE,
