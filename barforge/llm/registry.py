@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from barforge.llm import op2_lines, op3_toxicity, op4_topk, op5_warc, op6_minhash, op7_substrings, op9_fingerprints, op10_urls
+from barforge.llm import op1_mixing, op2_lines, op3_toxicity, op4_topk, op5_warc, op6_minhash, op7_substrings, op8_packing, op9_fingerprints, op10_urls
 
 QUERIES = {
+    "op1_mixing": op1_mixing.op1_mixing,
     "op2_line_dedup": op2_lines.op2_line_dedup,
     "op3_toxicity": op3_toxicity.op3_toxicity,
     "op4_topk": op4_topk.op4_topk,
     "op5_warc": op5_warc.op5_warc,
     "op6_near_duplicates": op6_minhash.op6_near_duplicates,
     "op7_substring_dedup": op7_substrings.op7_substring_dedup,
+    "op8_packing": op8_packing.op8_packing,
     "op9_fingerprints": op9_fingerprints.op9_fingerprints,
     "op10_url_filter": op10_urls.op10_url_filter,
 }
