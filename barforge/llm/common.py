@@ -44,8 +44,3 @@ def total_bytes(df: DataFrame, c: str = "text") -> int:
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-
-def with_columns(df: DataFrame, added: dict[str, Column], keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of a caller's table and the operator's own; a
-    caller's column with the name of an added one is replaced."""
-    return df.select(*[F.col(f"`{c}`") for c in keep if c not in added], *[v.alias(k) for k, v in added.items()])

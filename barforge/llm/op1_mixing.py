@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from barforge.llm.common import shuffle_parts, stored, table, text_or_empty, with_columns
+from barforge.llm.common import shuffle_parts, stored, table, text_or_empty
 from barforge.llm.words import buffers, find_words, mix, salt, text_groups
 
 WEIGHTS = (1, 2, 3)
@@ -235,8 +235,9 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     met = base.join(spans, "row").select(*names, "spans")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in met.schema if f.name != "spans")
     out = met.mapInArrow(_cut(names.index(text), len(names), names), schema).toDF(*docs.columns)
-    added = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
-    return with_columns(out, added, docs.columns).select(*[F.col(f"`{c}`") for c in docs.columns])
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

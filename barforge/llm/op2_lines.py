@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm.common import id_key, stored, table, text_or_empty, with_columns
+from barforge.llm.common import id_key, stored, table, text_or_empty
 
 _BLANK = b" \t\n\x0b\x0c\r"
 
@@ -80,15 +80,15 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> Data
                     .where(F.col("n") >= min_docs).select("line", "keeper"), "common-lines")
     losses = (keyed.join(common, "line").where(F.col("doc") != F.col("keeper"))
               .groupBy(F.col("doc").alias("__doc"), F.col("text_hash").alias("__hash")).agg(F.collect_set("line").alias("__drop")))
-    named = docs.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(docs.columns)})
-    own = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    text = text_or_empty(own["text"])
-    named = named.select("*", id_key(own["doc_id"]).alias("__doc"), F.xxhash64(text).alias("__hash"), text.alias("__text")).drop(own["text"])
-    met = named.join(losses, ["__doc", "__hash"], "left").drop("__doc", "__hash")
+    names = [f"c{i}" for i in range(len(docs.columns))]  # as the caller's may be any
+    own = dict(zip(docs.columns, names))
+    text, others = text_or_empty(own["text"]), [c for c in names if c != own["text"]]
+    coded = docs.toDF(*names).select(*others, id_key(own["doc_id"]).alias("__doc"), F.xxhash64(text).alias("__hash"), text.alias("__text"))
+    met = coded.join(losses, ["__doc", "__hash"], "left").drop("__doc", "__hash")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in met.schema if f.name not in ("__text", "__drop"))
     out = met.mapInArrow(_reassemble(min_chars), f"{schema}, __text string, __lines long, __dropped long")
-    back = out.withColumnsRenamed({v: k for k, v in own.items()} | {"__text": "text"})
-    return with_columns(back, {"n_lines": F.col("__lines"), "n_dropped": F.col("__dropped")}, docs.columns)
+    kept = [F.col("__text" if c == "text" else own[c]).alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return out.select(*kept, F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"))
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
