@@ -19,12 +19,12 @@ Every row is an affine map ``y -> A*y + B``; maps compose associatively.
 2. One summary row per e-block (count, first/last non-NULL position, block
    map).  Prefix counts and last positions give each block's first-row map,
    then the composite block map ``(A_E, B_E)``.
-3. Carry-in of block E: ``sum_{E'<E} B_E' * exp(u_E' - T_E)`` with ``T`` the
-   cumulative decay (exact DECIMAL prefix sums) and ``u_E' = T_{E'+1}``.
-   Terms decayed by more than e^-50 are dropped; the rest are found by a
-   running sum inside "decay epochs" (``floor(T / 50)``), sources copied to
-   their epoch and the next.  An epoch holds a bounded number of
-   non-empty blocks, whatever the series length.
+3. Carry-in of block E: the maps of the e-blocks before it, composed in
+   order, nothing cut off.  A layout block's e-blocks are one sorted array
+   (bounded by ``block_rows / Be``) that is scanned from its carry-in; the
+   layout blocks' composite maps (one row each) are scanned first.  A value
+   that decays below the smallest double stays that, with its sign, as a
+   step-by-step recurrence does: it never turns into zero.
 4. The carries are collected per (symbol, layout block) into one sorted
    array (bounded by ``block_rows / Be``) and joined back on exactly the
    row side's partitioning keys, so the row side is not shuffled again.
@@ -44,9 +44,7 @@ from pyspark.sql import functions as F
 
 from barforge.operators.series import BLK, CORE, RN
 
-CLAMP = 60.0          # ln-multiplier floor: a map with A < e^-60 resets
-EPOCH = 50            # decay epoch width; terms below e^-50 are dropped
-DEC = "decimal(38,18)"
+TINY = 5e-324         # the smallest double
 
 
 @dataclass(frozen=True)
@@ -77,10 +75,19 @@ def eblock_size(alpha: float, cap: int = 512) -> int:
     return be
 
 
-def _ref(ep):
-    """Epoch reference decay ``EPOCH * (ep - 1)``, exact: long arithmetic
-    first (decimal products would lose scale)."""
-    return ((ep - 1) * EPOCH).cast(DEC)
+def _decayed(y, carry, factor, added):
+    """``y``, or the smallest double of the carry's sign where a value that
+    only decays (``factor`` > 0, nothing ``added``) has become zero."""
+    return F.when((y == 0) & (carry != 0) & (factor > 0) & (added == 0), F.signum(carry) * F.lit(TINY)).otherwise(y)
+
+
+def _scan(maps: str, start):
+    """The value before each map of an ordered array (A_E, B_E), from ``start``."""
+    def step(acc, e):
+        y = _decayed(e["A_E"] * acc["y"] + e["B_E"], acc["y"], e["A_f"] if maps == "_ebs" else F.lit(1.0), e["B_E"])
+        return F.struct(y.alias("y"), F.concat(acc["ys"], F.array(acc["y"])).alias("ys"))
+    first = F.struct(start.alias("y"), F.array().cast("array<double>").alias("ys"))
+    return F.aggregate(maps, first, step)["ys"]
 
 
 def _ln1m(alpha: float) -> float:
@@ -247,44 +254,33 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
         *pk, BLK, "_eb", "n_obs", "cnt_before", "f_rn", "x_f",
         F.when(seed, F.lit(0.0)).otherwise(o / (o + alpha)).alias("A_f"),
         F.when(seed, F.col("x_f")).otherwise(alpha * F.col("x_f") / (o + alpha)).alias("b_f"),
-        F.when(seed, F.lit(-CLAMP)).otherwise(F.greatest(dfn * la - F.log(o + alpha), F.lit(-CLAMP))).alias("ell_f"),
         "L_end", "loc_end")
     longf = longf.select(
-        *pk, BLK, "_eb", "n_obs", "cnt_before", "f_rn", "x_f", "A_f", "b_f",
-        F.when(has, F.exp(F.col("L_end")) * F.col("b_f") + F.col("loc_end")).otherwise(F.lit(0.0)).alias("B_E"),
-        (-F.when(has, F.greatest(F.col("L_end") + F.col("ell_f"), F.lit(-CLAMP))).otherwise(F.lit(0.0))).cast(DEC).alias("dec"))
-    longf = _prefix(longf, pk, blocked, {"T": ("dec", "sum")})
-    longf = longf.select(*[c for c in longf.columns if c != "T"], F.coalesce(F.col("T"), F.lit(0).cast(DEC)).alias("T"))
-
-    # --- 3. carry-in through decay epochs ------------------------------------
-    ep_w = F.lit(EPOCH).cast(DEC)
-    tgt = longf.select(*pk, BLK, "_eb", F.lit(0).alias("kind"),
-                       F.floor(F.col("T") / ep_w).cast("long").alias("ep"),
-                       "T", F.lit(0.0).alias("val"), "A_f", "b_f", "cnt_before", "n_obs", "f_rn", "x_f")
-    u = F.col("T") + F.col("dec")
-    src = (longf.filter(has)
-           .select("*", u.alias("_u"))
-           .select("*", F.explode(F.array(F.floor(F.col("_u") / ep_w).cast("long"),
-                                          F.floor(F.col("_u") / ep_w).cast("long") + 1)).alias("ep"))
-           .select(*pk, BLK, "_eb", F.lit(1).alias("kind"), "ep", F.lit(None).cast(DEC).alias("T"),
-                   (F.col("B_E") * F.exp((F.col("_u") - _ref(F.col("ep"))).cast("double"))).alias("val"),
-                   F.lit(None).cast("double").alias("A_f"), F.lit(None).cast("double").alias("b_f"),
-                   F.lit(None).cast("long").alias("cnt_before"), F.lit(None).cast("long").alias("n_obs"),
-                   F.lit(None).cast("long").alias("f_rn"), F.lit(None).cast("double").alias("x_f")))
-    w_ep = Window.partitionBy(*pk, "ep").orderBy(BLK, "_eb", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    carry = (tgt.unionByName(src)
-             .select("*", F.sum("val").over(w_ep).alias("_run"))
-             .filter(F.col("kind") == 0)
-             .select(*pk, BLK, "_eb", (F.exp((_ref(F.col("ep")) - F.col("T")).cast("double")) * F.col("_run")).alias("c"),
-                     "A_f", "b_f", "f_rn", "x_f",
-                     F.coalesce(F.col("cnt_before"), F.lit(0)).cast("long").alias("cb")))
+        *pk, BLK, "_eb", "f_rn", "x_f", "A_f", "b_f", F.coalesce("cnt_before", F.lit(0)).cast("long").alias("cb"),
+        F.when(has, F.exp("L_end") * F.col("A_f")).otherwise(F.lit(1.0)).alias("A_E"),
+        F.when(has, F.exp("L_end") * F.col("b_f") + F.col("loc_end")).otherwise(F.lit(0.0)).alias("B_E"))
+
+    # --- 3. carry-in: the maps composed in order ------------------------------
+    blocks = longf.groupBy(*pk, BLK).agg(F.sort_array(F.collect_list(
+        F.struct("_eb", "A_E", "B_E", "A_f", "b_f", "cb", "f_rn", "x_f"))).alias("_ebs"))
+    if blocked:
+        one = F.struct(F.lit(1.0).alias("A"), F.lit(0.0).alias("B"))
+        whole = F.aggregate("_ebs", one, lambda m, e: F.struct((e["A_E"] * m["A"]).alias("A"), (e["A_E"] * m["B"] + e["B_E"]).alias("B")))
+        maps = blocks.select(*pk, F.struct(BLK, whole["A"].alias("A_E"), whole["B"].alias("B_E")).alias("_m"))
+        starts = maps.groupBy(*pk).agg(F.sort_array(F.collect_list("_m")).alias("_ms"))
+        starts = starts.select(*pk, F.explode(F.arrays_zip(F.col(f"_ms.{BLK}").alias(BLK), _scan("_ms", F.lit(0.0)).alias("_c0"))).alias("_s"))
+        blocks = blocks.join(starts.select(*pk, f"_s.{BLK}", "_s._c0"), [*pk, BLK])
+    else:
+        blocks = blocks.withColumn("_c0", F.lit(0.0))
 
     # --- 4. one sorted array of carries per (symbol, layout block) ----------
     per_blk = block_rows // be
-    carry = carry.select("*", (F.col("_eb") - F.col(BLK) * per_blk).alias("_idx"))
-    arrays = carry.groupBy(*keys, BLK).agg(*[
-        F.sort_array(F.collect_list(F.when(F.col("spec") == i, F.struct("_idx", "c", "A_f", "b_f", "cb", "f_rn", "x_f")))).alias(f"_cy{i}")
-        for i in range(len(specs))])
+    blocks = blocks.withColumn("_c", _scan("_ebs", F.col("_c0")))
+    carried = F.zip_with("_ebs", "_c", lambda e, c: F.struct(
+        (e["_eb"] - F.col(BLK) * per_blk).alias("_idx"), c.alias("c"), e["A_f"].alias("A_f"), e["b_f"].alias("b_f"),
+        e["cb"].alias("cb"), e["f_rn"].alias("f_rn"), e["x_f"].alias("x_f")))
+    arrays = blocks.select(*keys, BLK, "spec", carried.alias("_cy")).groupBy(*keys, BLK).agg(*[
+        F.first(F.when(F.col("spec") == i, F.col("_cy")), True).alias(f"_cy{i}") for i in range(len(specs))])
     d = d.join(arrays, [*keys, BLK])
     idx = (F.col("_eb") - F.col(BLK) * per_blk + 1).cast("int")
     # halo rows (other blocks' rows copied in for bounded frames) get NULL
@@ -299,10 +295,11 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
             gf = cy["x_f"] * F.exp(F.lit(-la) * (cy["f_rn"] - start).cast("double"))
             loc = F.lit(a) * F.exp(F.lit(la) * (F.col(RN) - start).cast("double")) * (F.col(f"_G{i}") - gf)
             lt = F.lit(la) * (F.col(RN) - cy["f_rn"]).cast("double")
-            y = F.when(F.col(f"_lc{i}") == 0, cy["c"]).otherwise(F.exp(lt) * (cy["A_f"] * cy["c"] + cy["b_f"]) + loc)
+            y = _decayed(F.exp(lt) * (cy["A_f"] * cy["c"] + cy["b_f"]) + loc, cy["c"], cy["A_f"], cy["b_f"] + loc)
         else:
-            y = F.when(F.col(f"_lc{i}") == 0, cy["c"]).otherwise(
-                F.exp(F.col(f"_cum{i}")) * (cy["A_f"] * cy["c"] + cy["b_f"]) + F.col(f"_loc{i}"))
+            y = _decayed(F.exp(F.col(f"_cum{i}")) * (cy["A_f"] * cy["c"] + cy["b_f"]) + F.col(f"_loc{i}"),
+                         cy["c"], cy["A_f"], cy["b_f"] + F.col(f"_loc{i}"))
+        y = F.when(F.col(f"_lc{i}") == 0, cy["c"]).otherwise(y)
         mp = max(1, int(s.min_periods))
         outs.append(F.when(cy["cb"] + F.col(f"_lc{i}") >= mp, y).alias(s.name))
     d = d.select("*", *outs)

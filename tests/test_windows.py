@@ -161,3 +161,47 @@ def test_targets(spark):
     mt = make_targets(md, (1,), "multiclass", 0.01, hot_symbols=[]).orderBy("ts").toPandas()
     assert mt["target_cls_1"].tolist()[:4] == [1, 0, 0, -1]
     assert pd.isna(mt["target_cls_1"].tolist()[4])
+
+
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("dense", [False, True])
+def test_ewm_long_decay(spark, hot, dense):
+    """Nothing is cut off: after the last non-zero value the mean decays for
+    thousands of rows and, like the step-by-step recurrence, never becomes zero."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.random(50), np.zeros(12_000), rng.random(3), np.zeros(300)])
+    df, pdf = _series(spark, list(x))
+    got = _ewm(spark, df, 1 / 14, 14, Layout(hot_rows=40, block_rows=2048, bucket_steps=512, ewm_block=256) if hot else Layout(),
+               ["A"] if hot else [], dense=dense)
+    y, want = x[0], []
+    for v in x:
+        y = y * (13 / 14) + v / 14
+        want.append(y)
+    want = np.array(want)
+    seen = want > 1e-290
+    assert (got[13:] > 0).all()
+    assert np.allclose(got[13:][seen[13:]], want[13:][seen[13:]], rtol=1e-9)
+
+
+def test_rsi_of_long_flat_and_rising_runs(spark):
+    rng = np.random.default_rng(6)
+    head = 50 + np.cumsum(rng.normal(size=200))
+    runs = {"flat": np.full(3000, head[-1]), "up": head[-1] + np.arange(1, 3001) * 0.01}
+    frames = []
+    for name, run in runs.items():
+        c = np.concatenate([head, run])
+        frames.append(pd.DataFrame({"symbol": name, "ts": pd.date_range("2024-01-01", periods=len(c), freq="min"), "open": c, "high": c,
+                                    "low": c, "close": c, "volume": 1.0}))
+    bars = spark.createDataFrame(pd.concat(frames)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    got = add_all_features(bars, interval="1m", horizons=None, trim_warmup=False, columns=["rsi_14"]).toPandas()
+    for name, run in runs.items():
+        c = np.concatenate([head, run])
+        rsi = got[got["symbol"] == name].sort_values("ts")["rsi_14"].to_numpy(dtype="float64", na_value=np.nan)
+        gain, loss, want = None, None, []
+        for d in np.diff(c):
+            g, ls = max(d, 0.0), max(-d, 0.0)
+            gain = g if gain is None else gain * (13 / 14) + g / 14
+            loss = ls if loss is None else loss * (13 / 14) + ls / 14
+            want.append(100 - 100 / (1 + gain / loss) if loss else np.nan)
+        assert np.isnan(rsi).sum() == 14, name
+        assert np.allclose(rsi[14:], want[13:], atol=1e-6)
