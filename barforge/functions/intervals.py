@@ -7,6 +7,7 @@ is the ingest-side table, which rejects anything else.
 
 from __future__ import annotations
 
+import re
 import warnings
 from datetime import datetime, timedelta, timezone
 
@@ -33,19 +34,22 @@ ALIAS_STEP: dict[str, timedelta] = {
 }
 DEFAULT_STEP = timedelta(minutes=5)
 
-_UNITS = {"m": "minutes", "h": "hours", "d": "days"}
+_UNIT = {"m": timedelta(minutes=1), "h": timedelta(hours=1), "d": timedelta(days=1)}
+_COUNT = re.compile(r"(\d+)\s*(m|h|d)(?:in(?:ute)?s?)?", re.IGNORECASE)
+
+
+def _span(text: str, units: str) -> timedelta | None:
+    """``<count><unit>`` as a time span, if the text is one."""
+    hit = _COUNT.fullmatch(text.strip())
+    return int(hit[1]) * _UNIT[hit[2].lower()] if hit and hit[2].lower() in units else None
 
 
 def infer_step(interval: str) -> timedelta:
     """Fixed grid step of a bar interval (feature side)."""
-    if interval in ALIAS_STEP:
-        return ALIAS_STEP[interval]
-    s = interval.lower().replace("minute", "m").replace("min", "m")
-    unit, num = s[-1:], s[:-1]
-    if unit in _UNITS and num.isdigit():
-        return timedelta(**{_UNITS[unit]: int(num)})
-    warnings.warn(f"unknown interval {interval!r}; using 5 minutes", stacklevel=2)
-    return DEFAULT_STEP
+    step = ALIAS_STEP.get(interval) or _span(interval, "mhd")
+    if step is None:
+        warnings.warn(f"unknown interval {interval!r}; using 5 minutes", stacklevel=2)
+    return step or DEFAULT_STEP
 
 
 def step_micros(interval_or_step) -> int:
@@ -54,45 +58,56 @@ def step_micros(interval_or_step) -> int:
 
 
 def ingest_step_ms(interval: str) -> int:
-    """Step in ms for ingest; unsupported interval is an error."""
-    if interval not in INTERVAL_MS:
-        raise ValueError(
-            f"Unsupported interval: {interval}. Supported: {list(INTERVAL_MS)}")
-    return INTERVAL_MS[interval]
+    """Step in ms for ingest; other intervals are an error."""
+    try:
+        return INTERVAL_MS[interval]
+    except KeyError:
+        raise ValueError(f"candles of {interval!r} can't be fetched; choose from {sorted(INTERVAL_MS)}") from None
+
+
+#: Forms of an absolute time that ISO 8601 does not cover.
+_DATE_FORMS = ("%Y/%m/%d", "%Y/%m/%d %H:%M", "%Y/%m/%d %H:%M:%S", "%d %b %Y", "%b %d %Y", "%Y%m%d")
+
+
+def _absolute(text: str) -> datetime:
+    try:
+        return datetime.fromisoformat(text.upper())
+    except ValueError:
+        pass
+    for form in _DATE_FORMS:
+        try:
+            return datetime.strptime(text, form)
+        except ValueError:
+            continue
+    raise ValueError(f"{text!r} is neither a time nor a span such as 7d or 12h")
 
 
 def parse_time(text: str | None, now: datetime | None = None) -> datetime | None:
-    """``Nd`` / ``Nh`` = that long before ``now``; anything else is an
-    absolute time, read as UTC."""
+    """``7d`` and ``12h`` mean so long before ``now``; other texts are times,
+    in UTC unless they say otherwise; None stays None."""
     if text is None:
         return None
-    now = now or datetime.now(timezone.utc)
-    t = text.strip().lower()
-    if t[:-1].isdigit() and t.endswith("d"):
-        return now - timedelta(days=int(t[:-1]))
-    if t[:-1].isdigit() and t.endswith("h"):
-        return now - timedelta(hours=int(t[:-1]))
-    dt = datetime.fromisoformat(t.upper().replace("Z", "+00:00")) if "t" in t else datetime.fromisoformat(t)
-    if dt.tzinfo is None:
-        dt = dt.replace(tzinfo=timezone.utc)
-    return dt.astimezone(timezone.utc)
+    ago = _span(text, "dh")
+    if ago is not None:
+        return (now or datetime.now(timezone.utc)) - ago
+    at = _absolute(text.strip())
+    return at.astimezone(timezone.utc) if at.tzinfo else at.replace(tzinfo=timezone.utc)
+
+
+#: Length of a window of which neither days nor a start is given.
+DEFAULT_WINDOW = timedelta(days=7)
 
 
 def resolve_window(days: int | None = None, start: str | None = None,
                    end: str | None = None, interval: str = "1m",
                    now: datetime | None = None) -> tuple[datetime, datetime]:
-    """``[start, end)`` of a bounded scan: ``days`` XOR ``start/end``;
-    default end = now, default start = end - 7 days."""
-    if days is not None and (start or end):
-        raise ValueError("Use either days or start/end, not both.")
+    """``[start, end)`` of a bounded scan, from a number of days up to now or
+    from start and end (now and a week before the end where not given)."""
+    ingest_step_ms(interval)
     now = now or datetime.now(timezone.utc)
+    if days is not None and not (start or end):
+        return now - timedelta(days=days), now
     if days is not None:
-        end_dt = now
-        start_dt = end_dt - timedelta(days=days)
-    else:
-        end_dt = parse_time(end, now) or now
-        start_dt = parse_time(start, now)
-        if start_dt is None:
-            start_dt = end_dt - timedelta(days=7)
-    ingest_step_ms(interval)
-    return start_dt, end_dt
+        raise ValueError("a window has either days or a start and an end")
+    until = parse_time(end, now) if end else now
+    return (parse_time(start, now) if start else until - DEFAULT_WINDOW), until

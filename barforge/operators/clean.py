@@ -30,23 +30,18 @@ def parse_time(c: str, dtype) -> Column:
     if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
         return F.timestamp_millis(col.cast("long"))
     s = F.trim(col.cast("string"))
-    iso = F.regexp_replace(F.regexp_replace(s, " ", "T"), "Z$", "+00:00")
-    return F.coalesce(
-        F.try_to_timestamp(iso, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]")),
-        F.try_to_timestamp(iso, F.lit("yyyy-MM-dd'T'HH:mm[XXX]")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd")),
-        F.when(s.rlike(r"^-?\d{9,}$"), F.timestamp_millis(s.try_cast("long"))),
-    )
+    # a bare number is epoch milliseconds; the cast would read short ones as years
+    return F.when(s.rlike(r"^-?\d{9,}$"), F.timestamp_millis(s.try_cast("long"))).otherwise(s.try_cast("timestamp"))
 
 
 def check_symbol(df: DataFrame, expected_symbol: str | None, symbol: str = "symbol") -> None:
     """Raise unless ``expected_symbol`` occurs.  One pruned lookup; the
-    distinct list is only built for the message."""
+    message names a few of the symbols there are."""
     if expected_symbol is None:
         return
     if df.filter(F.col(symbol).cast("string") == expected_symbol).limit(1).count() == 0:
-        found = sorted(r[0] for r in df.select(F.col(symbol).cast("string")).distinct().limit(1000).collect())
-        raise ValueError(f"expected_symbol={expected_symbol} not found in file symbols={set(found)}")
+        some = [str(r[0]) for r in df.select(F.col(symbol).cast("string")).distinct().limit(10).collect()]
+        raise ValueError(f"no rows of symbol {expected_symbol!r}; the input holds, among others, {sorted(some)}")
 
 
 def prepare_rows(df: DataFrame) -> DataFrame:
@@ -64,7 +59,7 @@ def prepare_rows(df: DataFrame) -> DataFrame:
             out = out.withColumn(c, nan_to_null(F.col(c).cast("double")) if isinstance(dt, T.NumericType)
                                  else to_double(c))
     if "trades" in sch and isinstance(sch["trades"], T.StringType):
-        out = out.withColumn("trades", F.col("trades").try_cast("long"))
+        out = out.withColumn("trades", F.col("trades").try_cast("double").try_cast("long"))
     out = out.withColumn("high", envelope_high())
     out = out.withColumn("low", envelope_low())
     return out

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from barforge.config import Layout
 from barforge.functions.columns import epoch_micros, iso_utc
 from barforge.functions.intervals import ingest_step_ms, step_micros
-from barforge.operators.series import CORE, SeriesPlan
+from barforge.operators.series import CORE, SeriesPlan, with_series_key
 
 
 def check_gaps(df: DataFrame, interval: str, symbol: str = "symbol", ts: str = "open_time",
@@ -65,8 +65,9 @@ def find_time_gaps(df: DataFrame, interval: str = "5m", max_allow_miss: int = 0,
     """``(symbol, gap_start, gap_end, missing_count)`` for runs of missing
     grid points longer than ``max_allow_miss``."""
     if ts not in df.columns:
-        raise ValueError("DataFrame must contain 'ts' column. Call load_and_prepare first.")
+        raise ValueError(f"gap search needs the time column {ts!r}; clean the candles first")
     step_us = step_micros(interval)
+    df, restore = with_series_key(df, symbol)
     pts, bounds = _on_grid(df, symbol, ts, step_us)
     # sentinel: one virtual present point after the last grid point, so a
     # trailing run (last bar off-grid) is closed like the others
@@ -85,7 +86,7 @@ def find_time_gaps(df: DataFrame, interval: str = "5m", max_allow_miss: int = 0,
             F.timestamp_micros(F.col("_u0") + (F.col("g") - 1) * F.lit(step_us)).alias("gap_end"),
             miss.cast("long").alias("missing_count"), CORE)
 
-    out = plan.map(fn)
+    out = restore(plan.map(fn)) if symbol == "symbol" else plan.map(fn)
     if dict(df.dtypes).get(ts) == "timestamp_ntz":
         out = out.select("symbol", F.col("gap_start").cast("timestamp_ntz").alias("gap_start"),
                          F.col("gap_end").cast("timestamp_ntz").alias("gap_end"), "missing_count")
@@ -97,6 +98,7 @@ def grid_missing(df: DataFrame, interval: str = "5m", symbol: str = "symbol", ts
     """Missing grid points ``(symbol, ts)``: the full grid from each
     symbol's first to last bar, anti-joined with the present bars."""
     step_us = step_micros(interval)
+    df, restore = with_series_key(df, symbol)
     pts, bounds = _on_grid(df, symbol, ts, step_us)
     chunks = (bounds.select("symbol", "_u0", "g_max",
                             F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("g_max") / chunk).cast("long"))).alias("_c"))
@@ -105,6 +107,7 @@ def grid_missing(df: DataFrame, interval: str = "5m", symbol: str = "symbol", ts
         F.col("_c") * chunk, F.least(F.col("_c") * chunk + (chunk - 1), F.col("g_max")))).alias("g"), "_u0")
     missing = grid.join(pts.select("symbol", "g"), ["symbol", "g"], "left_anti")
     out = missing.select("symbol", F.timestamp_micros(F.col("_u0") + F.col("g") * F.lit(step_us)).alias("ts"))
+    out = restore(out) if symbol == "symbol" else out
     if dict(df.dtypes).get(ts) == "timestamp_ntz":
         out = out.select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"))
     return out

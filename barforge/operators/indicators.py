@@ -114,10 +114,14 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
                      thresh: float = DEFAULT_THRESH, trim_warmup: bool = True,
                      layout: Layout | None = None, hot_symbols="auto",
                      dedup_order=None, keep: Column | None = None,
-                     columns: Iterable[str] | None = None) -> DataFrame:
+                     columns: Iterable[str] | None = None, close_known: bool = False) -> DataFrame:
     """Features (and, unless ``horizons`` is None, targets) of a cleaned bar
     table keyed ``(symbol, ts)``.
 
+    ``close_known``: the caller's promise that no row (after ``keep``) lacks
+    ``close``, as ``keep_valid()`` ensures; the recursive averages then need
+    no hole handling.
+
     ``columns``: only these indicator columns (default: all).  Unused
     rolling frames are pruned by the optimizer; the recursive averages are
     only scanned when a requested column needs them.
@@ -165,7 +169,7 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
                      F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0))).alias("_gain"),
                      F.when(delta.isNotNull(), -F.least(delta, F.lit(0.0))).alias("_loss"),
                      F.greatest(high - low, F.abs(high - F.col("_prev")), F.abs(low - F.col("_prev"))).alias("_tr"))
-        dn = keep is not None
+        dn = close_known
         specs = [EwmSpec.span(f"_ema{s}", "close", s, dense=dn) for s in spans]
         if need_rsi:
             specs += [EwmSpec.wilder("_ag", "_gain", cfg.rsi, dense=dn),

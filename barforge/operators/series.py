@@ -38,6 +38,18 @@ CORE = "_core"
 INTERNAL = (BLK, RN, CORE)
 
 
+#: Stands for a NULL symbol while rows are keyed by it (joins match no NULLs).
+NO_SYMBOL = "\x00"
+
+
+def with_series_key(df: DataFrame, symbol: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with a symbol that is never NULL, and the way back."""
+    if dict(df.dtypes).get(symbol) != "string":
+        return df, lambda out: out
+    keyed = df.withColumn(symbol, F.coalesce(symbol, F.lit(NO_SYMBOL)))
+    return keyed, lambda out: out.withColumn(symbol, F.nullif(F.col(symbol), F.lit(NO_SYMBOL))) if symbol in out.columns else out
+
+
 def detect_hot_symbols(df: DataFrame, symbol: str = "symbol",
                        hot_rows: int = Layout().hot_rows) -> list:
     """Symbols with more than ``hot_rows`` rows.  At most
@@ -71,6 +83,7 @@ class SeriesPlan:
     hot_symbols: Sequence | str = "auto"
 
     def __post_init__(self):
+        self.df, self._restore = with_series_key(self.df, self.symbol)
         if self.back >= self.layout.block_rows or self.ahead >= self.layout.block_rows:
             raise ValueError("halo larger than a block")
         if isinstance(self.hot_symbols, str):
@@ -151,4 +164,5 @@ class SeriesPlan:
             out = out.unionByName(p)
         if CORE in out.columns:
             out = out.filter(F.col(CORE))
+        out = self._restore(out)
         return out.drop(*[c for c in INTERNAL if c in out.columns])

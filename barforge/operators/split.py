@@ -1,13 +1,12 @@
 """Train / validation / test assignment with exact sizes and no global
 row-level window.
 
-``rank_cut`` gives every row its 0-based position in a total order
-``(key, tie...)`` only where needed: rows are counted per coarse bucket of
-the key (a small table), bucket prefix counts locate the bucket that holds
-each cut, and only the rows of those (at most two) buckets are ranked in
-full.  Everything else is assigned by comparing its bucket with the cut
-buckets.  The sort key is a long: epoch microseconds for the time split, a
-64-bit hash of ``(symbol, ts, seed)`` for the random split.
+A cut is a position in the total order ``(key, ties...)``.  It is found by
+refinement: rows are counted per wide bucket of the key, then per finer
+bucket inside the one that holds the cut, down to a single key value.  Rows
+are assigned by comparing their key with the cut values (literals); only
+the rows that share a cut value are ranked by the ties.  The key is a long:
+epoch microseconds for the time split, 60 bits of an MD5 for the random one.
 """
 
 from __future__ import annotations
@@ -19,7 +18,11 @@ from pyspark.sql import functions as F
 
 from barforge.functions.columns import epoch_micros
 
-DAY_US = 86_400_000_000
+#: Bucket widths of the refinement, in microseconds: a day, a minute, one value.
+TIME_WIDTHS = (86_400_000_000, 60_000_000, 1)
+#: And of 60-bit hashes.
+HASH_WIDTHS = (1 << 40, 1 << 20, 1)
+LAST = 2**63 - 1
 
 
 def time_split_sizes(n: int, train_size: float, valid_size: float) -> tuple[int, int, int]:
@@ -44,56 +47,75 @@ def random_split_sizes(n: int, train_size: float, valid_size: float) -> tuple[in
     return m - n_valid, n_valid, n_test
 
 
-def assign_by_rank(df: DataFrame, key: Column, ties: list, cuts: tuple[int, int],
-                   bucket_of: Column, labels=("train", "valid", "test")) -> DataFrame:
+def find_cut(df: DataFrame, key: str, cut: int, widths: tuple[int, ...]) -> tuple[int, int]:
+    """(key value, rows with a smaller key) of the row at position ``cut``;
+    past the last row the greatest key and the number of rows."""
+    before, inside = 0, F.lit(True)
+    for width in widths:
+        bucket = F.floor(F.col(key) / F.lit(width)) if width > 1 else F.col(key)
+        counts = df.where(inside).groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
+        hit = (counts.withColumn("upto", upto).where(F.col("upto") > cut - before).orderBy("b").select("b", "n", "upto").first())
+        if hit is None:
+            return LAST, cut
+        before += hit.upto - hit.n
+        inside = inside & (bucket == F.lit(hit.b))
+    return hit.b, before
+
+
+def assign_by_rank(df: DataFrame, key: Column, ties: list, cuts: tuple[int, int], widths: tuple[int, ...],
+                   labels=("train", "valid", "test"), whole: bool = False) -> DataFrame:
     """Add ``split``: positions ``< cuts[0]`` get labels[0], ``< cuts[1]``
-    labels[1], the rest labels[2], in the total order ``(key, *ties)``.
-    ``bucket_of`` must be monotone in ``key``."""
-    d = df.withColumn("_k", key).withColumn("_bk", bucket_of)
-    counts = d.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per bucket (days, or 2^20 hash buckets at most): a small table
-    counts = counts.withColumn("_before", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    straddle = None
-    for c in cuts:
-        cond = (F.col("_before") < c) & (F.col("_before") + F.col("_n") > c)
-        straddle = cond if straddle is None else (straddle | cond)
-    cut_buckets = [r[0] for r in counts.filter(straddle).select("_bk").collect()]  # at most two
-    inside = F.col("_bk").isin(cut_buckets) if cut_buckets else F.lit(False)
-    ranked = (d.filter(inside)
-              .withColumn("_pos", (F.row_number().over(Window.partitionBy("_bk").orderBy("_k", *ties)) - 1).cast("long")))
-    rest = d.filter(~inside).withColumn("_pos", F.lit(0).cast("long"))
-    both = ranked.unionByName(rest).join(counts.select("_bk", "_before"), "_bk")
-    # a bucket that straddles no cut lies wholly on one side of each cut,
-    # so its first position decides for all of its rows
-    pos = F.col("_before") + F.col("_pos")
-    split = (F.when(pos < cuts[0], F.lit(labels[0]))
-             .when(pos < cuts[1], F.lit(labels[1])).otherwise(F.lit(labels[2])))
-    return both.withColumn("split", split).drop("_k", "_bk", "_before", "_pos")
+    labels[1], the rest labels[2], in the total order ``(key, *ties)``.  With
+    ``whole`` the rows of one key stay together: a key that holds a cut goes
+    to the part in which it begins."""
+    d = df.withColumn("_k", key)
+    found = [find_cut(d, "_k", c, widths) for c in cuts]
+    at_cut = F.col("_k").isin(sorted({k for k, _ in found}))
+    if whole:
+        ranked = d.withColumn("_pos", F.lit(0))
+    else:
+        order = Window.partitionBy("_k").orderBy(*ties)
+        ranked = d.where(at_cut).withColumn("_pos", F.row_number().over(order) - 1).unionByName(
+            d.where(~at_cut).withColumn("_pos", F.lit(0)))
+    split = F.lit(labels[2])
+    for (k, before), cut, label in reversed(list(zip(found, cuts, labels))):
+        early = (F.col("_k") < F.lit(k)) | ((F.col("_k") == F.lit(k)) & (F.col("_pos") + F.lit(before) < F.lit(cut)))
+        split = F.when(early, F.lit(label)).otherwise(split)
+    return ranked.withColumn("split", split).drop("_k", "_pos")
+
+
+def _time_key(ts: str) -> Column:
+    """Rows without a time come last."""
+    return F.coalesce(epoch_micros(ts), F.lit(LAST))
 
 
 def split_time(df: DataFrame, n: int, train_size: float = 0.7, valid_size: float = 0.15,
-               ts: str = "ts", symbol: str = "symbol") -> DataFrame:
-    """Chronological split in the total order ``(ts, symbol)``."""
+               ts: str = "ts", symbol: str = "symbol", whole_timestamps: bool = False) -> DataFrame:
+    """Chronological split in the total order ``(ts, symbol)``, NULLs last;
+    with ``whole_timestamps`` no time is in two parts."""
     a, v, _ = time_split_sizes(n, train_size, valid_size)
-    us = epoch_micros(ts)
-    ties = [F.col(symbol)] if symbol in df.columns else []
-    return assign_by_rank(df, us, ties, (a, a + v), F.floor(us / F.lit(DAY_US)))
+    ties = [F.col(symbol).asc_nulls_last()] if symbol in df.columns else [F.lit(0)]
+    return assign_by_rank(df, _time_key(ts), ties, (a, a + v), TIME_WIDTHS, whole=whole_timestamps)
+
+
+def hash_key(ts: str | None, symbol: str | None, seed: int) -> Column:
+    """60 bits of the MD5 of the text ``symbol|epoch micros|seed``."""
+    parts = [F.coalesce(F.col(symbol).cast("string"), F.lit("")) if symbol else F.lit(""),
+             F.coalesce(epoch_micros(ts).cast("string"), F.lit("")) if ts else F.lit(""), F.lit(str(int(seed)))]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def split_random(df: DataFrame, n: int, train_size: float = 0.7, valid_size: float = 0.15,
                  random_state: int = 42, shuffle: bool = True, ts: str = "ts",
                  symbol: str = "symbol") -> DataFrame:
-    """Random split with the reference's sizes; the shuffled order is a
-    64-bit hash of ``(ts, symbol, seed)``.  ``shuffle=False`` degrades to the
-    sequential order, train then valid then test, as in the reference."""
+    """Random split with the two-step sizes; the shuffled order is that of
+    ``hash_key``: test first, then validation, then train.  ``shuffle=False`` keeps the
+    order of time: train, then validation, then test."""
     tr, va, te = random_split_sizes(n, train_size, valid_size)
-    ties = [F.col(c) for c in (ts, symbol) if c in df.columns]
+    sym = [F.col(symbol).asc_nulls_last()] if symbol in df.columns else []
     if shuffle:
-        h = F.xxhash64(*ties, F.lit(int(random_state)))
-        # shuffled positions: test first, then valid, then train
-        return assign_by_rank(df, h, ties, (te, te + va), F.shiftright(h, 44),
-                              labels=("test", "valid", "train"))
-    us = epoch_micros(ts)
-    sym = [F.col(symbol)] if symbol in df.columns else []
-    return assign_by_rank(df, us, sym, (tr, tr + va), F.floor(us / F.lit(DAY_US)))
+        key = hash_key(ts if ts in df.columns else None, symbol if symbol in df.columns else None, random_state)
+        ties = [F.col(ts).asc_nulls_last(), *sym] if ts in df.columns else sym or [F.lit(0)]
+        return assign_by_rank(df, key, ties, (te, te + va), HASH_WIDTHS, labels=("test", "valid", "train"))
+    return assign_by_rank(df, _time_key(ts), sym or [F.lit(0)], (tr, tr + va), TIME_WIDTHS)

@@ -3,28 +3,47 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from barforge.config import Layout, WindowsConfig
+from barforge.functions.intervals import resolve_window
 from barforge.operators.gaps import check_gaps, first_gaps
 from barforge.plans.dataset import get_ml_datasets
 from barforge.plans.features import build_features
+from barforge.session import scratch_path
 from barforge.sources.files import save_features, save_raw
 from barforge.sources.klines import read_kline_pages
 
 
+def ingest(spark: SparkSession, pages_root: str, symbols: list[str] | None = None, interval: str = "1m",
+           days: int | None = None, start: str | None = None, end: str | None = None, pages_whole_files: bool = True):
+    """Landed candles of ``symbols`` (all, if None) in the window that
+    ``days`` or ``start`` and ``end`` give, both as in ``resolve_window``."""
+    lo, hi = resolve_window(days, start, end, interval)
+    lo, hi = (F.lit(t.replace(tzinfo=None)).cast("timestamp_ntz").cast("timestamp") for t in (lo, hi))
+    raw = read_kline_pages(spark, pages_root, lo, hi, whole_files=pages_whole_files)
+    return raw if symbols is None else raw.where(F.col("symbol").isin([s.upper() for s in symbols]))
+
+
 def get_raw_dataset(spark: SparkSession, pages_root: str, out_dir: str, interval: str = "1m",
                     start=None, end=None, file_format: str = "csv", layout: Layout | None = None,
                     pages_whole_files: bool = True):
-    """Ingest landed pages; stop with a warning if empty; print the first 20
-    gaps; write the raw sink.  Returns (raw DataFrame, manifest) or None."""
+    """Ingest landed pages into the raw sink, then report the first 20 gaps.
+    The pages are read once, by the sink; all else reads what it wrote.
+    Returns (raw DataFrame, manifest), or None with a warning if there are no candles."""
     raw = read_kline_pages(spark, pages_root, start, end, whole_files=pages_whole_files)
+    written = scratch_path(spark, "ingested")
+    raw.write.parquet(written)
+    raw = spark.read.schema(raw.schema).parquet(written)
     if raw.isEmpty():
-        print("[WARN] No data fetched. Check your symbols/time window.")
+        warnings.warn(f"no candles under {pages_root} in the window asked for", stacklevel=2)
         return None
     gaps = first_gaps(check_gaps(raw, interval, layout=layout), 20, ("symbol", "gap_before")).collect()
     if gaps:
-        print("[INFO] Detected potential gaps (maintenance/listing gaps). This is informational.")
+        print("candles are missing after these times (outages or late listings):")
         for g in gaps:
             print(f"  {g['symbol']} {g['gap_before']} {g['missing_candles']}")
     man = save_raw(raw, out_dir, file_format, interval)

@@ -54,8 +54,8 @@ def sb_features(spark, d, horizons=(1, 5, 15), task="binclass", thresh=0.0, trim
     rows = sb_clean(spark, d)
     hot = hot_symbols_upper_bound(spark, d, "supplier", Layout().hot_rows)
     return add_all_features(rows, CFG, interval="1d", horizons=horizons, task=task, thresh=thresh,
-                            trim_warmup=trim, dedup_order=dedup_order(rows.columns), keep=keep_valid(),
-                            hot_symbols=hot, columns=columns)
+                            trim_warmup=trim, dedup_order=dedup_order(rows.columns), keep=keep_valid(), close_known=True,
+                            hot_symbols=hot, columns=columns, close_known=True)
 
 
 def dirty_raw(spark: SparkSession, d: str) -> DataFrame:

@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # ---- fixed values: rounding per column family (regex -> decimal places) -----
 RULES: list[tuple[str, int]] = [
@@ -35,20 +34,13 @@ def digits(name: str, scaled: bool = False) -> int:
     return DEFAULT
 
 
-def rnd(c, d: int):
-    """Half-away-from-zero rounding done in binary arithmetic, written the
-    same way in the SQL oracle (``rnd_sql``), so equal doubles always round
-    equally (engine ``round`` functions differ on exact decimal ties)."""
-    if isinstance(c, str):
-        # one SQL expression: a single call into the JVM per column
-        return F.expr(rnd_sql(f"`{c}`", d))
-    scale = float(10 ** d)
-    return F.signum(c) * F.floor(F.abs(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
-
-
 def rnd_sql(expr: str, d: int) -> str:
+    """Half-away-from-zero rounding, the same text in both engines, so equal
+    doubles round equally (their ``round`` differs on exact decimal ties)."""
+    # floor() is a BIGINT in Spark; doubles of 2^52 and more have no fraction
     scale = repr(float(10 ** d))
-    return f"(sign({expr}) * floor(abs({expr}) * {scale} + 0.5) / {scale})"
+    whole = f"sign({expr}) * floor(abs({expr}) * {scale} + 0.5) / {scale}"
+    return f"(CASE WHEN abs({expr}) * {scale} < 4503599627370496.0 THEN {whole} ELSE {expr} END)"
 
 
 def round_frame(df: DataFrame, scaled: set[str] | None = None) -> DataFrame:

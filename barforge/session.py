@@ -33,16 +33,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """All time arithmetic in this package assumes a UTC session.  Plan
-    strings are capped: plans that read persisted intermediates repeat the
-    cached sub-plan in their text, and an uncapped text is kept per
-    execution by the SQL status store (a slow driver-memory leak)."""
+    """All time arithmetic in this package assumes a UTC session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    try:
-        if int(spark.conf.get("spark.sql.maxPlanStringLength", "2147483632")) > 200_000:
-            spark.conf.set("spark.sql.maxPlanStringLength", "200000")
-    except Exception:
-        pass
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -56,6 +48,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get(_CKPT_KEY, None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="barforge-ckpt-")
         spark.conf.set(_CKPT_KEY, d)
     if sc.getCheckpointDir() is None:
@@ -69,18 +63,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system of the session."""
-    if is_local_path(path):
-        return os.path.exists(local_fs_path(path))
+    """Existence check through the Hadoop file system of the session (a path
+    without a scheme is on its default file system)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from barforge.functions.intervals import ingest_step_ms
 from barforge.operators.clean import dedup_last
+from barforge.sources.files import string_symbols
 from barforge.sources.schema import PAGE_FIELDS, RAW_COLUMNS
 
 MAX_LIMIT = 1000  # rows per page of the kline endpoint
@@ -42,7 +43,7 @@ def read_kline_pages(spark: SparkSession, root: str, start=None, end=None,
     """Typed candles from landed pages.  ``whole_files``: one page per file
     (as returned by the endpoint); otherwise one page per line."""
     reader = spark.read.option("wholetext", True) if whole_files else spark.read
-    raw = reader.text(root).withColumn("_file", F.input_file_name())
+    raw = string_symbols(reader.text(root), reader, lambda r: r.text(root)).withColumn("_file", F.input_file_name())
     if "symbol" not in raw.columns:
         raise ValueError("pages must be landed under symbol=<SYM>/ directories")
     raw = raw.withColumn("_line", F.monotonically_increasing_id()) if not whole_files else raw.withColumn("_line", F.lit(0))
@@ -50,9 +51,10 @@ def read_kline_pages(spark: SparkSession, root: str, start=None, end=None,
     checked = raw.withColumn(
         "value", F.when(err.isNotNull(), F.raise_error(F.concat(F.lit("exchange error page: "), F.col("value"))))
         .otherwise(F.col("value")))
-    rows = checked.select(
-        "symbol", "_file", "_line",
-        F.posexplode(F.from_json(F.col("value"), _PAGE_TYPE)).alias("_pos", "r"))
+    page = F.from_json(F.col("value"), _PAGE_TYPE)
+    broken = F.raise_error(F.concat(F.lit("page is not a JSON array of candles: "), F.col("_file")))
+    page = F.when((F.trim("value") != "") & page.isNull(), broken.cast(_PAGE_TYPE)).otherwise(page)
+    rows = checked.select("symbol", "_file", "_line", F.posexplode(page).alias("_pos", "r"))
     typed = rows.select(*_typed(F.col("r")), "_file", "_line", "_pos")
     if start is not None:
         typed = typed.filter(F.col("open_time") >= F.lit(start))
