@@ -5,11 +5,11 @@ densification (128 bins) and texts with equal sets become one class.  Bands of 4
 bins put the classes into buckets.  In a bucket the smallest class is the centre of
 a star: only (centre, member) edges are candidates, so pairs grow with members.
 
-Candidates whose sketches agree well enough are confirmed on full shingle sets,
-and links are joined into components.  A bucket whose members are then still in
-several components gets further centres, four times as many each round, against
-members of other components only, until every pair of a bucket is tested or in
-one component: stars bound the pairs, the rounds lose no link.
+Candidates whose wide sketches agree well enough are confirmed on full shingle sets,
+and links are joined into components.  In a bucket whose members are then still in several
+components, those outside the largest one are held against all members of other components,
+sketch by sketch in blocks of a bounded size, and what agrees is confirmed as well: stars
+bound the candidates, the second pass loses no link.
 """
 
 from __future__ import annotations
@@ -18,32 +18,51 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from barforge.llm.common import LAST_ID, id_key, stored, table, text_or_empty
 from barforge.llm.words import OnePermutation, mix, salt, shingle_sets
 
 BINS, ROWS = 128, 4
+#: Bins of the sketch (four bits each) that decides which candidates are confirmed.
+WIDE_BINS = 1024
 #: 100 * intersection >= PERCENT * union links two documents.
 PERCENT = 75
-#: Least agreement of two sketches for a confirmation on full sets: six
-#: standard deviations (of 128 bins) under the similarity asked for.
-LEAST_AGREEMENT = 0.52
+#: Points under the similarity asked for at which an estimate still leads to a
+#: confirmation on full sets: over four standard deviations of the wide sketch.
+MARGIN = 6
+#: Most members of a bucket that a task of the second pass holds.
+BLOCK_ROWS = 4096
 
 
 def _sketch(batches):
-    sketch = OnePermutation(BINS)
+    sketch, wide = OnePermutation(BINS), OnePermutation(WIDE_BINS)
+    own = salt(WIDE_BINS, 17)
     for b in batches:
-        sizes, keys, bins = [], [], []
+        sizes, keys, bins, bits = [], [], [], []
         for shingles in shingle_sets(b.column("text")):
+            some = len(shingles) > 0
             sizes.append(len(shingles))
-            keys.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
-            bins.append(sketch(shingles).astype(np.uint16).tobytes() if len(shingles) else None)
+            keys.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if some else None)
+            bins.append(sketch(shingles).astype(np.uint16).tobytes() if some else None)
+            low = (mix(wide(shingles) ^ own) & np.uint64(15)).astype(np.uint8) if some else None
+            bits.append((low[::2] << 4 | low[1::2]).tobytes() if some else None)
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc"), b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bins, pa.binary())],
-            names=["doc", "doc_id", "n_shingles", "class", "sketch"])
+            [b.column("doc"), b.column("doc_id"), pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (keys, bins, bits))],
+            names=["doc", "doc_id", "n_shingles", "class", "sketch", "wide"])
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    """The bins of wide sketches, a row each."""
+    packed = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDE_BINS // 2)
+    return np.concatenate([packed >> 4, packed & 15], axis=1)
+
+
+def _least_agreement(percent: int) -> float:
+    """Share of equal bins from which two sets are worth a confirmation."""
+    likeness = max(0.0, (percent - MARGIN) / 100)
+    return likeness + (1 - likeness) / 16
 
 
 def _bands(batches):
@@ -58,13 +77,35 @@ def _bands(batches):
                                          names=["bucket", "node"])
 
 
-def _agree(batches):
-    for b in batches:
-        if not b.num_rows:
-            continue
-        one, two = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, BINS) for c in ("sketch_a", "sketch_b"))
-        good = np.flatnonzero((one == two).mean(1) >= LEAST_AGREEMENT)
-        yield b.select(["a", "b"]).take(pa.array(good))
+def _agree(least: float):
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                same = (_unpacked(b.column("wide_a")) == _unpacked(b.column("wide_b"))).mean(1)
+                yield b.select(["a", "b"]).take(pa.array(np.flatnonzero(same >= least)))
+    return run
+
+
+def _search_bucket(least: float):
+    """The agreeing pairs of an outlier and a member of another component in
+    one block of a bucket; a pair that meets in an earlier band's bucket is left to that."""
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        bucket, outlier = group.column("bucket")[0].as_py(), group.column("asks").to_numpy()
+        node, root, odd = (group.column(c).to_numpy() for c in ("node", "root", "odd"))
+        words = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1)
+        band = int(np.flatnonzero(mix(words[0] ^ salt(BINS // ROWS, 13)).view(np.int64) == bucket)[0])
+        wide, a, b = _unpacked(group.column("wide")), [], []
+        held = np.flatnonzero(~outlier)
+        for i in np.flatnonzero(outlier):
+            m = held[(root[held] != root[i]) & (~odd[held] | (node[held] > node[i]))]
+            m = m[~(words[m, :band] == words[i, :band]).any(1)]
+            m = m[(wide[m] == wide[i]).mean(1) >= least]
+            a.append(np.full(len(m), node[i]))
+            b.append(node[m])
+        none = np.zeros(0, np.int64)
+        return pa.table({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
+    return run
 
 
 def _confirm(percent: int):
@@ -79,12 +120,8 @@ def _confirm(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The candidate pairs that are links, confirmed on full sets."""
-    sketched = (pairs.distinct()
-                .join(nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-                .join(nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b"))
-    close = stored(sketched.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_agree, "a long, b long"), "close-pairs")
+def _confirmed(close: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The written pairs that are links, confirmed on full sets."""
     involved = close.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     held = stored(texts.join(involved, "doc", "left_semi"), "involved-texts")
     full = (close.join(held.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
@@ -92,31 +129,53 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -
     return full.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(percent), "a long, b long")
 
 
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written edges, and their number and the sum of their hashes."""
+    seen = Observation()
+    out = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)")).alias("h")), "edges")
+    return out, (seen.get["n"], seen.get["h"])
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the links a-b; root is the least node of
     the component.  Alternates large-star and small-star steps until nothing changes."""
-    now = stored(edges.where("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct(), "links")
-    seen = None
-    while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))).first()
-        if state == seen:
-            return now.select(F.col("high").alias("node"), F.col("low").alias("root"))
-        seen = state
+    edges = edges.where("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct()
+    now, state = _written(edges)
+    while state[0]:
         both = now.select(F.col("low").alias("u"), F.col("high").alias("v")).union(now.select("high", "low"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("m").alias("low"), F.col("v").alias("high")).distinct()
-        large = stored(large, "large-star")
         small = large.groupBy("high").agg(F.min("low").alias("m"))
         pulled = large.join(small, "high").where("low <> m").select(F.col("m").alias("low"), F.col("low").alias("high"))
-        now = stored(pulled.union(small.select(F.col("m").alias("low"), "high")).distinct(), "small-star")
-
-
-def _open_buckets(members: DataFrame, roots: DataFrame, tested: int) -> DataFrame:
-    """Members (with their component and rank) of the buckets in which some
-    pair beyond the first ``tested`` centres is in different components."""
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.where(F.col("rank") > tested).groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    return placed.join(mixed.where("x <> y").select("bucket"), "bucket")
+        now, after = _written(pulled.union(small.select(F.col("m").alias("low"), "high")).distinct())
+        if after == state:
+            break
+        state = after
+    return now.select(F.col("high").alias("node"), F.col("low").alias("root"))
+
+
+def _open_buckets(stars: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (bucket, node, root, odd, blocks) of the buckets in which two
+    members besides the centre, which has met all, are in different components;
+    odd are those outside the bucket's largest component."""
+    placed = stars.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("node") != F.col("centre")).cast("int")).alias("other"))
+    of_bucket = sizes.groupBy("bucket").agg(F.sum("other").alias("others"), F.sum("n").alias("n"),
+                                            F.max(F.struct("n", "root")).getField("root").alias("largest"))
+    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")
+    many = stored(of_bucket.where("others > 1").select("bucket", "largest", blocks), "open-buckets")
+    return placed.join(many, "bucket").select("bucket", "node", "root", (F.col("root") != F.col("largest")).alias("odd"), "blocks")
+
+
+def _further_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """All agreeing pairs of different components in the open buckets: every
+    odd member asks in each block, every member is held in one."""
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    held = members.select("bucket", "node", "root", "odd", own.alias("block"), F.lit(False).alias("asks"))
+    asking = members.where("odd").select("bucket", "node", "root", "odd", F.explode(every).alias("block"), F.lit(True).alias("asks"))
+    rows = held.union(asking).join(nodes.select("node", "sketch", "wide"), "node")
+    return rows.groupBy("bucket", "block").applyInArrow(_search_bucket(_least_agreement(percent)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -129,34 +188,25 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     component_id of their own.  An empty table gives no rows.
     """
     texts = docs.select(id_key("doc_id").alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = stored(texts.mapInArrow(_sketch, "doc long, doc_id long, n_shingles long, class binary, sketch binary"), "sketches")
-    held = rows.where("n_shingles > 0")
-    nodes = stored(held.groupBy("class").agg(F.min("doc").alias("node"), F.first("sketch").alias("sketch")), "classes")
+    rows = stored(texts.mapInArrow(_sketch, "doc long, doc_id long, n_shingles long, class binary, sketch binary, wide binary"), "sketches")
+    nodes = stored(rows.where("n_shingles > 0").groupBy("class").agg(
+        F.min("doc").alias("node"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "classes")
     texts = texts.select("doc", "text")
 
     in_bands = nodes.select("node", "sketch").mapInArrow(_bands, "bucket long, node long")
     centres = stored(in_bands.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
                      .where("centre <> last").select("bucket", "centre"), "star-centres")
-    stars = stored(in_bands.join(centres, "bucket"), "stars")
-    links = stored(_links(stars.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")),
-                          nodes, texts, percent), "star-links")
-    roots, tested = connected(links), 1
-    first = stars.select("bucket", "node", F.when(F.col("node") == F.col("centre"), 1).otherwise(2).alias("rank"))
-    left = stored(_open_buckets(first, roots, 1).select("bucket", "node", "root"), "open-buckets")
-    by_bucket = Window.partitionBy("bucket").orderBy("node")
-    while not left.isEmpty():
-        ranked = stored(left.select("bucket", "node", "root").distinct().withColumn("rank", F.row_number().over(by_bucket)), "ranked")
-        members = ranked.select("bucket", "node", "rank")
-        upto = 4 * tested
-        one = ranked.where(F.col("rank").between(tested + 1, upto)).select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("rank").alias("ka"))
-        two = ranked.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("rank").alias("kb"))
-        pairs = two.join(one, "bucket").where("kb > ka AND ra <> rb").select("a", "b")
-        found = stored(_links(pairs, nodes, texts, percent), "more-links")
-        if not found.isEmpty():
-            links = links.union(found)
-            roots = connected(links)
-        tested = upto
-        left = stored(_open_buckets(members, roots, tested).select("bucket", "node", "root"), "open-buckets")
+    stars = stored(in_bands.join(centres, "bucket").select("bucket", "centre", "node").distinct(), "stars")
+    wide = nodes.select("node", "wide")
+    pairs = (stars.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+             .join(wide.toDF("a", "wide_a"), "a").join(wide.toDF("b", "wide_b"), "b").select("a", "b", "wide_a", "wide_b"))
+    close = stored(pairs.mapInArrow(_agree(_least_agreement(percent)), "a long, b long"), "star-pairs")
+    roots = connected(_confirmed(close, texts, percent))
+
+    more = stored(_further_pairs(_open_buckets(stars, roots), nodes, percent).distinct(), "further-pairs")
+    if not more.isEmpty():
+        found = _confirmed(more, texts, percent)
+        roots = connected(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(found))
 
     of_class = stored(nodes.select("class", "node").join(roots, "node", "left")
                       .select("class", F.coalesce("root", "node").alias("root")), "components")
