@@ -31,7 +31,7 @@ PREFIXES = (3, 4, 5, 6)
 @dataclass
 class Settings:
     """``sample_rows`` of each label (at most ``sample_bytes`` long each) bound
-    the fit; all other rows and whole texts are scored."""
+    the fit; every row is scored, and whole texts."""
     sample_rows: int = 3000
     sample_bytes: int = 16_384
     table_bits: int = 17
@@ -201,16 +201,22 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
     score from which labelled texts set aside from the fit are toxic with the
     precision asked for, not under 0.5; ``settings.threshold`` for languages with few such texts.
 
-    Sampled are up to ``sample_rows`` rows of either label in the order of a hash of the
-    id, of texts within ``sample_bytes``; null labels, ids and texts are left out.
+    Sampled are about ``sample_rows`` ids of either label by a hash of the id, and of their texts
+    those within ``sample_bytes``; null labels, ids and texts are left out.
     Without both labels the model is the base rate.
     """
     s = settings or Settings()
     marked = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).where(~held_out())
-    rows = docs.select("doc_id", "text", "lang") if "lang" in docs.columns else docs.select("doc_id", "text", F.lit(None).cast("string").alias("lang"))
-    rows = rows.where(F.octet_length("text").between(1, s.sample_bytes)).join(marked, "doc_id")
-    rows = rows.withColumn("turn", F.xxhash64("doc_id", F.lit(5)))
-    got = [r for y in (0, 1) for r in rows.where(F.col("toxic") == y).orderBy("turn", "text").limit(s.sample_rows).collect()]
+    counts = {r.toxic: r.n for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    turn, steps = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)), {y: int((1 << 30) * min(1.0, s.sample_rows / n)) for y, n in counts.items()}
+    picked = F.lit(False)
+    for y, step in steps.items():
+        picked = picked | ((F.col("toxic") == y) & (turn < step))
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = docs.where(F.octet_length("text").between(1, s.sample_bytes)).select("doc_id", F.struct("text", lang.alias("lang")).alias("own"))
+    # The sample bounds the broadcast ids, and with sample_bytes the texts that come to the driver.
+    rows = rows.join(F.broadcast(marked.where(picked)), "doc_id").groupBy("doc_id", "toxic").agg(F.min("own").alias("own"))
+    got = sorted(rows.select("doc_id", "toxic", "own.text", "own.lang").collect(), key=lambda r: r.doc_id)
     aside = np.array([zlib.crc32(f"{r.doc_id}/aside".encode()) % 5 == 0 for r in got], bool)
     labels_of = np.array([r.toxic for r in got], np.float32)
     fitted = np.flatnonzero(~aside)
