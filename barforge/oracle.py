@@ -13,7 +13,7 @@ from __future__ import annotations
 from barforge.config import WindowsConfig
 from barforge.operators.indicators import feature_names, target_names
 from barforge.rounding import digits, rnd_sql
-from barforge.sources.fixtures import HOURLY_BARS_SQL, SUPPLIER_BARS_SQL
+from barforge.sources.fixtures import DAILY_BARS_SQL, HOURLY_BARS_SQL, RISING_BARS_SQL, SUPPLIER_BARS_SQL
 
 CFG = WindowsConfig()
 RAW12 = ["symbol", "ts", "open", "high", "low", "close", "volume", "close_time", "quote_volume",
@@ -275,6 +275,20 @@ FROM (SELECT *, row_number() OVER (ORDER BY ts, symbol) - 1 AS pos, count(*) OVE
 """
 
 
+RANDOM_SPLIT_SQL = """
+SELECT symbol, ts, CASE WHEN pos < te THEN 'test' WHEN pos < te + ceil(0.15 / (0.7 + 0.15) * (n - te)) THEN 'valid' ELSE 'train' END AS split
+FROM (SELECT *, ceil((1.0::DOUBLE - 0.7::DOUBLE - 0.15::DOUBLE) * n) AS te FROM (
+  SELECT symbol, ts, count(*) OVER () AS n, row_number() OVER (
+    ORDER BY ('0x' || substr(md5(symbol || '|' || epoch_us(ts) || '|42'), 1, 15))::BIGINT, ts, symbol) - 1 AS pos FROM ({src})))
+"""
+
+DAILY_GAPS_SQL = """
+SELECT symbol, pt + INTERVAL 1 DAY AS gap_start, ts - INTERVAL 1 DAY AS gap_end, (date_diff('day', pt, ts) - 1)::BIGINT AS missing_count
+FROM (SELECT symbol, open_time AS ts, lag(open_time) OVER (PARTITION BY symbol ORDER BY open_time) AS pt FROM ({src}))
+WHERE date_diff('day', pt, ts) - 1 > 2
+"""
+
+
 def scaler_params_sql(bars_src: str) -> str:
     feats = ml_features()
     parts = []
@@ -357,6 +371,17 @@ def oracle_queries() -> dict[str, str]:
         "union_common_columns": union_sql(),
         "ml_dropna": f"SELECT {rcols(ml_cols, fd)} FROM ({ml_sql(SB)})",
         "split_time": f"SELECT symbol, ts, split FROM ({split_sql(SB)})",
+        "split_random": RANDOM_SPLIT_SQL.format(src=ml_sql(SB)),
+        "split_null_time": f"""SELECT symbol, ts, CASE WHEN pos < floor(n * 0.7) THEN 'train' WHEN pos < floor(n * {0.7 + 0.15!r})
+                THEN 'valid' ELSE 'test' END AS split
+                FROM (SELECT symbol, ts, row_number() OVER (ORDER BY ts NULLS LAST, symbol) - 1 AS pos, count(*) OVER () AS n
+                      FROM (SELECT symbol, CASE WHEN NOT ends_with(symbol, '7') THEN open_time END AS ts FROM ({SB})))""",
+        "rsi_long_run": "SELECT symbol, ts, " + ", ".join(r(c) for c in ("ema_50", "rsi_14", "atr_14")) + f" FROM ({features_sql(RISING_BARS_SQL, horizons=(), trim=False)})",
+        "symbolless_features": "SELECT symbol, ts, " + ", ".join(r(c) for c in ("sma_20", "ema_20", "rsi_14", "macd_hist", "vol_logret_12"))
+                               + f" FROM ({features_sql(DAILY_BARS_SQL, horizons=(), trim=False)})",
+        "ts_parse": "SELECT o_orderkey, o_orderdate::TIMESTAMP AS ts FROM orders",
+        "raw_two_saves": select_rounded(clean_sql(SB), RAW12),
+        "daily_gap_ranges_allow2": DAILY_GAPS_SQL.format(src=SB),
         "split_sizes": f"SELECT split, count(*) AS n FROM ({split_sql(SB)}) GROUP BY split",
         "scaler_fit": f"SELECT feature, {rnd_sql('mean', 3)} AS mean, {rnd_sql('scale', 3)} AS scale FROM ({scaler_params_sql(SB)})",
         "scaled_dataset": scaled_sql(SB),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.config import WindowsConfig
-from barforge.operators.clean import dedup_order, keep_valid, prepare_bars, prepare_rows
+from barforge.operators.clean import dedup_order, keep_valid, parse_time, prepare_bars, prepare_rows
 from barforge.operators.gaps import check_gaps, find_time_gaps, first_gaps, grid_missing
 from barforge.operators.indicators import add_all_features, make_targets
 from barforge.operators.scale import fit_scaler
@@ -24,7 +24,7 @@ from barforge.rounding import round_frame
 from barforge.session import ensure_utc, release_cached, scratch_path
 from barforge.sources.files import gather_input_files, load_and_prepare, load_time_index, manifest, save_features, save_raw
 from barforge.config import Layout
-from barforge.sources.fixtures import hot_symbols_upper_bound, hourly_bars, supplier_bars, table
+from barforge.sources.fixtures import daily_bars, hot_symbols_upper_bound, hourly_bars, rising_bars, supplier_bars, table
 from barforge.sources.klines import read_kline_pages, write_kline_pages
 from barforge.sources.scan import bounded_scan
 
@@ -55,7 +55,7 @@ def sb_features(spark, d, horizons=(1, 5, 15), task="binclass", thresh=0.0, trim
     hot = hot_symbols_upper_bound(spark, d, "supplier", Layout().hot_rows)
     return add_all_features(rows, CFG, interval="1d", horizons=horizons, task=task, thresh=thresh,
                             trim_warmup=trim, dedup_order=dedup_order(rows.columns), keep=keep_valid(), close_known=True,
-                            hot_symbols=hot, columns=columns, close_known=True)
+                            hot_symbols=hot, columns=columns)
 
 
 def dirty_raw(spark: SparkSession, d: str) -> DataFrame:
@@ -270,6 +270,52 @@ def q_split_random(spark, d):
     return _out(split_random(data, n, random_state=42).select("symbol", "ts", "split"))
 
 
+def q_split_null_time(spark, d):
+    """Rows without a time stay, in the last part."""
+    rows = sb_clean(spark, d).select("symbol", F.when(~F.col("symbol").endswith("7"), F.col("ts")).alias("ts"))
+    return _out(split_time(rows, rows.count()))
+
+
+def q_rsi_long_run(spark, d):
+    rows = prepare_rows(rising_bars(spark, d))
+    out = add_all_features(rows, CFG, interval="1d", horizons=None, trim_warmup=False, dedup_order=dedup_order(rows.columns),
+                           keep=keep_valid(), close_known=True, columns=["ema_50", "rsi_14", "atr_14"])
+    return _out(out.select("symbol", "ts", "ema_50", "rsi_14", "atr_14"))
+
+
+def q_symbolless_features(spark, d):
+    rows = prepare_rows(daily_bars(spark, d))
+    out = add_all_features(rows, CFG, interval="1d", horizons=None, trim_warmup=False, dedup_order=dedup_order(rows.columns),
+                           keep=keep_valid(), close_known=True, columns=["sma_20", "ema_20", "rsi_14", "macd_hist", "vol_logret_12"])
+    return _out(out.select("symbol", "ts", "sma_20", "ema_20", "rsi_14", "macd_hist", "vol_logret_12"))
+
+
+def q_ts_parse(spark, d):
+    """Order dates written in ten forms, read back."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    forms = [day, F.concat(day, F.lit(" 00:00:00")), F.concat(day, F.lit("T00:00:00Z")), F.concat(day, F.lit("T00:00:00+0000")),
+             F.concat(day, F.lit(" 00:00:00 +00:00")), F.concat(day, F.lit(" 00:00:00 UTC")), F.concat(day, F.lit(" 00:00:00.000000000")),
+             F.concat(F.lit("  "), day, F.lit("T01:30:00+01:30 ")), (F.unix_date(F.col("o_orderdate").cast("date")).cast("long") * F.lit(86_400_000)).cast("string"),
+             F.concat(day, F.lit(" 00:00"))]
+    text = F.element_at(F.array(*forms), (F.pmod("o_orderkey", F.lit(len(forms))) + 1).cast("int"))
+    rows = table(spark, d, "orders").select("o_orderkey", text.alias("text"))
+    return _out(rows.select("o_orderkey", parse_time("text", rows.schema["text"].dataType).alias("ts")))
+
+
+def q_raw_two_saves(spark, d):
+    """Updates add up: two saves of different symbols, then part of them again."""
+    root = scratch_path(spark, "raw")
+    bars = supplier_bars(spark, d)
+    save_raw(bars.where(F.col("symbol") < "S00050"), root, "parquet", "1d")
+    save_raw(bars.where(F.col("symbol") >= "S00050"), root, "parquet", "1d")
+    save_raw(bars.where(F.col("open_time") >= "1997-01-01"), root, "parquet", "1d")
+    return _out(load_and_prepare(spark, f"{root}/interval=1d", fmt="parquet").select(*RAW12))
+
+
+def q_daily_gap_ranges_allow2(spark, d):
+    return _out(find_time_gaps(sb_clean(spark, d).select("symbol", "ts"), interval="1d", max_allow_miss=2))
+
+
 def q_scaler_fit(spark, d):
     data, _, feats = _ml(spark, d)
     n = data.count()
@@ -357,6 +403,12 @@ QUERIES = {
     "split_time": q_split_time,
     "split_sizes": q_split_sizes,
     "split_random": q_split_random,
+    "split_null_time": q_split_null_time,
+    "rsi_long_run": q_rsi_long_run,
+    "symbolless_features": q_symbolless_features,
+    "ts_parse": q_ts_parse,
+    "raw_two_saves": q_raw_two_saves,
+    "daily_gap_ranges_allow2": q_daily_gap_ranges_allow2,
     "scaler_fit": q_scaler_fit,
     "scaled_dataset": q_scaled_dataset,
     "kline_pages": q_kline_pages,

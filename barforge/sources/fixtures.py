@@ -8,7 +8,7 @@ key spreads over time, so no symbol is a hot group here.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 HOUR = "1h"
@@ -86,6 +86,30 @@ def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem -> one bar per ship date, of no symbol."""
+    li = table(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    return (li.select(F.col("l_shipdate").alias("open_time"), price.alias("price"), "l_quantity").groupBy("open_time")
+            .agg(F.min("price").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
+                 F.max("price").alias("close"), F.sum("l_quantity").alias("volume"), F.count(F.lit(1)).alias("trades"))
+            .withColumn("symbol", F.lit(None).cast("string"))
+            .withColumn("close_time", F.col("open_time") + F.expr("INTERVAL 86399.999 SECONDS")))
+
+
+def rising_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem -> one bar per return flag and ship date; the close is the
+    quantity shipped up to then, after a first bar far above it: one fall, then none."""
+    days = (table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("symbol"), F.col("l_shipdate").alias("open_time"))
+            .agg(F.sum("l_quantity").alias("volume"), F.count(F.lit(1)).alias("trades")))
+    order = Window.partitionBy("symbol").orderBy("open_time")
+    first = F.when(F.row_number().over(order) == 1, F.lit(1e6)).otherwise(F.lit(0.0))
+    close = F.sum("volume").over(order) + first
+    bars = days.withColumn("close", close)
+    return (bars.withColumns({c: F.col("close") for c in ("open", "high", "low")})
+            .withColumn("close_time", F.col("open_time") + F.expr("INTERVAL 86399.999 SECONDS")))
+
+
 # DuckDB text of the same adapters (used by the oracle SQL).
 HOURLY_BARS_SQL = """
 SELECT event_type AS symbol, date_trunc('hour', ts) AS open_time,
@@ -110,3 +134,22 @@ SELECT 'S' || lpad(l_suppkey::VARCHAR, 5, '0') AS symbol, l_shipdate AS open_tim
        coalesce(sum(l_extendedprice) FILTER (WHERE l_returnflag = 'N'), 0.0) AS taker_buy_quote
 FROM lineitem GROUP BY 1, 2, l_shipdate
 """
+
+DAILY_BARS_SQL = """
+SELECT NULL::VARCHAR AS symbol, l_shipdate AS open_time, min(l_extendedprice / l_quantity) AS open,
+       max(l_extendedprice / l_quantity) AS high, min(l_extendedprice / l_quantity) AS low,
+       max(l_extendedprice / l_quantity) AS close, sum(l_quantity) AS volume,
+       l_shipdate + INTERVAL 86399999 MILLISECOND AS close_time, NULL::DOUBLE AS quote_volume, count(*)::BIGINT AS trades,
+       NULL::DOUBLE AS taker_buy_base, NULL::DOUBLE AS taker_buy_quote
+FROM lineitem GROUP BY l_shipdate
+"""
+
+RISING_BARS_SQL = """
+SELECT symbol, open_time, c AS open, c AS high, c AS low, c AS close, volume,
+       open_time + INTERVAL 86399999 MILLISECOND AS close_time, NULL::DOUBLE AS quote_volume, trades,
+       NULL::DOUBLE AS taker_buy_base, NULL::DOUBLE AS taker_buy_quote
+FROM (SELECT *, sum(volume) OVER (PARTITION BY symbol ORDER BY open_time)
+             + CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY open_time) = 1 THEN 1e6 ELSE 0.0 END AS c
+      FROM (SELECT l_returnflag AS symbol, l_shipdate AS open_time, sum(l_quantity) AS volume, count(*)::BIGINT AS trades
+            FROM lineitem GROUP BY 1, 2))
+"""
