@@ -34,10 +34,6 @@ def rolling(fn, c, k: int, w: WindowSpec) -> Column:
     return F.when(F.count(c).over(frame) == k, fn(c).over(frame))
 
 
-def lag1(c, w: WindowSpec) -> Column:
-    return F.lag(col_(c), 1).over(w)
-
-
 def envelope_high(high="high", open_="open", close="close", low="low") -> Column:
     """high = max(high, open, close, low) with a NULL high staying NULL."""
     h = col_(high)
@@ -66,19 +62,7 @@ def epoch_micros(ts) -> Column:
     return F.unix_micros(col_(ts).cast("timestamp"))
 
 
-def round_doubles(df, scale: int = 6, overrides: dict[str, int] | None = None):
-    """Round every double column (used to compare with an SQL oracle)."""
-    overrides = overrides or {}
-    out = []
-    for f in df.schema.fields:
-        if f.dataType.typeName() == "double":
-            out.append(F.round(F.col(f.name), overrides.get(f.name, scale)).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
-
-
 __all__ = [
-    "Window", "nan_to_null", "to_double", "safe_div", "rolling", "lag1",
-    "envelope_high", "envelope_low", "iso_utc", "epoch_micros", "round_doubles",
+    "Window", "nan_to_null", "to_double", "safe_div", "rolling",
+    "envelope_high", "envelope_low", "iso_utc", "epoch_micros",
 ]

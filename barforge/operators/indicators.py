@@ -12,6 +12,8 @@ is the first non-NULL MACD) in a second.
 
 from __future__ import annotations
 
+import re
+
 from typing import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -227,6 +229,47 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
     return plan.map(per_branch)
 
 
+def _only(bars: DataFrame, columns: list[str], options: dict, **windows) -> DataFrame:
+    """The base columns and some indicators, no row trimmed."""
+    return add_all_features(bars, WindowsConfig(**windows), horizons=None, trim_warmup=False, columns=columns, **options)
+
+
+def add_moving_averages(bars: DataFrame, windows: Iterable[int] = WindowsConfig.ma, **options) -> DataFrame:
+    """sma_<n> and ema_<n> of the close; ``options`` as of ``add_all_features``."""
+    ns = tuple(windows)
+    return _only(bars, [f"{kind}_{n}" for n in ns for kind in ("sma", "ema")], options, ma=ns)
+
+
+def add_rsi(bars: DataFrame, period: int = WindowsConfig.rsi, **options) -> DataFrame:
+    return _only(bars, [f"rsi_{period}"], options, rsi=period)
+
+
+def add_macd(bars: DataFrame, fast: int = WindowsConfig.macd_fast, slow: int = WindowsConfig.macd_slow,
+             signal: int = WindowsConfig.macd_signal, **options) -> DataFrame:
+    return _only(bars, [f"macd_{fast}_{slow}", f"macd_signal_{signal}", "macd_hist"], options,
+                 macd_fast=fast, macd_slow=slow, macd_signal=signal)
+
+
+def add_bbands(bars: DataFrame, period: int = WindowsConfig.bb_period, width: float = WindowsConfig.bb_std, **options) -> DataFrame:
+    return _only(bars, [f"bb_{kind}_{period}" for kind in ("mid", "up", "low")] + ["bb_percent_b"], options, bb_period=period, bb_std=width)
+
+
+def add_atr(bars: DataFrame, period: int = WindowsConfig.atr_period, **options) -> DataFrame:
+    return _only(bars, [f"atr_{period}"], options, atr_period=period)
+
+
+def add_roll_volatility(bars: DataFrame, windows: Iterable[int] = WindowsConfig.vol, **options) -> DataFrame:
+    ns = tuple(windows)
+    return _only(bars, [f"vol_logret_{n}" for n in ns], options, vol=ns)
+
+
+def add_volume_features(bars: DataFrame, windows: Iterable[int] = WindowsConfig.vol_feat, **options) -> DataFrame:
+    """Dollar volume, taker ratios, and rolling statistics of volume and trades."""
+    cfg = WindowsConfig(vol_feat=tuple(windows))
+    own = re.compile(r"dollar_volume|taker_buy_.*|(vol|trades|dollar_vol)_roll_.*")
+    return _only(bars, [c for c in feature_names(cfg, bars.columns) if own.fullmatch(c)], options, vol_feat=cfg.vol_feat)
+
+
 def make_targets(df: DataFrame, horizons: Iterable[int] = DEFAULT_HORIZONS, task: str = DEFAULT_TASK,
                  thresh: float = DEFAULT_THRESH, layout: Layout | None = None,
                  hot_symbols="auto") -> DataFrame:

@@ -32,18 +32,6 @@ def fit_scaler(df: DataFrame, features: list[str], train_filter=None) -> DataFra
     return p.select(*out)
 
 
-def apply_scaler(df: DataFrame, params: DataFrame, features: list[str]) -> DataFrame:
-    """``(x - mean) / scale`` for every feature; other columns unchanged."""
-    j = df.crossJoin(F.broadcast(params))
-    cols = []
-    for c in df.columns:
-        if c in features:
-            cols.append(((F.col(c) - F.col(f"{c}__mean")) / F.col(f"{c}__scale")).alias(c))
-        else:
-            cols.append(F.col(c))
-    return j.select(*cols)
-
-
 def apply_scaler_values(df: DataFrame, params: dict, features: list[str]) -> DataFrame:
     """Apply fitted parameters given as driver-side numbers (two per
     feature, so the size is fixed): plain projections, no join."""

@@ -6,26 +6,23 @@ from __future__ import annotations
 import warnings
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from barforge.config import Layout, WindowsConfig
-from barforge.functions.intervals import resolve_window
 from barforge.operators.gaps import check_gaps, first_gaps
 from barforge.plans.dataset import get_ml_datasets
 from barforge.plans.features import build_features
 from barforge.session import scratch_path
 from barforge.sources.files import save_features, save_raw
 from barforge.sources.klines import read_kline_pages
+from barforge.sources.scan import fetch_window
 
 
 def ingest(spark: SparkSession, pages_root: str, symbols: list[str] | None = None, interval: str = "1m",
            days: int | None = None, start: str | None = None, end: str | None = None, pages_whole_files: bool = True):
     """Landed candles of ``symbols`` (all, if None) in the window that
     ``days`` or ``start`` and ``end`` give, both as in ``resolve_window``."""
-    lo, hi = resolve_window(days, start, end, interval)
-    lo, hi = (F.lit(t.replace(tzinfo=None)).cast("timestamp_ntz").cast("timestamp") for t in (lo, hi))
-    raw = read_kline_pages(spark, pages_root, lo, hi, whole_files=pages_whole_files)
-    return raw if symbols is None else raw.where(F.col("symbol").isin([s.upper() for s in symbols]))
+    raw = read_kline_pages(spark, pages_root, whole_files=pages_whole_files)
+    return fetch_window(raw, symbols, days, start, end, interval)
 
 
 def get_raw_dataset(spark: SparkSession, pages_root: str, out_dir: str, interval: str = "1m",

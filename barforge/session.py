@@ -1,5 +1,4 @@
-"""Session helpers: a local session for tests/bench and the shared scratch
-folder (taken from ``spark.checkpoint.dir``; only set when unset)."""
+"""Session helpers: the time zone and the shared scratch folder (taken from ``spark.checkpoint.dir``; only set when unset)."""
 
 from __future__ import annotations
 
@@ -12,26 +11,6 @@ from pyspark.sql import SparkSession
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "barforge") -> SparkSession:
-    """Session for tests and local benchmarking (UI off, UTC, AQE on)."""
-    spark = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
-
-
 def ensure_utc(spark: SparkSession) -> None:
     """All time arithmetic in this package assumes a UTC session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -1,7 +1,5 @@
 """Raw candle schema (fixed column names and order)."""
 
-from pyspark.sql import types as T
-
 # ---- fixed values: raw candle columns, in order ------------------------------
 RAW_COLUMNS = [
     "symbol", "open_time", "open", "high", "low", "close", "volume",
@@ -12,26 +10,6 @@ PAGE_FIELDS = [
     "open_time", "open", "high", "low", "close", "volume", "close_time",
     "quote_volume", "trades", "taker_buy_base", "taker_buy_quote", "_ignore",
 ]
-PRICE_COLUMNS = ["open", "high", "low", "close"]
 # numeric columns coerced on load (trades is not among them)
 NUMERIC_COLUMNS = ["open", "high", "low", "close", "volume", "quote_volume",
                    "taker_buy_base", "taker_buy_quote"]
-OPTIONAL_COLUMNS = ["quote_volume", "trades", "taker_buy_base", "taker_buy_quote"]
-
-RAW_SCHEMA = T.StructType([
-    T.StructField("symbol", T.StringType()),
-    T.StructField("open_time", T.TimestampType()),
-    T.StructField("open", T.DoubleType()),
-    T.StructField("high", T.DoubleType()),
-    T.StructField("low", T.DoubleType()),
-    T.StructField("close", T.DoubleType()),
-    T.StructField("volume", T.DoubleType()),
-    T.StructField("close_time", T.TimestampType()),
-    T.StructField("quote_volume", T.DoubleType()),
-    T.StructField("trades", T.LongType()),
-    T.StructField("taker_buy_base", T.DoubleType()),
-    T.StructField("taker_buy_quote", T.DoubleType()),
-])
-
-# Raw text as landed in CSV: every column read as string, parsed explicitly.
-RAW_TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from barforge.config import Layout
 from barforge.operators.gaps import check_gaps, find_time_gaps, grid_missing
-from barforge.operators.scale import apply_scaler, fit_scaler
+from barforge.operators.scale import apply_scaler_values, fit_scaler
 from barforge.operators.split import split_random, split_time
 from barforge.operators.union import concat_intersection
 from barforge.session import scratch_path
@@ -83,7 +83,7 @@ def test_scaler(spark):
     p = fit_scaler(df, ["x", "c"], F.col("split") == "train").first()
     assert abs(p["x__mean"] - 2.0) < 1e-12 and abs(p["x__scale"] - 0.816496580927726) < 1e-12
     assert p["c__scale"] == 1.0
-    out = apply_scaler(df, fit_scaler(df, ["x", "c"], F.col("split") == "train"), ["x", "c"]).collect()
+    out = apply_scaler_values(df, fit_scaler(df, ["x", "c"], F.col("split") == "train").first().asDict(), ["x", "c"]).collect()
     assert out[3]["c"] == 2.0
 
 

@@ -65,3 +65,45 @@ def test_expected_symbol(spark):
     with pytest.raises(ValueError):
         prepare_bars(df, expected_symbol="B")
     assert prepare_bars(df, expected_symbol="A").count() == 1
+
+
+def test_other_time_texts_and_ingest_window(spark, tmp_path):
+    from barforge.plans.workflow import ingest
+    from barforge.sources.fixtures import hourly_bars
+    from barforge.sources.klines import read_kline_pages, write_kline_pages
+    utc = __import__("datetime").timezone.utc
+    assert parse_time("2024/01/01") == parse_time("2024-01-01T00:00:00Z") == datetime(2024, 1, 1, tzinfo=utc)
+    assert parse_time("2024-01-01T02:00:00+02:00") == datetime(2024, 1, 1, tzinfo=utc) and parse_time(None) is None
+    with pytest.raises(ValueError):
+        parse_time("soon")
+    pages = str(tmp_path / "pages")
+    bars = hourly_bars(spark, "/root/testdata/sf0.001")
+    write_kline_pages(bars, pages, interval="1h")
+    lo, mid = (str(x) for x in bars.agg(F.min("open_time"), F.percentile_approx("open_time", 0.5)).first())
+    got = ingest(spark, pages, ["view"], interval="1h", start=lo, end=mid, pages_whole_files=False)
+    want = bars.filter((F.col("symbol") == "view") & (F.col("open_time") < F.lit(mid).cast("timestamp_ntz"))).count()
+    assert 0 < got.count() == want
+    broken = tmp_path / "broken" / "symbol=AAA"
+    broken.mkdir(parents=True)
+    (broken / "p.txt").write_text('[["1","2"')
+    with pytest.raises(Exception, match="not a JSON array"):
+        read_kline_pages(spark, str(tmp_path / "broken")).collect()
+    good = tmp_path / "good" / "symbol=00700"
+    good.mkdir(parents=True)
+    (good / "p.txt").write_text("[]")
+    assert dict(read_kline_pages(spark, str(tmp_path / "good")).dtypes)["symbol"] == "string"
+
+
+def test_csv_files_of_other_headers_fail(spark, tmp_path):
+    from barforge.sources.files import read_any
+    (tmp_path / "a.csv").write_text("symbol,open_time,close\nA,2024-01-01,1\n")
+    (tmp_path / "b.csv").write_text("open_time,symbol,close\n2024-01-02,A,1\n")
+    with pytest.raises(Exception):
+        read_any(spark, str(tmp_path), "csv").collect()
+
+
+def test_trades_with_holes(spark):
+    data = [("A", "2024-01-01 00:00:00", "1", "1", "1", "1", "1", "2024-01-01 00:04:59", "5.0"),
+            ("A", "2024-01-01 00:05:00", "1", "1", "1", "1", "1", "2024-01-01 00:09:59", None)]
+    df = spark.createDataFrame(data, ["symbol", "open_time", "open", "high", "low", "close", "volume", "close_time", "trades"])
+    assert sorted(r["trades"] or 0 for r in prepare_bars(df).collect()) == [0, 5]

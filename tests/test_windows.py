@@ -108,6 +108,17 @@ def test_invariant_to_partitioning_and_order(spark):
     _compare(c, a[a["symbol"] == a["symbol"].iloc[0]].reset_index(drop=True))
 
 
+def test_single_indicators(spark):
+    from barforge.operators import indicators as I
+    rows = prepare_rows(hourly_bars(spark, SF001)).filter(F.col("symbol") == "view")
+    whole = add_all_features(rows, interval="1h", horizons=None, trim_warmup=False).orderBy("ts").toPandas()
+    for fn in (I.add_moving_averages, I.add_rsi, I.add_macd, I.add_bbands, I.add_atr, I.add_roll_volatility, I.add_volume_features):
+        one = fn(rows, interval="1h").orderBy("ts").toPandas()
+        _compare(one, whole[list(one.columns)])
+        assert len(one.columns) < len(whole.columns)
+    assert "rsi_7" in I.add_rsi(rows, 7).columns and "macd_3_8" in I.add_macd(rows, 3, 8, 4).columns
+
+
 def test_prefix_stability(spark):
     """Features of a row do not change when later rows are appended."""
     rows = prepare_rows(hourly_bars(spark, SF001)).filter(F.col("symbol") == "view")
