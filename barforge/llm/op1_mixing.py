@@ -156,7 +156,8 @@ def mixed_pieces(rows: DataFrame, weights=WEIGHTS, most_epochs: int = MOST_EPOCH
     pieces = pieces.select("row", "number", "block", (lo - F.col("begin")).alias("from_word"), (hi - lo).alias("held"),
                            (lo - F.col("block") * block_words).alias("skip"))
     words = F.least(F.col("held"), F.col("words") - F.col("skip"))
-    taken = slots.join(pieces, ["number", "block"]).select("row", "shard", "slot", "epoch", "from_word", words.alias("words"))
+    # Slots come of a few rows of the plan, by which Spark would take them for small.
+    taken = slots.hint("merge").join(pieces.hint("merge"), ["number", "block"]).select("row", "shard", "slot", "epoch", "from_word", words.alias("words"))
     return taken.where("words > 0"), plan
 
 
