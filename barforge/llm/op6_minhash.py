@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm.common import LAST_ID, id_key, stored, table, text_or_empty
+from barforge.llm.common import stored, table, text_or_empty
 from barforge.llm.words import OnePermutation, mix, salt, shingle_sets
 
 BINS, ROWS = 128, 4
@@ -178,19 +178,14 @@ def _further_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFr
     return rows.groupBy("bucket", "block").applyInArrow(_search_bucket(_least_agreement(percent)), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept
-    (doc_id = component_id) of every row of ``docs`` (doc_id, text; other columns are not read).
-
-    Words are A-Z lowered; a text of under five words is one shingle; null, empty and
-    blank texts have none, are linked with nothing and kept.  Rows that share a doc_id are one
-    document (their component is common); null ids are one document after all others, with a null
-    component_id of their own.  An empty table gives no rows.
-    """
-    texts = docs.select(id_key("doc_id").alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+def _linked(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of the written texts (doc, a row number; doc_id; text): the sketches of every row, and
+    (class, root, first) of every class of equal sets that has words.  root names the component;
+    first (no_id, doc_id, doc) is its row with the smallest doc_id, null ids last."""
     rows = stored(texts.mapInArrow(_sketch, "doc long, doc_id long, n_shingles long, class binary, sketch binary, wide binary"), "sketches")
-    nodes = stored(rows.where("n_shingles > 0").groupBy("class").agg(
-        F.min("doc").alias("node"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "classes")
+    nodes = rows.where("n_shingles > 0").groupBy("class").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc")).alias("first"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"))
+    nodes = stored(nodes.withColumn("node", F.col("first.doc")), "classes")
     texts = texts.select("doc", "text")
 
     in_bands = nodes.select("node", "sketch").mapInArrow(_bands, "bucket long, node long")
@@ -208,20 +203,54 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         found = _confirmed(more, texts, percent)
         roots = connected(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(found))
 
-    of_class = stored(nodes.select("class", "node").join(roots, "node", "left")
-                      .select("class", F.coalesce("root", "node").alias("root")), "components")
-    # Rows of one doc_id may be in several classes; the smallest root is theirs.
-    out = rows.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
-    component = F.when(F.col("root").isNull(), F.col("doc_id")).when(F.col("root") == LAST_ID, F.lit(None)).otherwise(F.col("root"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    placed = stored(nodes.select("class", "node", "first").join(roots, "node", "left")
+                    .select("class", F.coalesce("root", "node").alias("root"), "first"), "components")
+    firsts = stored(placed.groupBy("root").agg(F.min("first").alias("first")), "component-firsts")
+    return rows, stored(placed.select("class", "root").join(firsts, "root").select("class", "root", "first"), "class-components")
+
+
+def _one_component_per_id(out: DataFrame) -> DataFrame:
+    """``out`` (doc_id, root, component_id and others) with the components that
+    share a doc_id joined: rows of one doc_id are one document."""
+    shared = out.where("root IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+    ids = stored(shared.where("a <> b").select("doc_id", "a"), "shared-ids")
+    if ids.isEmpty():
+        return out
+    joined = connected(out.where("root IS NOT NULL").join(ids, "doc_id").select("a", F.col("root").alias("b")).distinct())
+    joined = stored(joined.union(joined.select("root", "root").distinct()).toDF("root", "top"), "joined-components")
+    of_root = stored(out.select("root", "component_id").distinct().join(joined, "root"), "joined-ids")
+    least = of_root.groupBy("top").agg(F.min("component_id").alias("least"))
+    least = stored(of_root.join(least, "top").select("root", "least"), "least-ids")
+    return out.join(least, "root", "left").withColumn("component_id", F.coalesce("least", "component_id")).drop("least")
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept
+    (doc_id = component_id) of every row of ``docs`` (doc_id, text; other columns are not read).
+
+    Words are A-Z lowered; a text of under five words is one shingle; null, empty and
+    blank texts have none, are linked with nothing and kept.  Rows that share a doc_id are one
+    document (their component is common).  Rows with a null id are documents of their own, after all
+    others; a component of such rows alone has a null component_id.  An empty table gives no rows.
+    """
+    texts = docs.select(F.monotonically_increasing_id().alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    rows, of_class = _linked(stored(texts, "texts"), percent)
+    found = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    out = rows.select("doc_id", "n_shingles", "class").join(of_class, "class", "left").select("doc_id", "n_shingles", "root", found.alias("component_id"))
+    out = _one_component_per_id(stored(out, "found")).select("doc_id", "n_shingles", "component_id")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """A filtering stage: of every group of near duplicates the row with the
-    smallest doc_id stays, with all columns of ``docs``."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    """A filtering stage: of every group of texts that are near duplicates one row stays, that with the
+    smallest doc_id (null ids last; of repeated rows any one), with all columns of ``docs``."""
+    name = "row"
+    while name in [c.lower() for c in docs.columns]:
+        name += "_"
+    held = stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    rows, of_class = _linked(held.select(F.col(name).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")), PERCENT)
+    gone = rows.select("doc", "class").join(of_class.select("class", "first"), "class").where("doc <> first.doc").select(F.col("doc").alias(name))
+    return held.join(gone, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import awkward, documents, prose, shingles, words
+from pyspark.sql import functions as F
 
 from barforge.llm import op6_minhash, op7_substrings, op9_fingerprints
 from barforge.llm.words import Hasher, OnePermutation, find_words, text_groups
@@ -115,6 +116,29 @@ def test_near_duplicates_without_rows_and_stage(spark):
     assert {r.doc_id for r in kept.collect()} >= {-3, 2, 7, 8, 11, 15}
 
 
+def test_rows_without_id_and_repeated_rows(spark):
+    rng = random.Random(11)
+    x, y, z = (prose(rng, 60, 5000) for _ in range(3))
+    rows = [(5, x), (7, y), (None, x + " more"), (None, y + " more"), (None, z), (None, z), (None, z + " more"), (9, "a b c d e f"), (9, "a b c d e f"),
+            (None, None), (None, None), (30, prose(rng, 40, 5000))]
+    got = order((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in op6_minhash.near_duplicates(documents(spark, rows)).collect())
+    component = [5, 7, 5, 7, None, None, None, 9, 9, None, None, 30]
+    assert got == order((d, len(shingles(t)), c, d == c) for (d, t), c in zip(rows, component))
+    kept = [(r.doc_id, r.text) for r in op6_minhash.keep_one_of_each(documents(spark, rows).withColumn("row", F.lit("x"))).collect()]
+    groups = [{rows[0]}, {rows[1]}, {rows[4], rows[6]}, {rows[7]}, {rows[9]}, {rows[9]}, {rows[11]}]
+    assert len(kept) == len(groups) and all(any(k in g for k in kept) for g in groups) and kept.count((None, None)) == 2
+
+
+def test_rows_of_one_id_in_several_classes(spark):
+    """Their component is common, but the stage drops no text that is like no other one."""
+    rng = random.Random(12)
+    x, y = prose(rng, 60, 5000), prose(rng, 60, 5000)
+    rows = [(2, x), (9, x + " more"), (9, y), (30, y + " more"), (40, prose(rng, 50, 5000))]
+    got = [tuple(r) for r in op6_minhash.near_duplicates(documents(spark, rows)).collect()]
+    assert order(got) == order(brute_components(rows)) and sum(r[2] == 2 for r in got) == 4
+    assert order((r.doc_id, r.text) for r in op6_minhash.keep_one_of_each(documents(spark, rows)).collect()) == order([rows[0], rows[2], rows[4]])
+
+
 def brute_windows(rows):
     first = {}
     for d, t in rows:
