@@ -8,8 +8,8 @@ a star: only (centre, member) edges are candidates, so pairs grow with members.
 Candidates whose wide sketches agree well enough are confirmed on full shingle sets,
 and links are joined into components.  In a bucket whose members are then still in several
 components, those outside the largest one are held against all members of other components,
-sketch by sketch in blocks of a bounded size, and what agrees is confirmed as well: stars
-bound the candidates, the second pass loses no link.
+sketch by sketch, a block of askers against a block of members at a time, and what agrees is
+confirmed as well: stars bound the candidates, the second pass loses no link.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ PERCENT = 75
 #: Points under the similarity asked for at which an estimate still leads to a
 #: confirmation on full sets: over four standard deviations of the wide sketch.
 MARGIN = 6
-#: Most members of a bucket that a task of the second pass holds.
+#: About as many askers, and as many members, of a bucket meet in a task of the second pass.
 BLOCK_ROWS = 4096
 
 
@@ -87,8 +87,8 @@ def _agree(least: float):
 
 
 def _search_bucket(least: float):
-    """The agreeing pairs of an outlier and a member of another component in
-    one block of a bucket; a pair that meets in an earlier band's bucket is left to that."""
+    """The agreeing pairs of an outlier in one block of askers and a member of another
+    component in one block of a bucket; a pair that meets in an earlier band's bucket is left to that."""
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         bucket, outlier = group.column("bucket")[0].as_py(), group.column("asks").to_numpy()
@@ -155,27 +155,32 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def _open_buckets(stars: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members (bucket, node, root, odd, blocks) of the buckets in which two
+    """Members (bucket, node, root, odd, blocks, ask_blocks) of the buckets in which two
     members besides the centre, which has met all, are in different components;
     odd are those outside the bucket's largest component."""
     placed = stars.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("node") != F.col("centre")).cast("int")).alias("other"))
     of_bucket = sizes.groupBy("bucket").agg(F.sum("other").alias("others"), F.sum("n").alias("n"),
-                                            F.max(F.struct("n", "root")).getField("root").alias("largest"))
-    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")
-    many = stored(of_bucket.where("others > 1").select("bucket", "largest", blocks), "open-buckets")
-    return placed.join(many, "bucket").select("bucket", "node", "root", (F.col("root") != F.col("largest")).alias("odd"), "blocks")
+                                            F.max(F.struct("n", "root")).alias("largest"))
+    blocks = [F.ceil(c / BLOCK_ROWS).cast("int").alias(name) for c, name in ((F.col("n"), "blocks"), (F.col("n") - F.col("largest.n"), "ask_blocks"))]
+    many = stored(of_bucket.where("others > 1").select("bucket", F.col("largest.root").alias("largest"), *blocks), "open-buckets")
+    return placed.join(many, "bucket").select("bucket", "node", "root", (F.col("root") != F.col("largest")).alias("odd"), "blocks", "ask_blocks")
 
 
 def _further_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """All agreeing pairs of different components in the open buckets: every
-    odd member asks in each block, every member is held in one."""
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    held = members.select("bucket", "node", "root", "odd", own.alias("block"), F.lit(False).alias("asks"))
-    asking = members.where("odd").select("bucket", "node", "root", "odd", F.explode(every).alias("block"), F.lit(True).alias("asks"))
+    odd member asks, from one block of askers, in each block of members; every member
+    is held in one, once for each block of askers."""
+    def own(blocks: str, seed: int):
+        return F.pmod(F.xxhash64("node", F.lit(seed)), F.col(blocks)).cast("int")
+
+    def every(blocks: str):
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    held = members.select("bucket", "node", "root", "odd", own("blocks", 1).alias("block"), every("ask_blocks").alias("ask_block"), F.lit(False).alias("asks"))
+    asking = members.where("odd").select("bucket", "node", "root", "odd", every("blocks").alias("block"), own("ask_blocks", 2).alias("ask_block"), F.lit(True).alias("asks"))
     rows = held.union(asking).join(nodes.select("node", "sketch", "wide"), "node")
-    return rows.groupBy("bucket", "block").applyInArrow(_search_bucket(_least_agreement(percent)), "a long, b long")
+    return rows.groupBy("bucket", "ask_block", "block").applyInArrow(_search_bucket(_least_agreement(percent)), "a long, b long")
 
 
 def _linked(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:

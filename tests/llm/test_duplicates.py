@@ -116,6 +116,29 @@ def test_near_duplicates_without_rows_and_stage(spark):
     assert {r.doc_id for r in kept.collect()} >= {-3, 2, 7, 8, 11, 15}
 
 
+def test_second_pass_bounds_both_sides(spark, monkeypatch):
+    """Every member its own component: no task holds all that ask, and every pair meets once."""
+    n = 300
+    monkeypatch.setattr(op6_minhash, "BLOCK_ROWS", 20)
+
+    def search(_):
+        def run(group):
+            asks, node = group.column("asks").to_numpy(), group.column("node").to_numpy()
+            a, b = np.meshgrid(node[asks], node[~asks], indexing="ij")
+            return pa.table({"a": np.append(a.ravel(), -1), "b": np.append(b.ravel(), len(node))})
+        return run
+
+    monkeypatch.setattr(op6_minhash, "_search_bucket", search)
+    stars = spark.createDataFrame([(1, 0, i) for i in range(n)], "bucket long, centre long, node long")
+    nodes = spark.createDataFrame([(i, b"", b"") for i in range(n)], "node long, sketch binary, wide binary")
+    open_ = op6_minhash._open_buckets(stars, spark.createDataFrame([], "node long, root long"))
+    got = [tuple(r) for r in op6_minhash._further_pairs(open_, nodes, 75).collect()]
+    sizes, pairs = [b for a, b in got if a < 0], [r for r in got if r[0] >= 0]
+    assert max(sizes) <= 80 and len(sizes) > 200
+    odd = {a for a, _ in pairs}
+    assert len(odd) == n - 1 and len(pairs) == len(set(pairs)) == (n - 1) * n
+
+
 def test_rows_without_id_and_repeated_rows(spark):
     rng = random.Random(11)
     x, y, z = (prose(rng, 60, 5000) for _ in range(3))
