@@ -30,8 +30,9 @@ WIDE_BINS = 1024
 #: 100 * intersection >= PERCENT * union links two documents.
 PERCENT = 75
 #: Points under the similarity asked for at which an estimate still leads to a
-#: confirmation on full sets: over four standard deviations of the wide sketch.
-MARGIN = 6
+#: confirmation on full sets, for a smaller set of under so many shingles.  Small sets fill few bins, and a
+#: collision of shingles moves all bins that copy theirs: in simulations at 75 each lost at most about 1e-5.
+MARGINS = ((16, 25), (1000, 12), (None, 6))
 #: About as many askers, and as many members, of a bucket meet in a task of the second pass.
 BLOCK_ROWS = 4096
 
@@ -59,9 +60,10 @@ def _unpacked(column: pa.Array) -> np.ndarray:
     return np.concatenate([packed >> 4, packed & 15], axis=1)
 
 
-def _least_agreement(percent: int) -> float:
-    """Share of equal bins from which two sets are worth a confirmation."""
-    likeness = max(0.0, (percent - MARGIN) / 100)
+def _least_agreement(percent: int, sizes: np.ndarray) -> np.ndarray:
+    """Share of equal bins from which pairs, whose smaller sets have these sizes, are worth a confirmation."""
+    margin = np.select([sizes < below for below, _ in MARGINS[:-1]], [m for _, m in MARGINS[:-1]], MARGINS[-1][1])
+    likeness = np.maximum(0, percent - margin) / 100
     return likeness + (1 - likeness) / 16
 
 
@@ -77,22 +79,23 @@ def _bands(batches):
                                          names=["bucket", "node"])
 
 
-def _agree(least: float):
+def _agree(percent: int):
     def run(batches):
         for b in batches:
             if b.num_rows:
+                least = _least_agreement(percent, np.minimum(b.column("n_a").to_numpy(), b.column("n_b").to_numpy()))
                 same = (_unpacked(b.column("wide_a")) == _unpacked(b.column("wide_b"))).mean(1)
                 yield b.select(["a", "b"]).take(pa.array(np.flatnonzero(same >= least)))
     return run
 
 
-def _search_bucket(least: float):
+def _search_bucket(percent: int):
     """The agreeing pairs of an outlier in one block of askers and a member of another
     component in one block of a bucket; a pair that meets in an earlier band's bucket is left to that."""
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         bucket, outlier = group.column("bucket")[0].as_py(), group.column("asks").to_numpy()
-        node, root, odd = (group.column(c).to_numpy() for c in ("node", "root", "odd"))
+        node, root, odd, size = (group.column(c).to_numpy() for c in ("node", "root", "odd", "n_shingles"))
         words = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1)
         band = int(np.flatnonzero(mix(words[0] ^ salt(BINS // ROWS, 13)).view(np.int64) == bucket)[0])
         wide, a, b = _unpacked(group.column("wide")), [], []
@@ -100,7 +103,7 @@ def _search_bucket(least: float):
         for i in np.flatnonzero(outlier):
             m = held[(root[held] != root[i]) & (~odd[held] | (node[held] > node[i]))]
             m = m[~(words[m, :band] == words[i, :band]).any(1)]
-            m = m[(wide[m] == wide[i]).mean(1) >= least]
+            m = m[(wide[m] == wide[i]).mean(1) >= _least_agreement(percent, np.minimum(size[m], size[i]))]
             a.append(np.full(len(m), node[i]))
             b.append(node[m])
         none = np.zeros(0, np.int64)
@@ -179,8 +182,9 @@ def _further_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFr
 
     held = members.select("bucket", "node", "root", "odd", own("blocks", 1).alias("block"), every("ask_blocks").alias("ask_block"), F.lit(False).alias("asks"))
     asking = members.where("odd").select("bucket", "node", "root", "odd", every("blocks").alias("block"), own("ask_blocks", 2).alias("ask_block"), F.lit(True).alias("asks"))
-    rows = held.union(asking).join(nodes.select("node", "sketch", "wide"), "node")
-    return rows.groupBy("bucket", "ask_block", "block").applyInArrow(_search_bucket(_least_agreement(percent)), "a long, b long")
+    size = F.col("n_shingles") if "n_shingles" in nodes.columns else F.lit(0).cast("long")  # the widest margin where it is not known
+    rows = held.union(asking).join(nodes.select("node", "sketch", "wide", size.alias("n_shingles")), "node")
+    return rows.groupBy("bucket", "ask_block", "block").applyInArrow(_search_bucket(percent), "a long, b long")
 
 
 def _linked(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -189,7 +193,8 @@ def _linked(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     first (no_id, doc_id, doc) is its row with the smallest doc_id, null ids last."""
     rows = stored(texts.mapInArrow(_sketch, "doc long, doc_id long, n_shingles long, class binary, sketch binary, wide binary"), "sketches")
     nodes = rows.where("n_shingles > 0").groupBy("class").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc")).alias("first"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"))
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc")).alias("first"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"),
+        F.first("n_shingles").alias("n_shingles"))
     nodes = stored(nodes.withColumn("node", F.col("first.doc")), "classes")
     texts = texts.select("doc", "text")
 
@@ -197,10 +202,10 @@ def _linked(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     centres = stored(in_bands.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
                      .where("centre <> last").select("bucket", "centre"), "star-centres")
     stars = stored(in_bands.join(centres, "bucket").select("bucket", "centre", "node").distinct(), "stars")
-    wide = nodes.select("node", "wide")
+    wide = nodes.select("node", "wide", "n_shingles")
     pairs = (stars.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-             .join(wide.toDF("a", "wide_a"), "a").join(wide.toDF("b", "wide_b"), "b").select("a", "b", "wide_a", "wide_b"))
-    close = stored(pairs.mapInArrow(_agree(_least_agreement(percent)), "a long, b long"), "star-pairs")
+             .join(wide.toDF("a", "wide_a", "n_a"), "a").join(wide.toDF("b", "wide_b", "n_b"), "b").select("a", "b", "wide_a", "wide_b", "n_a", "n_b"))
+    close = stored(pairs.mapInArrow(_agree(percent), "a long, b long"), "star-pairs")
     roots = connected(_confirmed(close, texts, percent))
 
     more = stored(_further_pairs(_open_buckets(stars, roots), nodes, percent).distinct(), "further-pairs")

@@ -139,6 +139,20 @@ def test_second_pass_bounds_both_sides(spark, monkeypatch):
     assert len(odd) == n - 1 and len(pairs) == len(set(pairs)) == (n - 1) * n
 
 
+def test_wide_sketch_loses_no_link_of_small_sets():
+    """Pairs of exactly 75 % whose estimates miss by most still lead to a confirmation, at every size."""
+    tool, own, rng = OnePermutation(op6_minhash.WIDE_BINS), op6_minhash.salt(op6_minhash.WIDE_BINS, 17), np.random.default_rng(5)
+    for union, trials in ((8, 4000), (20, 2000), (200, 1000), (2000, 300)):
+        lost, under = 0, 0
+        for _ in range(trials):
+            x = rng.permutation(np.unique(rng.integers(0, 2**64, union, dtype=np.uint64)))
+            a, b = np.sort(x), np.sort(x[:union * 3 // 4])
+            same = ((op6_minhash.mix(tool(a) ^ own) & np.uint64(15)) == (op6_minhash.mix(tool(b) ^ own) & np.uint64(15))).mean()
+            lost += same < op6_minhash._least_agreement(75, np.array([len(b)]))[0]
+            under += same < 0.69 + 0.31 / 16
+        assert lost == 0 and (union > 8 or under > 0)
+
+
 def test_rows_without_id_and_repeated_rows(spark):
     rng = random.Random(11)
     x, y, z = (prose(rng, 60, 5000) for _ in range(3))
