@@ -6,8 +6,8 @@ known stem is recognised.  Filters of widths 1, 2 and 3 run over the whole
 text, each keeps its maximum over all positions, and a logistic unit gives the score.
 
 The classifier is fitted on a bounded sample of labelled rows; every
-text is then scored whole, inside tasks.  Thresholds per language are calibrated on
-labelled rows that the fit did not use; language is never an input of the score.
+text is then scored whole, inside tasks.  Thresholds per language are calibrated on all
+labelled rows that the fit did not use, and decide in ``without_toxic``; language is never an input of the score.
 """
 
 from __future__ import annotations
@@ -26,6 +26,10 @@ from barforge.llm.words import Hasher, find_words, salt, text_groups
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Bytes of the prefixes of a word that have embeddings of their own.
 PREFIXES = (3, 4, 5, 6)
+#: Bins of the scores' histograms; a power of two, so that a bin's edge is exact.
+SCORE_BINS = 4096
+#: Rows of either label from which a language has a threshold of its own.
+LEAST_LABELS = 20
 
 
 @dataclass
@@ -198,7 +202,7 @@ def held_out(doc_id: str = "doc_id"):
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:
     """Fits on the sample and calibrates each language's threshold: the least
-    score from which labelled texts set aside from the fit are toxic with the
+    score from which the labelled texts that the fit did not use, all and whole, are toxic with the
     precision asked for, not under 0.5; ``settings.threshold`` for languages with few such texts.
 
     Sampled are about ``sample_rows`` ids of either label by a hash of the id, and of their texts
@@ -222,23 +226,24 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
     fitted = np.flatnonzero(~aside)
     s_fit = s if len(set(labels_of[fitted].tolist())) == 2 else Settings(**{**s.__dict__, "epochs": 0})
     model = fit([got[i].text for i in fitted], labels_of[fitted], s_fit)
-    rest = np.flatnonzero(aside)
-    scores = score_texts(model, pa.array([got[i].text for i in rest], pa.string()))
-    model.thresholds = calibrate(scores, labels_of[rest], [got[i].lang for i in rest], s)
+    if len(counts) == 2 and min(counts.values()) >= LEAST_LABELS:
+        model.thresholds = calibrate(docs.where(F.octet_length("text") >= 1).where(~held_out()), marked, [got[i].doc_id for i in fitted], model)
     return model
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, langs: list[str | None], s: Settings) -> dict[str | None, float]:
+def calibrate(docs: DataFrame, marked: DataFrame, fitted: list[int], model: Model) -> dict[str | None, float]:
+    """Thresholds from histograms of the scores of the ``marked`` ``docs`` that are not ``fitted``
+    (a bounded list of ids), for languages with enough rows of either label."""
+    ids = docs.sparkSession.createDataFrame([(i,) for i in fitted], "doc_id long")
+    rows = _scored(docs, model).select("doc_id", "lang", F.floor(F.col("score") * SCORE_BINS).cast("int").alias("bin"))
+    rows = rows.join(F.broadcast(ids), "doc_id", "left_anti").join(marked, "doc_id")
+    bins = rows.groupBy("lang", "bin").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n"))
+    held = bins.groupBy("lang").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("bin", "toxic", "n")), False).alias("bins"))
     out = {}
-    for lang in dict.fromkeys(langs):
-        own = np.array([x == lang for x in langs], bool)
-        y, p = labels[own], scores[own]
-        if y.sum() < 20 or len(y) - y.sum() < 20:
-            continue
-        order = np.argsort(-p, kind="stable")
-        precise = np.cumsum(y[order]) / np.arange(1, len(y) + 1) >= s.precision
-        ends = np.flatnonzero(precise & np.append(p[order][1:] != p[order][:-1], True))
-        out[lang] = float(max(0.5, p[order][ends[-1]])) if len(ends) else s.threshold
+    for r in held.where((F.col("toxic") >= LEAST_LABELS) & (F.col("n") - F.col("toxic") >= LEAST_LABELS)).select("lang", "bins").collect():
+        edges, toxic, n = np.array([tuple(b) for b in r.bins]).T
+        ends = np.flatnonzero(np.cumsum(toxic) / np.cumsum(n) >= model.settings.precision)
+        out[r.lang] = max(0.5, float(edges[ends[-1]]) / SCORE_BINS) if len(ends) else model.settings.threshold
     return out
 
 
@@ -246,6 +251,10 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score (0 to 1) and lang_threshold of every row of ``docs``
     (doc_id, text, optionally lang; other columns are not read).  Null and empty texts get the
     score of no words; every row is scored on its own, so repeated rows agree."""
+    return _scored(docs, model).drop("lang")
+
+
+def _scored(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(_parts(model))  # of the size that Settings fix
 
@@ -255,29 +264,33 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
             scores = score_texts(own, b.column("text"))
             limits = [own.thresholds.get(x, own.settings.threshold) for x in b.column("lang").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("held_out"), pa.array(scores, pa.float64()), pa.array(limits, pa.float64())],
-                names=["doc_id", "held_out", "score", "lang_threshold"])
+                [b.column("doc_id"), b.column("held_out"), pa.array(scores, pa.float64()), pa.array(limits, pa.float64()), b.column("lang")],
+                names=["doc_id", "held_out", "score", "lang_threshold", "lang"])
 
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_or_empty().alias("text"),
                        lang.cast("string").alias("lang"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, lang_threshold double")
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, lang_threshold double, lang string")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """A filtering stage: the rows of ``docs`` (all columns) whose score is under the threshold."""
+    """A filtering stage: the rows of ``docs`` (all columns) whose score is under their language's threshold."""
     model = train(docs, labels, settings)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(_parts(model))
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
     at = docs.columns.index("text")
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
 
     def run(batches):
         own = _model(sent.value)
         for b in batches:
-            yield b.filter(pa.array(score_texts(own, b.column(at)) < own.settings.threshold))
+            limits = np.array([own.thresholds.get(x, own.settings.threshold) for x in b.column(b.num_columns - 1).to_pylist()], np.float64)
+            kept = b.filter(pa.array(score_texts(own, b.column(at)) < limits))
+            yield kept.select(range(b.num_columns - 1))
 
-    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).mapInArrow(run, schema).toDF(*docs.columns)
+    rows = docs.select("*", lang.alias("__lang")).toDF(*[f"c{i}" for i in range(len(docs.columns) + 1)])
+    return rows.mapInArrow(run, schema).toDF(*docs.columns)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

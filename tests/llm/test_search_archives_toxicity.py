@@ -2,6 +2,7 @@ import hashlib
 import io
 import math
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -188,6 +189,33 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in got if r.score < 0.7}
 
 
+def test_languages_are_judged_by_their_own_thresholds(spark, monkeypatch):
+    """All labelled rows that the fit did not use are counted, long ones too, and the stage decides by the result."""
+    docs, labels = labelled(random.Random(8), 700)
+    lang = F.when(F.col("doc_id") % 2 == 0, "en").when(F.col("doc_id") < 40, "few")
+    table = documents(spark, docs).withColumn("lang", lang)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    settings = op3_toxicity.Settings(sample_rows=60, epochs=3, sample_bytes=400)
+    seen = []
+    calibrate = op3_toxicity.calibrate
+    monkeypatch.setattr(op3_toxicity, "calibrate", lambda d, m, fitted, model: seen.append((d, m, set(fitted))) or calibrate(d, m, fitted, model))
+    model = op3_toxicity.train(table, marks, settings)
+    (used, _, fitted), = seen
+    counted = used.where(~F.col("doc_id").isin(sorted(fitted))).count()
+    assert counted > 300 and "few" not in model.thresholds and {"en", None} == set(model.thresholds)
+    got = {(r.doc_id, r.lang): (r.score, r.lang_threshold) for r in op3_toxicity._scored(table, model).collect()}
+    truth = {i: t for i, _, t in labels}
+    for name in ("en", None):
+        own = sorted(((p, truth[i]) for (i, x), (p, _) in got.items() if x == name and i not in fitted and zlib.crc32(str(i).encode()) % 3 != 1), reverse=True)
+        called = [t for p, t in own if p >= model.thresholds[name]]
+        assert model.thresholds[name] == 0.7 or sum(called) >= 0.95 * len(called)
+    model.thresholds = {"en": 0.0, None: 2.0}
+    monkeypatch.setattr(op3_toxicity, "train", lambda *_: model)
+    kept = op3_toxicity.without_toxic(table, marks, settings).collect()
+    want = {(i, x) for (i, x), (p, _) in got.items() if x is None or x == "few" and p < 0.7}
+    assert {(r.doc_id, r.lang) for r in kept} == want and kept[0].asDict().keys() == set(table.columns)
+
+
 def test_labels_of_held_out_rows_are_not_used(spark):
     docs, labels = labelled(random.Random(3), 200)
     table = documents(spark, docs)
