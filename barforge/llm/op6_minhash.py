@@ -219,6 +219,12 @@ def _linked(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return rows, stored(placed.select("class", "root").join(firsts, "root").select("class", "root", "first"), "class-components")
 
 
+def row_components(texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc and component (a row's number) of the written texts (doc, a row number; doc_id; text) that have words."""
+    rows, of_class = _linked(texts, percent)
+    return rows.select("doc", "class").join(of_class.select("class", F.col("root").alias("component")), "class").select("doc", "component")
+
+
 def _one_component_per_id(out: DataFrame) -> DataFrame:
     """``out`` (doc_id, root, component_id and others) with the components that
     share a doc_id joined: rows of one doc_id are one document."""

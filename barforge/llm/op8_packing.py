@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm.common import table, text_or_empty
+from barforge.llm import op6_minhash
+from barforge.llm.common import stored, table, text_or_empty
 from barforge.llm.words import Hasher, find_words, text_groups
 
 BIN_WORDS = 1024
@@ -132,4 +133,8 @@ def pack(docs: DataFrame, bin_words: int = BIN_WORDS, cluster: Column | None = N
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    """Near duplicates of word-for-word different texts are one cluster: their component, by row."""
+    docs = table(spark, sf_dir, "documents").select(F.monotonically_increasing_id().alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text", "source")
+    docs = stored(docs, "numbered")
+    near = stored(op6_minhash.row_components(docs.select("doc", "doc_id", text_or_empty().alias("text"))), "near")
+    return pack(docs.join(near, "doc", "left"), cluster=F.col("component"))

@@ -148,6 +148,19 @@ def test_packing_holds_every_word_once(spark):
     assert op8_packing.pack(empty).count() == 0
 
 
+def test_registered_packing_parts_near_copies(spark, tmp_path):
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(60)]
+    rows = [(i, " ".join(base[:7 * i] + [f"edit{i}"] + base[7 * i + 1:]), f"s{i}") for i in range(6)]
+    rows += [(None, " ".join([*base, "end"]), "s9"), (7, None, "s8"), (8, "own words " + " ".join(f"x{rng.randrange(999)}" for _ in range(20)), "s7")]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = op8_packing.op8_packing(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and sum(r.n_words for r in got) == sum(len((t or "").split()) for _, t, _ in rows)
+    near = [(r.group_id, r.bin) for r in got if r.doc_id not in (7, 8)]
+    assert len(set(near)) == len(near) == 7
+    assert {(r.group_id, r.bin) for r in got if r.doc_id == 8} <= set(near)
+
+
 def test_packing_by_given_clusters(spark):
     docs = documents(spark, [(i, "w " * 10, f"s{i}") for i in range(6)])
     got = op8_packing.pack(docs, bin_words=100, cluster=F.col("doc_id") % 2).collect()
