@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from barforge.registry import QUERIES
-from conftest import SF001
+from datasets import SF001
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 

@@ -13,7 +13,7 @@ from barforge.operators.ewm import EwmSpec, add_ewms
 from barforge.operators.indicators import add_all_features, make_targets
 from barforge.operators.series import SeriesPlan
 from barforge.sources.fixtures import hourly_bars, supplier_bars
-from conftest import SF001
+from datasets import SF001
 
 TINY = Layout(hot_rows=40, block_rows=96, bucket_steps=16, ewm_block=16)
 
