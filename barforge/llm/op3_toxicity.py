@@ -87,13 +87,14 @@ def features(data: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray, n
 
 
 def _pooled(model: Model, slots: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Maxima of all filters by text, where they are, and the embedded words.
-    Texts are padded at their ends, so a short one has a window too."""
+    """Maxima of all filters by text, the values they are taken from, and the embedded words.
+    Texts are padded at their ends, so a short one has a window too; the
+    windows that begin so late in the padding that they would reach into the next text don't count."""
     s, texts = model.settings, len(first) - 1
-    pad = max(s.widths)  # at least one window, and none reaches into the next text
+    pad = max(s.widths)
     length = np.diff(first)
     row = np.arange(len(slots)) + pad * np.repeat(np.arange(texts), length)
-    words = np.zeros((len(slots) + pad * texts, s.size), np.float32)
+    words = np.zeros((len(slots) + pad * texts, s.size), model.embed.dtype)
     for j in range(slots.shape[1]):
         words[row] += model.embed[slots[:, j]]
     begin = first[:-1] + pad * np.arange(texts)
@@ -103,6 +104,8 @@ def _pooled(model: Model, slots: np.ndarray, first: np.ndarray) -> tuple[np.ndar
         conv = words[:n] @ weight[0]
         for j in range(1, w):
             conv += words[j:j + n] @ weight[j]
+        for j in range(1, w):
+            conv[begin[1:] - j] = -np.inf
         maxima.append(np.maximum.reduceat(conv, begin, axis=0))
         where.append(conv)
     return np.concatenate(maxima, 1) + model.bias, where, words
@@ -170,7 +173,7 @@ def _gradients(model: Model, slots: np.ndarray, first: np.ndarray, labels: np.nd
     s, texts = model.settings, len(labels)
     pooled, conv, words = _pooled(model, slots, first)
     active = np.maximum(pooled, 0)
-    error = ((_score(model, pooled) - labels) / texts).astype(np.float32)
+    error = ((_score(model, pooled) - labels) / texts).astype(model.embed.dtype)
     back = error[:, None] * model.out * (pooled > 0)
     d_words, pad = np.zeros_like(words), max(s.widths)
     begin = first[:-1] + pad * np.arange(texts)
@@ -190,7 +193,7 @@ def _gradients(model: Model, slots: np.ndarray, first: np.ndarray, labels: np.nd
     touched = slots[moved].ravel()
     learnt = known[touched]
     used, number = np.unique(touched[learnt], return_inverse=True)
-    d_embed = np.zeros((len(used), s.size), np.float32)
+    d_embed = np.zeros((len(used), s.size), model.embed.dtype)
     np.add.at(d_embed, number, np.repeat(d_words[row[moved]], slots.shape[1], 0)[learnt])
     return [(used, d_embed), *d_weights, back.sum(0), active.T @ error], float(error.sum())
 

@@ -2,12 +2,14 @@ import hashlib
 import io
 import math
 import random
+import re
+import string
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import documents, prose
+from helpers import documents, prose, words
 from pyspark.sql import functions as F
 
 from barforge.llm import op3_toxicity, op4_topk, op5_warc
@@ -234,12 +236,20 @@ def test_toxicity_without_labels(spark):
     assert op3_toxicity.score_documents(table.limit(0), op3_toxicity.train(table, none)).count() == 0
 
 
+def in_doubles(model):
+    for name in ("embed", "bias", "out"):
+        setattr(model, name, getattr(model, name).astype(np.float64))
+    model.weights = [w.astype(np.float64) for w in model.weights]
+    return model
+
+
 def test_gradients_against_differences():
+    """In doubles, with a step that is too small to move a maximum to another window."""
     rng = np.random.default_rng(1)
     s = op3_toxicity.Settings(table_bits=8, size=3, filters=2, epochs=0)
     texts, labels = [prose(random.Random(i), 9, 30) for i in range(4)], np.array([0, 1, 1, 0], np.float32)
-    model = op3_toxicity.fit(texts, labels, s)
-    model.embed[:] = rng.normal(0, 1, model.embed.shape)
+    model = in_doubles(op3_toxicity.fit(texts, labels, s))
+    model.embed[:] = rng.normal(0, 0.3, model.embed.shape)
     data = [op3_toxicity.features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), 8)[0] for t in texts]
     slots, first = np.concatenate(data), np.cumsum([0, *map(len, data)])
 
@@ -249,18 +259,46 @@ def test_gradients_against_differences():
 
     grads, _ = op3_toxicity._gradients(model, slots, first, labels, np.ones(256, bool))
     used, d = grads[0]
+    step, seen = 1e-6, 0
     for param, grad in [(model.weights[1], grads[2]), (model.out, grads[-1]), (model.embed, None)]:
-        for _ in range(6):
+        for _ in range(12):
             at = tuple(rng.integers(0, n) for n in param.shape)
             if grad is None:
                 at = (int(rng.choice(used)), at[1])
             g = grad[at] if grad is not None else d[np.searchsorted(used, at[0])][at[1]]
             was = param[at]
-            param[at] = was + 1e-2
+            param[at] = was + step
             up = loss()
-            param[at] = was - 1e-2
-            assert abs((up - loss()) / 2e-2 - g) < 2e-2
+            param[at] = was - step
+            assert abs((up - loss()) / (2 * step) - g) < 1e-6
             param[at] = was
+            seen += abs(g) > 1e-3
+    assert seen > 8
+
+
+def plain_score(model, text):
+    """The score by one loop for each window: no padding shared, no other text."""
+    pieces = [re.sub(rb"[%s]" % re.escape(string.punctuation.encode()), b"", w.encode()) for w in words(text)]
+    s = model.settings
+    data = text.encode()
+    slots = op3_toxicity.features(np.frombuffer(data, np.uint8), np.array([0, len(data)]), s.table_bits)[0]
+    assert len(slots) == len(pieces)
+    rows = [sum(model.embed[j].astype(float) for j in r) for r in slots] + [np.zeros(s.size)] * max(s.widths)
+    best = []
+    for w, weight in zip(s.widths, model.weights):
+        windows = [sum(rows[i + j] @ weight[j].astype(float) for j in range(w)) for i in range(len(rows) - w + 1)]
+        best.append(np.max(windows, axis=0))
+    hidden = np.maximum(np.concatenate(best) + model.bias, 0)
+    return 1 / (1 + math.exp(-(hidden @ model.out + model.out_bias)))
+
+
+def test_scores_against_a_plain_convolution():
+    docs, labels = labelled(random.Random(6), 80)
+    model = op3_toxicity.fit([d[1] for d in docs], np.array([x[2] for x in labels], np.float32), op3_toxicity.Settings(epochs=2))
+    texts = [d[1] for d in docs] + ["", "nitwit", "two words", " \n ", "a, b; c!", "\u00e9t\u00e9 \u00a0x", docs[0][1] * 40]
+    got = op3_toxicity.score_texts(model, pa.array(texts))
+    assert np.allclose(got, [plain_score(model, t) for t in texts], atol=1e-5)
+    assert got.max() - got.min() > 0.3
 
 
 def test_scores_do_not_depend_on_neighbours():
