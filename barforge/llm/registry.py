@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barforge.llm import op1_mixing, op2_lines, op3_toxicity, op4_topk, op5_warc, op6_minhash, op7_substrings, op8_packing, op9_fingerprints, op10_urls
+from barforge.llm import op1_mixing, op2_lines, op3_toxicity, op4_topk, op5_warc, op6_minhash, op7_substrings, op8_packing, op9_fingerprints, op10_urls, op11_html
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_packing": op8_packing.op8_packing,
     "op9_fingerprints": op9_fingerprints.op9_fingerprints,
     "op10_url_filter": op10_urls.op10_url_filter,
+    "op11_html": op11_html.op11_html,
 }
 
 ORACLE_SQL = {
