@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barforge.llm import op1_mixing, op2_lines, op3_toxicity, op4_topk, op5_warc, op6_minhash, op7_substrings, op8_packing, op9_fingerprints, op10_urls, op11_html
+from barforge.llm import op1_mixing, op2_lines, op3_toxicity, op4_topk, op5_warc, op6_minhash, op7_substrings, op8_packing, op9_fingerprints, op10_urls, op11_html, op12_trie
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints.op9_fingerprints,
     "op10_url_filter": op10_urls.op10_url_filter,
     "op11_html": op11_html.op11_html,
+    "op12_trie": op12_trie.op12_trie,
 }
 
 ORACLE_SQL = {
@@ -25,4 +26,5 @@ ORACLE_SQL = {
     "op6_near_duplicates": op6_minhash.ORACLE,
     "op7_substring_dedup": op7_substrings.ORACLE,
     "op10_url_filter": op10_urls.ORACLE,
+    "op12_trie": op12_trie.ORACLE,
 }
