@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barforge.llm import op1_mixing, op2_lines, op3_toxicity, op4_topk, op5_warc, op6_minhash, op7_substrings, op8_packing, op9_fingerprints, op10_urls, op11_html, op12_trie
+from barforge.llm import op1_mixing, op2_lines, op3_toxicity, op4_topk, op5_warc, op6_minhash, op7_substrings, op8_packing, op9_fingerprints, op10_urls, op11_html, op12_trie, op13_whitening
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_url_filter": op10_urls.op10_url_filter,
     "op11_html": op11_html.op11_html,
     "op12_trie": op12_trie.op12_trie,
+    "op13_whitening": op13_whitening.op13_whitening,
 }
 
 ORACLE_SQL = {
