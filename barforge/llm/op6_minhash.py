@@ -5,11 +5,12 @@ densification (128 bins) and texts with equal sets become one class.  Bands of 4
 bins put the classes into buckets.  In a bucket the smallest class is the centre of
 a star: only (centre, member) edges are candidates, so pairs grow with members.
 
-Candidates whose wide sketches agree well enough are confirmed on full shingle sets,
-and links are joined into components.  In a bucket whose members are then still in several
-components, those outside the largest one are held against all members of other components,
-sketch by sketch, a block of askers against a block of members at a time, and what agrees is
-confirmed as well: stars bound the candidates, the second pass loses no link.
+Candidates whose wide sketches agree well enough are confirmed on full shingle sets, a star at a
+time, and links are joined into components.  Where a star's members are then still in several
+components, those outside the largest one are held against all members of other components, on
+full sets, a block of askers against a block of members in a task, which returns no
+pairs but a forest of the links found: stars bound the candidates, the second pass loses no link,
+and no pair that isn't a link leaves a task.
 """
 
 from __future__ import annotations
@@ -30,15 +31,26 @@ WIDE_BINS = 1024
 #: 100 * intersection >= PERCENT * union links two documents.
 PERCENT = 75
 #: Points under the similarity asked for at which an estimate still leads to a
-#: confirmation on full sets, for a smaller set of under so many shingles.  Small sets fill few bins, and a
-#: collision of shingles moves all bins that copy theirs: in simulations at 75 each lost at most about 1e-5.
-MARGINS = ((16, 25), (1000, 12), (None, 6))
-#: About as many askers, and as many members, of a bucket meet in a task of the second pass.
-BLOCK_ROWS = 4096
+#: confirmation on full sets, for a smaller set of under so many shingles: in a small set a
+#: collision of shingles in a bin moves more of the estimate.  At 75 the estimate's standard deviation is
+#: 1.0 to 1.3 points, so these are six of them at least.
+MARGINS = ((16, 25), (200, 12), (None, 8))
+#: About as many members of a star are confirmed together, with one copy of its centre.
+STAR_ROWS = 256
+#: About as many askers, and as many members, of a star meet in a task of the second pass, and so many shingles of either.
+BLOCK_ROWS, BLOCK_SHINGLES = 4096, 1 << 20
+
+
+def wide_sketch(tool: OnePermutation, shingles: np.ndarray, own: np.ndarray) -> bytes:
+    """Four bits for every bin's least hash, 1 to 15; 0 for an empty bin."""
+    held, least = tool.minima(shingles)
+    low = np.zeros(tool.bins, np.uint8)
+    low[held] = (mix(least ^ own[held]) >> np.uint64(8)) % np.uint64(15) + np.uint64(1)
+    return (low[::2] << 4 | low[1::2]).tobytes()
 
 
 def _sketch(batches):
-    sketch, wide = OnePermutation(BINS), OnePermutation(WIDE_BINS)
+    sketch, wide = OnePermutation(BINS), OnePermutation(WIDE_BINS, probes=False)
     own = salt(WIDE_BINS, 17)
     for b in batches:
         sizes, keys, bins, bits = [], [], [], []
@@ -47,8 +59,7 @@ def _sketch(batches):
             sizes.append(len(shingles))
             keys.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if some else None)
             bins.append(sketch(shingles).astype(np.uint16).tobytes() if some else None)
-            low = (mix(wide(shingles) ^ own) & np.uint64(15)).astype(np.uint8) if some else None
-            bits.append((low[::2] << 4 | low[1::2]).tobytes() if some else None)
+            bits.append(wide_sketch(wide, shingles, own) if some else None)
         yield pa.RecordBatch.from_arrays(
             [b.column("doc"), b.column("doc_id"), pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (keys, bins, bits))],
             names=["doc", "doc_id", "n_shingles", "class", "sketch", "wide"])
@@ -60,11 +71,15 @@ def _unpacked(column: pa.Array) -> np.ndarray:
     return np.concatenate([packed >> 4, packed & 15], axis=1)
 
 
+def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of the bins that one of two sketches fills, the share in which they agree; a row for each pair."""
+    return ((x == y) & (x > 0)).sum(1) / np.maximum(((x | y) > 0).sum(1), 1)
+
+
 def _least_agreement(percent: int, sizes: np.ndarray) -> np.ndarray:
     """Share of equal bins from which pairs, whose smaller sets have these sizes, are worth a confirmation."""
     margin = np.select([sizes < below for below, _ in MARGINS[:-1]], [m for _, m in MARGINS[:-1]], MARGINS[-1][1])
-    likeness = np.maximum(0, percent - margin) / 100
-    return likeness + (1 - likeness) / 16
+    return np.maximum(0, percent - margin) / 100
 
 
 def _bands(batches):
@@ -84,52 +99,36 @@ def _agree(percent: int):
         for b in batches:
             if b.num_rows:
                 least = _least_agreement(percent, np.minimum(b.column("n_a").to_numpy(), b.column("n_b").to_numpy()))
-                same = (_unpacked(b.column("wide_a")) == _unpacked(b.column("wide_b"))).mean(1)
+                same = agreement(_unpacked(b.column("wide_a")), _unpacked(b.column("wide_b")))
                 yield b.select(["a", "b"]).take(pa.array(np.flatnonzero(same >= least)))
     return run
 
 
-def _search_bucket(percent: int):
-    """The agreeing pairs of an outlier in one block of askers and a member of another
-    component in one block of a bucket; a pair that meets in an earlier band's bucket is left to that."""
-    def run(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        bucket, outlier = group.column("bucket")[0].as_py(), group.column("asks").to_numpy()
-        node, root, odd, size = (group.column(c).to_numpy() for c in ("node", "root", "odd", "n_shingles"))
-        words = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1)
-        band = int(np.flatnonzero(mix(words[0] ^ salt(BINS // ROWS, 13)).view(np.int64) == bucket)[0])
-        wide, a, b = _unpacked(group.column("wide")), [], []
-        held = np.flatnonzero(~outlier)
-        for i in np.flatnonzero(outlier):
-            m = held[(root[held] != root[i]) & (~odd[held] | (node[held] > node[i]))]
-            m = m[~(words[m, :band] == words[i, :band]).any(1)]
-            m = m[(wide[m] == wide[i]).mean(1) >= _least_agreement(percent, np.minimum(size[m], size[i]))]
-            a.append(np.full(len(m), node[i]))
-            b.append(node[m])
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
-    return run
-
-
-def _confirm(percent: int):
+def _confirm_stars(percent: int):
+    """Rows of a star's part come together, its centre first: only the centre's set is held."""
     def run(batches):
+        star, centre = None, None
         for b in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(shingle_sets(b.column("text_a")), shingle_sets(b.column("text_b")))):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    keep.append(i)
-            yield b.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+            found = []
+            for key, doc, shingles in zip(zip(b.column("a").to_pylist(), b.column("part").to_pylist()), b.column("doc").to_pylist(), shingle_sets(b.column("text"))):
+                if key != star:
+                    star, centre = key, shingles
+                    continue
+                both = len(np.intersect1d(centre, shingles, assume_unique=True))
+                if 100 * both >= percent * (len(centre) + len(shingles) - both):
+                    found.append((key[0], doc))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
     return run
 
 
-def _confirmed(close: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The written pairs that are links, confirmed on full sets."""
-    involved = close.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    held = stored(texts.join(involved, "doc", "left_semi"), "involved-texts")
-    full = (close.join(held.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(held.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b"))
-    return full.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(percent), "a long, b long")
+def _star_links(close: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The written pairs (a, a star's centre; b) that are links on full sets.  A text goes once to every
+    star that it is a candidate of, the centre's once to every STAR_ROWS members."""
+    parts = close.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR_ROWS).cast("int").alias("parts"))
+    members = close.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), F.lit(1).alias("turn"), F.col("b").alias("doc"))
+    centres = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("turn"), F.col("a").alias("doc"))
+    rows = centres.unionByName(members).join(texts, "doc").select("a", "part", "turn", "doc", "text")
+    return rows.repartition("a", "part").sortWithinPartitions("a", "part", "turn").mapInArrow(_confirm_stars(percent), "a long, b long")
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -157,34 +156,85 @@ def connected(edges: DataFrame) -> DataFrame:
     return now.select(F.col("high").alias("node"), F.col("low").alias("root"))
 
 
-def _open_buckets(stars: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members (bucket, node, root, odd, blocks, ask_blocks) of the buckets in which two
+def _open_stars(stars: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Members (centre, node, root, odd, blocks, ask_blocks) of the stars in which two
     members besides the centre, which has met all, are in different components;
-    odd are those outside the bucket's largest component."""
-    placed = stars.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("node") != F.col("centre")).cast("int")).alias("other"))
-    of_bucket = sizes.groupBy("bucket").agg(F.sum("other").alias("others"), F.sum("n").alias("n"),
-                                            F.max(F.struct("n", "root")).alias("largest"))
-    blocks = [F.ceil(c / BLOCK_ROWS).cast("int").alias(name) for c, name in ((F.col("n"), "blocks"), (F.col("n") - F.col("largest.n"), "ask_blocks"))]
-    many = stored(of_bucket.where("others > 1").select("bucket", F.col("largest.root").alias("largest"), *blocks), "open-buckets")
-    return placed.join(many, "bucket").select("bucket", "node", "root", (F.col("root") != F.col("largest")).alias("odd"), "blocks", "ask_blocks")
-
-
-def _further_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """All agreeing pairs of different components in the open buckets: every
-    odd member asks, from one block of askers, in each block of members; every member
-    is held in one, once for each block of askers."""
+    odd are those outside the star's largest component.  A star is all buckets with one centre."""
+    members = stars.select("centre", "node").distinct().join(sizes, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    by_root = members.groupBy("centre", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"), F.max((F.col("node") != F.col("centre")).cast("int")).alias("other"))
+    of_star = by_root.groupBy("centre").agg(F.sum("other").alias("others"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.max(F.struct("n", "root", "s")).alias("largest"))
+
+    def blocks(rows, shingles, name):
+        return F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int").alias(name)
+
+    many = stored(of_star.where("others > 1").select(
+        "centre", F.col("largest.root").alias("largest"), blocks(F.col("n"), F.col("s"), "blocks"),
+        blocks(F.col("n") - F.col("largest.n"), F.col("s") - F.col("largest.s"), "ask_blocks")), "open-stars")
+    return members.join(many, "centre").select("centre", "node", "root", (F.col("root") != F.col("largest")).alias("odd"), "blocks", "ask_blocks")
+
+
+def links_between(sets: list[np.ndarray], node: np.ndarray, root: np.ndarray, asks: np.ndarray, odd: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A forest of the links between members that ask and members of other components, on full sets:
+    with it the components are what all links make them."""
+    held = np.flatnonzero(~asks)
+    held = held[np.argsort([len(sets[i]) for i in held], kind="stable")]
+    sizes = np.array([len(sets[i]) for i in held])
+    universe, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *(sets[i] for i in held)]), return_inverse=True)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    own, out = root[held].copy(), []
+    mark = np.zeros(len(universe) + 1, bool)
+    named = {int(r): int(r) for r in root}
+
+    def top(r: int) -> int:
+        while named[r] != r:
+            named[r] = r = named[named[r]]
+        return r
+
+    for i in np.flatnonzero(asks):
+        n, mine = len(sets[i]), top(int(root[i]))
+        lo, hi = np.searchsorted(sizes * 100, percent * n), np.searchsorted(sizes * percent, 100 * n, "right")  # no link outside these sizes
+        if lo >= hi or (own[lo:hi] == mine).all():
+            continue
+        at = np.searchsorted(universe, sets[i])
+        at = at[universe[np.minimum(at, len(universe) - 1)] == sets[i]]
+        mark[at] = True
+        both = np.add.reduceat(mark[place[first[lo]:first[hi]]], first[lo:hi] - first[lo], dtype=np.int64)
+        mark[at] = False
+        good = (100 * both >= percent * (n + sizes[lo:hi] - both)) & (~odd[held[lo:hi]] | (node[held[lo:hi]] != node[i]))
+        for j in lo + np.flatnonzero(good):
+            theirs = top(int(own[j]))
+            mine = top(mine)
+            if theirs != mine:
+                out.append((int(node[i]), int(node[held[j]])))
+                named[theirs] = mine
+        if out and len(out) % 64 == 0:
+            own = np.array([top(int(r)) for r in own])
+    return out
+
+
+def _search_star(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        sets = [s for chunk in group.column("text").chunks for s in shingle_sets(chunk)]
+        node, root, odd, asks = (group.column(c).to_numpy() for c in ("node", "root", "odd", "asks"))
+        found = links_between(sets, node, root, asks, odd, percent)
+        return pa.table({c: pa.array([x[i] for x in found], pa.int64()) for i, c in enumerate("ab")})
+    return run
+
+
+def _further_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links that join the components of the open stars: every odd member asks, from one block of
+    askers, in each block of members; every member is held in one, once for each block of askers."""
     def own(blocks: str, seed: int):
         return F.pmod(F.xxhash64("node", F.lit(seed)), F.col(blocks)).cast("int")
 
     def every(blocks: str):
         return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
 
-    held = members.select("bucket", "node", "root", "odd", own("blocks", 1).alias("block"), every("ask_blocks").alias("ask_block"), F.lit(False).alias("asks"))
-    asking = members.where("odd").select("bucket", "node", "root", "odd", every("blocks").alias("block"), own("ask_blocks", 2).alias("ask_block"), F.lit(True).alias("asks"))
-    size = F.col("n_shingles") if "n_shingles" in nodes.columns else F.lit(0).cast("long")  # the widest margin where it is not known
-    rows = held.union(asking).join(nodes.select("node", "sketch", "wide", size.alias("n_shingles")), "node")
-    return rows.groupBy("bucket", "ask_block", "block").applyInArrow(_search_bucket(percent), "a long, b long")
+    held = members.select("centre", "node", "root", "odd", own("blocks", 1).alias("block"), every("ask_blocks").alias("ask_block"), F.lit(False).alias("asks"))
+    asking = members.where("odd").select("centre", "node", "root", "odd", every("blocks").alias("block"), own("ask_blocks", 2).alias("ask_block"), F.lit(True).alias("asks"))
+    rows = held.union(asking).join(texts.select(F.col("doc").alias("node"), "text"), "node")
+    return rows.groupBy("centre", "ask_block", "block").applyInArrow(_search_star(percent), "a long, b long")
 
 
 def _linked(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -202,16 +252,17 @@ def _linked(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     centres = stored(in_bands.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
                      .where("centre <> last").select("bucket", "centre"), "star-centres")
     stars = stored(in_bands.join(centres, "bucket").select("bucket", "centre", "node").distinct(), "stars")
+    texts = stored(texts.join(stars.select(F.col("node").alias("doc")).distinct(), "doc", "left_semi"), "involved-texts")
     wide = nodes.select("node", "wide", "n_shingles")
     pairs = (stars.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-             .join(wide.toDF("a", "wide_a", "n_a"), "a").join(wide.toDF("b", "wide_b", "n_b"), "b").select("a", "b", "wide_a", "wide_b", "n_a", "n_b"))
+             .join(wide.toDF("a", "wide_a", "n_a"), "a").join(wide.toDF("b", "wide_b", "n_b"), "b").select("a", "b", "wide_a", "wide_b", "n_a", "n_b")
+             .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
     close = stored(pairs.mapInArrow(_agree(percent), "a long, b long"), "star-pairs")
-    roots = connected(_confirmed(close, texts, percent))
+    roots = connected(_star_links(close, texts, percent))
 
-    more = stored(_further_pairs(_open_buckets(stars, roots), nodes, percent).distinct(), "further-pairs")
+    more = stored(_further_links(_open_stars(stars, roots, nodes.select("node", "n_shingles")), texts, percent), "further-links")
     if not more.isEmpty():
-        found = _confirmed(more, texts, percent)
-        roots = connected(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(found))
+        roots = connected(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more))
 
     placed = stored(nodes.select("class", "node", "first").join(roots, "node", "left")
                     .select("class", F.coalesce("root", "node").alias("root"), "first"), "components")

@@ -149,24 +149,31 @@ class OnePermutation:
     in a bin with the probability of their Jaccard similarity.
     """
 
-    def __init__(self, bins: int):
+    def __init__(self, bins: int, probes: bool = True):
+        """``probes``: whether empty bins are to be filled; else there are only ``minima``."""
         self.bins, self.shift = bins, np.uint64(64 - (bins.bit_length() - 1))
         if bins & (bins - 1):
             raise ValueError("bins must be a power of two")
+        if not probes:
+            return
         keys = salt(bins * bins, 101).reshape(bins, bins)
         self.probe = np.argsort(keys, axis=1).astype(np.int32)
         self.turn = np.empty_like(self.probe)
         np.put_along_axis(self.turn, self.probe, np.arange(bins, dtype=np.int32)[None, :].repeat(bins, 0), 1)
 
-    def __call__(self, shingles: np.ndarray) -> np.ndarray:
-        """``bins`` 64-bit minima of a non-empty sorted set."""
+    def minima(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The occupied bins of a non-empty sorted set, and their least hashes."""
         bins = (shingles >> self.shift).astype(np.int64)
         new = np.empty(len(bins), bool)
         new[0] = True
         np.not_equal(bins[1:], bins[:-1], out=new[1:])
-        held = bins[new]
+        return bins[new], shingles[new]
+
+    def __call__(self, shingles: np.ndarray) -> np.ndarray:
+        """``bins`` 64-bit minima of a non-empty sorted set."""
+        held, least = self.minima(shingles)
         out = np.zeros(self.bins, np.uint64)
-        out[held] = shingles[new]
+        out[held] = least
         if len(held) < self.bins:
             full = np.zeros(self.bins, bool)
             full[held] = True
