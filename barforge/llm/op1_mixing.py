@@ -27,8 +27,8 @@ MOST_EPOCHS = 3
 BLOCK_WORDS = 128
 SHARD_SLOTS = 1 << 14
 SEED = 2024
-#: Rows of one source whose place in its stream one task works out.
-_RUN_ROWS = 10_000
+#: Different documents of one source whose place in its stream one task works out.
+_RUN_ROWS = 2_000
 _ROUNDS = 24
 
 
@@ -126,28 +126,44 @@ def _map_slots(block_words: int):
 
 def _place(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Each row's begin in the stream of its source: sums of bounded runs of
-    rows, then a running sum inside each run, so no source is in one task."""
-    runs = max(shuffle_parts(rows.sparkSession), math.ceil(rows.count() / _RUN_ROWS))
-    placed = rows.where("size > 0").join(plan.select("source", "number"), rows["source"].eqNullSafe(plan["source"])).select(
-        "row", "number", "size", F.pmod(F.xxhash64("row", F.lit(SEED)), F.lit(runs)).alias("run"))
-    sums = placed.groupBy("number", "run").agg(F.sum("size").alias("run_size"))
+    documents, then a running sum inside each run, so no source is in one task.
+
+    The order is that of a hash of the document (``key``), so it doesn't depend on how the rows lie in
+    files.  Rows that repeat a document follow each other: they are counted before they are placed, and
+    which copy a row is follows from counts for each file partition and its place in that one's rows.
+    """
+    named = rows.where("size > 0").join(plan.select("source", "number"), rows["source"].eqNullSafe(plan["source"])).select(
+        "row", "number", "size", "key", F.shiftright("row", 33).alias("file_part"))
+    runs = max(1, math.ceil(rows.count() / _RUN_ROWS))
+    documents = named.groupBy("number", "key", "size").agg(F.count(F.lit(1)).alias("copies")).withColumn("run", F.pmod(F.xxhash64("key", F.lit(SEED)), F.lit(runs)))
+    documents = stored(documents, "mixed-documents")
+    sums = documents.groupBy("number", "run").agg(F.sum(F.col("size") * F.col("copies")).alias("run_size"))
     before = F.sum("run_size").over(Window.partitionBy("number").orderBy("run").rowsBetween(Window.unboundedPreceding, -1))
     starts = sums.select("number", "run", F.coalesce(before, F.lit(0)).alias("start"))
-    inside = F.sum("size").over(Window.partitionBy("number", "run").orderBy("row").rowsBetween(Window.unboundedPreceding, -1))
-    return (placed.withColumn("inside", F.coalesce(inside, F.lit(0))).join(starts, ["number", "run"])
-            .select("row", "number", "size", (F.col("start") + F.col("inside")).alias("begin")))
+    inside = F.sum(F.col("size") * F.col("copies")).over(Window.partitionBy("number", "run").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1))
+    placed = (documents.withColumn("inside", F.coalesce(inside, F.lit(0))).join(starts, ["number", "run"])
+              .select("number", "key", "size", "copies", (F.col("start") + F.col("inside")).alias("first")))
+    found = stored(named.join(placed, ["number", "key", "size"]), "placed-documents")
+    repeated = found.where("copies > 1")
+    counts = repeated.groupBy("number", "key", "size", "file_part").agg(F.count(F.lit(1)).alias("here"))
+    earlier = F.sum("here").over(Window.partitionBy("number", "key", "size").orderBy("file_part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("number", "key", "size", "file_part", F.coalesce(earlier, F.lit(0)).alias("earlier"))
+    copy = F.row_number().over(Window.partitionBy("number", "key", "size", "file_part").orderBy("row")) - 1 + F.col("earlier")
+    repeated = repeated.join(counts, ["number", "key", "size", "file_part"]).select("row", "number", "size", (F.col("first") + F.col("size") * copy).alias("begin"))
+    return found.where("copies = 1").select("row", "number", "size", F.col("first").alias("begin")).unionByName(repeated)
 
 
 def mixed_pieces(rows: DataFrame, weights=WEIGHTS, most_epochs: int = MOST_EPOCHS,
                  block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
-    """The mix of ``rows`` (row, source, size): what each slot takes of each
-    row (row, shard, slot, epoch, from_word, words), and ``source_targets``."""
+    """The mix of ``rows`` (row, a number from monotonically_increasing_id; source; size; key, a hash of the
+    document): what each slot takes of each row (row, shard, slot, epoch, from_word, words), and ``source_targets``."""
     plan = stored(source_targets(rows, weights, most_epochs), "source-targets")
     total = plan.agg(F.sum("target")).first()[0] or 0
     shards = max(1, math.ceil(total / block_words / SHARD_SLOTS))
     runs = plan.select("number", "source_size", "target").mapInArrow(
         _draw(block_words, most_epochs, shards), "number long, size long, blocks long, slots long, last long, shard long, first long, count long")
-    slots = runs.repartition("number", "shard").mapInArrow(
+    # A number of tasks that grows with the slots: the plan itself is so small that Spark would make them in one.
+    slots = runs.repartition(shards, "number", "shard").mapInArrow(
         _map_slots(block_words), "number long, block long, epoch long, shard long, slot long, words long")
     first, last = F.floor(F.col("begin") / block_words), F.floor((F.col("begin") + F.col("size") - 1) / block_words)
     pieces = _place(rows, plan).select("row", "number", "begin", "size", F.explode(F.sequence(first, last)).alias("block"))
@@ -170,19 +186,33 @@ def count_words(batches):
 
 
 def mix_sizes(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target and taken of every row of ``docs``
+    """doc_id, size, source_size, target, taken, and of the mix's output n_slots (slots that hold words of
+    the row), n_shards and first_shard (null where nothing is taken), of every row of ``docs``
     (doc_id, text, source; other columns are not read).
 
     Null, empty and blank texts have size 0 and are not taken; a null source is a source of its
     own, after all others; repeated rows each hold their words; an empty table gives no rows.
     """
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", text_or_empty().alias("__text")).mapInArrow(
-        count_words, "doc_id long, source string, size long")
-    rows = stored(narrow.withColumn("row", F.monotonically_increasing_id()), "sizes")
+    rows = _sized(docs)
     taken, plan = mixed_pieces(rows, **options)
-    taken = taken.groupBy("row").agg(F.sum("words").alias("taken"))
+    taken = taken.groupBy("row").agg(F.sum("words").alias("taken"), F.count_distinct("slot").alias("n_slots"), F.count_distinct("shard").alias("n_shards"),
+                                     F.min("shard").alias("first_shard"))
     out = rows.join(taken, "row", "left").join(plan.withColumnRenamed("source", "named"), F.col("source").eqNullSafe(F.col("named")))
-    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("taken", "n_slots", "n_shards")], "first_shard")
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.xxhash64("doc_id", text_or_empty()).alias("key"), text_or_empty().alias("__text")).mapInArrow(
+        count_words, "doc_id long, source string, key long, size long")
+    return stored(narrow.withColumn("row", F.monotonically_increasing_id()), "sizes")
+
+
+def mixed_shards(docs: DataFrame, **options) -> DataFrame:
+    """The mix as its output shards: shard, source, slot (in order, inside a shard and source), doc_id, epoch, from_word
+    and n_words of every span of a document; a shard's sources have the slots of its multinomial draw."""
+    rows = _sized(docs)
+    taken, _ = mixed_pieces(rows, **options)
+    return taken.join(rows.select("row", "doc_id", "source"), "row").select("shard", "source", "slot", "doc_id", "epoch", "from_word", F.col("words").alias("n_words"))
 
 
 def _cut(text_at: int, spans_at: int, schema: list[str]):
@@ -228,10 +258,11 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     which nothing is taken have no row."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     text, source = names[docs.columns.index("text")], names[docs.columns.index("source")]
-    coded = docs.toDF(*names).withColumn("row", F.monotonically_increasing_id())
+    own = F.col(names[docs.columns.index("doc_id")]) if "doc_id" in docs.columns else F.lit(0)
+    coded = docs.toDF(*names).withColumn("row", F.monotonically_increasing_id()).withColumn("key", F.xxhash64(own, text_or_empty(text)))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in coded.schema)
     base = stored(coded.withColumn("__text", text_or_empty(text)).mapInArrow(count_words, f"{schema}, size long"), "numbered-documents")
-    taken, _ = mixed_pieces(base.select("row", F.col(source).alias("source"), "size"), **options)
+    taken, _ = mixed_pieces(base.select("row", F.col(source).alias("source"), "size", "key"), **options)
     spans = taken.groupBy("row").agg(F.collect_list(F.struct("epoch", "from_word", "words")).alias("spans"))
     met = base.join(spans, "row").select(*names, "spans")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in met.schema if f.name != "spans")
