@@ -124,10 +124,12 @@ def pack(docs: DataFrame, bin_words: int = BIN_WORDS, cluster: Column | None = N
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.xxhash64(text_or_empty()).alias("text_hash"),
                        (F.lit(None) if cluster is None else cluster).cast("long").alias("given"), text_or_empty().alias("text"))
-    groups = max(1, math.ceil(docs.count() / GROUP_PIECES))
     sized = rows.mapInArrow(_measure, "doc_id long, source string, text_hash long, given long, size long, own_cluster long")
+    # Numbered once, in a written table: rows that repeat id and text spread over the groups like others.
+    sized = stored(sized.withColumn("row", F.monotonically_increasing_id()), "sizes")
+    groups = max(1, math.ceil(sized.count() / GROUP_PIECES))
     dealt = sized.select("doc_id", "size", "source", F.coalesce("given", "own_cluster").alias("cluster"), "text_hash",
-                         F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(groups)).alias("group_id"))
+                         F.pmod(F.xxhash64("doc_id", "text_hash", "row"), F.lit(groups)).alias("group_id"))
     return dealt.groupBy("group_id").applyInArrow(
         _pack(bin_words), "doc_id long, piece int, from_word long, n_words long, group_id long, bin int, bin_offset int")
 

@@ -68,7 +68,7 @@ def test_permutations():
 
 def test_slots_of_shards_and_epochs(spark):
     rng = random.Random(2)
-    rows = spark.createDataFrame([(i, "ab"[i % 2], rng.randrange(0, 500)) for i in range(200)], "row long, source string, size long")
+    rows = spark.createDataFrame([(i, "ab"[i % 2], rng.randrange(0, 500), i * 7919) for i in range(200)], "row long, source string, size long, key long")
     taken, plan = op1_mixing.mixed_pieces(rows, block_words=64)
     size = {r.source: r.source_size for r in plan.collect()}
     per_epoch = taken.groupBy("row", "epoch", "from_word").agg(F.count("*").alias("n"))
@@ -76,6 +76,32 @@ def test_slots_of_shards_and_epochs(spark):
     assert taken.agg(F.sum("words")).first()[0] == pytest.approx(sum(size.values()), abs=1)
 
 
+def test_mix_does_not_depend_on_the_files(spark, monkeypatch):
+    monkeypatch.setattr(op1_mixing, "_RUN_ROWS", 7)
+    rows = mixed(random.Random(7), {"a": 9000, "b": 2000, None: 500}) + [(7000, "same words here", "a")] * 40 + [(None, "no id at all", "b")] * 30
+    docs, want = documents(spark, rows), None
+    for n, by in ((1, "doc_id"), (7, "text"), (3, "source"), (5, "doc_id")):
+        got = order(tuple(r) for r in op1_mixing.mix_sizes(docs.repartition(n, by)).collect())
+        want = want or got
+        assert got == want
+    assert sum(r[4] for r in want if r[0] == 7000) > 0
+
+
+def test_shards_hold_the_mix(spark, monkeypatch):
+    monkeypatch.setattr(op1_mixing, "SHARD_SLOTS", 20)
+    docs = documents(spark, mixed(random.Random(5), {"a": 9000, "b": 4000, "c": 600}))
+    spans, sizes = op1_mixing.mixed_shards(docs).collect(), {r.doc_id: r for r in op1_mixing.mix_sizes(docs).collect()}
+    own = defaultdict(list)
+    for r in spans:
+        own[r.doc_id].append(r)
+    assert len({r.shard for r in spans}) > 3
+    for d, r in sizes.items():
+        assert r.taken == sum(x.n_words for x in own[d]) and r.n_slots == len({x.slot for x in own[d]}) and r.n_shards == len({x.shard for x in own[d]})
+        assert r.first_shard == min((x.shard for x in own[d]), default=None)
+    slots = {(r.source, r.slot): r.shard for r in spans}
+    assert all(slots[r.source, r.slot] == r.shard for r in spans)
+
+
 def test_mixed_documents_hold_the_words_taken(spark):
     rows = [r + ("s",) if len(r) == 2 else r for r in awkward(random.Random(3))] + mixed(random.Random(4), {"t": 3000, None: 40})
     docs = documents(spark, rows)
@@ -165,3 +191,12 @@ def test_packing_by_given_clusters(spark):
     docs = documents(spark, [(i, "w " * 10, f"s{i}") for i in range(6)])
     got = op8_packing.pack(docs, bin_words=100, cluster=F.col("doc_id") % 2).collect()
     assert len({r.bin for r in got}) == 3
+
+
+def test_repeated_rows_spread_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(op8_packing, "GROUP_PIECES", 50)
+    got = op8_packing.pack(documents(spark, [(None, None)] * 300 + [(5, "a b c")] * 300)).collect()
+    for same in ([r for r in got if r.doc_id is None], [r for r in got if r.doc_id == 5]):
+        sizes = [sum(r.group_id == g for r in same) for g in range(12)]
+        assert len(same) == sum(sizes) == 300 and max(sizes) <= 60
+    assert len({(r.group_id, r.bin) for r in got if r.doc_id == 5}) == 300
