@@ -2,9 +2,8 @@
 
 One window spec (``PARTITION BY symbol, _blk ORDER BY ts``) serves every
 lag, lead and bounded rolling frame, so the rolling family costs one hash
-exchange and one sort.  Each distinct window expression is computed once and
-aliased where the reference names it twice (``vol_sma_w`` /
-``vol_roll_mean_w``).  The recursive averages (EMA, Wilder RSI/ATR, MACD
+exchange and one sort.  Every rolling mean and deviation comes from sliding
+moments that all widths of an input share (``barforge.operators.moments``).  The recursive averages (EMA, Wilder RSI/ATR, MACD
 signal) go through the blocked scan of ``barforge.operators.ewm``: all
 close/gain/loss/true-range averages in one pass, the MACD signal (whose seed
 is the first non-NULL MACD) in a second.
@@ -20,9 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barforge.config import DEFAULT_HORIZONS, DEFAULT_TASK, DEFAULT_THRESH, Layout, WindowsConfig
-from barforge.functions.columns import rolling, safe_div
+from barforge.functions.columns import safe_div
 from barforge.functions.intervals import step_micros
 from barforge.operators.ewm import EwmSpec, add_ewms
+from barforge.operators.moments import add_sliding_moments
 from barforge.operators.series import CORE, RN, SeriesPlan
 from barforge.session import persist
 
@@ -68,7 +68,8 @@ def label(fr: Column, task: str, thresh: float) -> Column:
     return F.coalesce((fr > t).cast("long"), F.lit(0).cast("long"))
 
 
-def _window_columns(d: DataFrame, cfg: WindowsConfig, w, horizons, task, thresh) -> DataFrame:
+def _window_columns(d: DataFrame, cfg: WindowsConfig, w, horizons, task, thresh, wanted: Iterable[str] | None = None) -> DataFrame:
+    """Lags, leads, ratios, and the rolling family from shared sliding moments; ``wanted``: only these of it."""
     cols = set(d.columns)
     close, high, low, vol = F.col("close"), F.col("high"), F.col("low"), F.col("volume")
     prev = F.lag(close, 1).over(w)
@@ -76,28 +77,12 @@ def _window_columns(d: DataFrame, cfg: WindowsConfig, w, horizons, task, thresh)
     exprs["ret_simple"] = safe_div(close, prev) - F.lit(1.0)
     exprs["ret_log"] = F.ln(close) - F.lag(F.ln(close), 1).over(w)
     exprs["hl_spread"] = safe_div(high - low, close)
-    for w_ in sorted(set(cfg.ma) | set(cfg.vol_feat)):
-        exprs[f"_vmean{w_}"] = rolling(F.avg, vol, w_, w)
-    for w_ in cfg.ma:
-        exprs[f"sma_{w_}"] = rolling(F.avg, close, w_, w)
-    p = cfg.bb_period
-    exprs["_bbm"] = rolling(F.avg, close, p, w)
-    exprs["_bbs"] = rolling(F.stddev_pop, close, p, w)
     dollar = F.col("quote_volume") if "quote_volume" in cols else close * vol
     exprs["dollar_volume"] = dollar
     if "taker_buy_base" in cols:
         exprs["taker_buy_ratio"] = safe_div(F.col("taker_buy_base"), vol)
     if "taker_buy_quote" in cols and "quote_volume" in cols:
         exprs["taker_buy_quote_ratio"] = safe_div(F.col("taker_buy_quote"), F.col("quote_volume"))
-    for w_ in cfg.vol_feat:
-        exprs[f"vol_roll_std_{w_}"] = rolling(F.stddev_pop, vol, w_, w)
-        if "trades" in cols:
-            exprs[f"trades_roll_mean_{w_}"] = rolling(F.avg, F.col("trades"), w_, w)
-            exprs[f"trades_roll_std_{w_}"] = rolling(F.stddev_pop, F.col("trades"), w_, w)
-        else:
-            exprs[f"trades_roll_mean_{w_}"] = F.lit(None).cast("double")
-            exprs[f"trades_roll_std_{w_}"] = F.lit(None).cast("double")
-        exprs[f"dollar_vol_roll_mean_{w_}"] = rolling(F.avg, dollar, w_, w)
     if horizons is not None:
         for h in horizons:
             fr = F.ln(F.lead(close, h).over(w)) - F.ln(close)
@@ -105,10 +90,26 @@ def _window_columns(d: DataFrame, cfg: WindowsConfig, w, horizons, task, thresh)
         max_h = max(horizons) if len(horizons) else 0
         exprs["_tail_ok"] = F.lead(F.lit(1), max_h).over(w).isNotNull() if max_h > 0 else F.lit(True)
     d = d.select("*", *[e.alias(n) for n, e in exprs.items()])
-    # ret_log volatility reads the column above (second window operator,
-    # same spec: no extra exchange or sort)
-    return d.select("*", *[rolling(F.stddev_pop, F.col("ret_log"), w_, w).alias(f"vol_logret_{w_}")
-                           for w_ in cfg.vol])
+
+    names = set(feature_names(cfg, cols) if wanted is None else wanted)
+    bands = {f"bb_mid_{cfg.bb_period}", f"bb_up_{cfg.bb_period}", f"bb_low_{cfg.bb_period}", "bb_percent_b"} & names
+    rolled = {  # feature -> (input, width, what of it)
+        **{f"sma_{k}": ("close", k, "mean") for k in cfg.ma}, **{f"vol_sma_{k}": ("volume", k, "mean") for k in cfg.ma},
+        **{f"vol_logret_{k}": ("ret_log", k, "std") for k in cfg.vol}, **{f"vol_roll_mean_{k}": ("volume", k, "mean") for k in cfg.vol_feat},
+        **{f"vol_roll_std_{k}": ("volume", k, "std") for k in cfg.vol_feat}, **{f"dollar_vol_roll_mean_{k}": ("dollar_volume", k, "mean") for k in cfg.vol_feat}}
+    if "trades" in cols:
+        rolled |= {f"trades_roll_{x}_{k}": ("trades", k, x) for k in cfg.vol_feat for x in ("mean", "std")}
+    rolled = {n: v for n, v in rolled.items() if n in names}
+    if bands:
+        rolled |= {"_bbm": ("close", cfg.bb_period, "mean"), "_bbs": ("close", cfg.bb_period, "std")}
+    widths: dict[str, set[int]] = {}
+    for c, k, _ in rolled.values():
+        widths.setdefault(c, set()).add(k)
+    d = add_sliding_moments(d, w, widths, {c for c, _, x in rolled.values() if x == "std"})
+    out = [F.col(f"_{x}{k}_{c}").alias(n) for n, (c, k, x) in rolled.items()]
+    if "trades" not in cols:
+        out += [F.lit(None).cast("double").alias(n) for k in cfg.vol_feat for n in (f"trades_roll_mean_{k}", f"trades_roll_std_{k}") if n in names]
+    return d.select(*[c for c in d.columns if not c.startswith(("_mean", "_std"))], *out)
 
 
 def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval: str = "5m",
@@ -199,25 +200,20 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
                          block_rows=layout.block_rows, cap=layout.ewm_block)
         # bounded frames, lags and leads last: one window pass over the same
         # partitions (sorted again, not re-shuffled)
-        d = _window_columns(d, cfg, w, horizons, task, thresh)
-        p, k = cfg.bb_period, F.lit(float(cfg.bb_std))
-        up = F.col("_bbm") + k * F.col("_bbs")
-        lo = F.col("_bbm") - k * F.col("_bbs")
-        extra = {
-            f"bb_mid_{p}": F.col("_bbm"), f"bb_up_{p}": up, f"bb_low_{p}": lo,
-            "bb_percent_b": safe_div(F.col("close") - lo, up - lo),
-        }
+        d = _window_columns(d, cfg, w, horizons, task, thresh, feats)
+        extra = {}
+        if "_bbm" in d.columns:
+            p, k = cfg.bb_period, F.lit(float(cfg.bb_std))
+            up = F.col("_bbm") + k * F.col("_bbs")
+            lo = F.col("_bbm") - k * F.col("_bbs")
+            extra = {f"bb_mid_{p}": F.col("_bbm"), f"bb_up_{p}": up, f"bb_low_{p}": lo,
+                     "bb_percent_b": safe_div(F.col("close") - lo, up - lo)}
         if need_rsi:
             rs = safe_div(F.col("_ag"), F.nullif(F.col("_al"), F.lit(0.0)))
             extra[f"rsi_{cfg.rsi}"] = F.lit(100.0) - safe_div(F.lit(100.0), F.lit(1.0) + rs)
         if need_signal:
             extra["macd_hist"] = F.col(macd) - F.col(sig)
-        for w_ in cfg.ma:
-            if w_ in ema_spans:
-                extra[f"ema_{w_}"] = F.col(f"_ema{w_}")
-            extra[f"vol_sma_{w_}"] = F.col(f"_vmean{w_}")
-        for w_ in cfg.vol_feat:
-            extra[f"vol_roll_mean_{w_}"] = F.col(f"_vmean{w_}")
+        extra |= {f"ema_{w_}": F.col(f"_ema{w_}") for w_ in cfg.ma if w_ in ema_spans}
         d = d.select("*", *[e.alias(n) for n, e in extra.items()])
         cond = F.col(CORE)
         if trim_warmup and warm > 0:

@@ -11,9 +11,18 @@ from pyspark.sql import SparkSession
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
+#: Bytecode from which the JVM no longer compiles a method (its -XX:HugeMethodLimit).
+_JIT_LIMIT = "8000"
+
+
 def ensure_utc(spark: SparkSession) -> None:
-    """All time arithmetic in this package assumes a UTC session."""
+    """All time arithmetic in this package assumes a UTC session.
+
+    Wide projections also need Spark not to fuse a stage into one method that the JVM then
+    interprets for ever: beyond its limit the operators keep methods of their own, which it compiles."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) > int(_JIT_LIMIT):
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", _JIT_LIMIT)
 
 
 def scratch_root(spark: SparkSession) -> str:
