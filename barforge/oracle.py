@@ -331,6 +331,11 @@ def raw_bars_sql() -> str:
     return f"SELECT {sel} FROM ({SB})"
 
 
+CORRECTED_SQL = """SELECT * REPLACE (
+  CASE WHEN open_time >= '1997-01-01' AND open_time < '1998-01-01' THEN close / 4.0 WHEN open_time >= '1996-01-01' AND open_time < '1997-01-01' THEN close / 2.0 ELSE close END AS close,
+  CASE WHEN open_time >= '1996-01-01' AND open_time < '1998-01-01' OR {late} THEN 0 ELSE trades END AS trades) FROM ({src})"""
+
+
 def oracle_queries() -> dict[str, str]:
     fd = feature_doubles()
     feats_all = RAW12 + feature_names(CFG, RAW12) + target_names((1, 5, 15), "binclass")
@@ -381,6 +386,8 @@ def oracle_queries() -> dict[str, str]:
                                + f" FROM ({features_sql(DAILY_BARS_SQL, horizons=(), trim=False)})",
         "ts_parse": "SELECT o_orderkey, o_orderdate::TIMESTAMP AS ts FROM orders",
         "raw_two_saves": select_rounded(clean_sql(SB), RAW12),
+        "raw_corrected_save": select_rounded(clean_sql(CORRECTED_SQL.format(src=SB, late="false")), RAW12),
+        "raw_compacted_saves": select_rounded(clean_sql(CORRECTED_SQL.format(src=SB, late="open_time >= '1998-01-01'")), RAW12),
         "daily_gap_ranges_allow2": DAILY_GAPS_SQL.format(src=SB),
         "split_sizes": f"SELECT split, count(*) AS n FROM ({split_sql(SB)}) GROUP BY split",
         "scaler_fit": f"SELECT feature, {rnd_sql('mean', 3)} AS mean, {rnd_sql('scale', 3)} AS scale FROM ({scaler_params_sql(SB)})",

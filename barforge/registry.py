@@ -22,7 +22,7 @@ from barforge.plans.features import get_features_dataset
 from barforge.plans.workflow import run_chain
 from barforge.rounding import round_frame
 from barforge.session import ensure_utc, release_cached, scratch_path
-from barforge.sources.files import gather_input_files, load_and_prepare, load_time_index, manifest, save_features, save_raw
+from barforge.sources.files import compact_raw, gather_input_files, load_and_prepare, load_time_index, manifest, save_features, save_raw
 from barforge.config import Layout
 from barforge.sources.fixtures import daily_bars, hot_symbols_upper_bound, hourly_bars, rising_bars, supplier_bars, table
 from barforge.sources.klines import read_kline_pages, write_kline_pages
@@ -312,6 +312,31 @@ def q_raw_two_saves(spark, d):
     return _out(load_and_prepare(spark, f"{root}/interval=1d", fmt="parquet").select(*RAW12))
 
 
+def _corrected_saves(spark, d) -> str:
+    """All bars, then those of 1996 and 1997 again with half the close and no trades, then those of 1997 with a quarter."""
+    root = scratch_path(spark, "raw")
+    bars = supplier_bars(spark, d)
+    save_raw(bars, root, "parquet", "1d")
+    for since, part in (("1996-01-01", 2.0), ("1997-01-01", 4.0)):
+        again = bars.where((F.col("open_time") >= since) & (F.col("open_time") < "1998-01-01"))
+        save_raw(again.withColumns({"close": F.col("close") / part, "trades": F.lit(0).cast("long")}), root, "parquet", "1d")
+    return root
+
+
+def q_raw_corrected_save(spark, d):
+    """The last save of a candle counts, though its other columns are smaller."""
+    return _out(load_and_prepare(spark, f"{_corrected_saves(spark, d)}/interval=1d", fmt="parquet").select(*RAW12))
+
+
+def q_raw_compacted_saves(spark, d):
+    """One save is left of three, with a row for each candle; a later save still corrects it."""
+    root = _corrected_saves(spark, d)
+    compact_raw(spark, root, "parquet", "1d")
+    late = supplier_bars(spark, d).where("open_time >= '1998-01-01'")
+    save_raw(late.withColumn("trades", F.lit(0).cast("long")), root, "parquet", "1d")
+    return _out(load_and_prepare(spark, f"{root}/interval=1d", fmt="parquet").select(*RAW12))
+
+
 def q_daily_gap_ranges_allow2(spark, d):
     return _out(find_time_gaps(sb_clean(spark, d).select("symbol", "ts"), interval="1d", max_allow_miss=2))
 
@@ -408,6 +433,8 @@ QUERIES = {
     "symbolless_features": q_symbolless_features,
     "ts_parse": q_ts_parse,
     "raw_two_saves": q_raw_two_saves,
+    "raw_corrected_save": q_raw_corrected_save,
+    "raw_compacted_saves": q_raw_compacted_saves,
     "daily_gap_ranges_allow2": q_daily_gap_ranges_allow2,
     "scaler_fit": q_scaler_fit,
     "scaled_dataset": q_scaled_dataset,
