@@ -113,20 +113,17 @@ def _measure(batches):
                                          names=[*rest.schema.names, "size", "own_cluster"])
 
 
-def pack(docs: DataFrame, bin_words: int = BIN_WORDS, cluster: Column | None = None) -> DataFrame:
-    """doc_id, piece, from_word, n_words, group_id, bin (in its group) and
-    bin_offset of every piece of every row of ``docs`` (doc_id, text, source, other columns only for ``cluster``).
-
-    ``cluster`` (a long) names the rows that must not share a bin; by default
-    it is a hash of the text's words.  A null source is a source.  Null, empty and blank texts
-    have one piece of no words without a bin; repeated rows are pieces of their own, in other
-    bins; an empty table gives no rows.
-    """
+def measured(docs: DataFrame, cluster: Column | None = None) -> DataFrame:
+    """doc_id, source, text_hash, size in words, own_cluster, given (``cluster``, a long) and row (a number) of every row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.xxhash64(text_or_empty()).alias("text_hash"),
                        (F.lit(None) if cluster is None else cluster).cast("long").alias("given"), text_or_empty().alias("text"))
     sized = rows.mapInArrow(_measure, "doc_id long, source string, text_hash long, given long, size long, own_cluster long")
     # Numbered once, in a written table: rows that repeat id and text spread over the groups like others.
-    sized = stored(sized.withColumn("row", F.monotonically_increasing_id()), "sizes")
+    return stored(sized.withColumn("row", F.monotonically_increasing_id()), "sizes")
+
+
+def pack_sizes(sized: DataFrame, bin_words: int = BIN_WORDS) -> DataFrame:
+    """The packing of ``measured`` rows."""
     groups = max(1, math.ceil(sized.count() / GROUP_PIECES))
     dealt = sized.select("doc_id", "size", "source", F.coalesce("given", "own_cluster").alias("cluster"), "text_hash",
                          F.pmod(F.xxhash64("doc_id", "text_hash", "row"), F.lit(groups)).alias("group_id"))
@@ -134,9 +131,23 @@ def pack(docs: DataFrame, bin_words: int = BIN_WORDS, cluster: Column | None = N
         _pack(bin_words), "doc_id long, piece int, from_word long, n_words long, group_id long, bin int, bin_offset int")
 
 
+def pack(docs: DataFrame, bin_words: int = BIN_WORDS, cluster: Column | None = None) -> DataFrame:
+    """doc_id, piece, from_word, n_words, group_id, bin (in its group) and
+    bin_offset of every piece of every row of ``docs`` (doc_id, text, source, other columns only for ``cluster``).
+
+    ``cluster`` (a long) names the rows that must not share a bin; by default
+    it is a hash of the text's words.  A null source is a source.  Null, empty and blank texts
+    have one piece of no words without a bin; repeated rows are pieces of their own, in other
+    bins; an empty table gives no rows.
+    """
+    return pack_sizes(measured(docs, cluster), bin_words)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of word-for-word different texts are one cluster: their component, by row."""
     docs = table(spark, sf_dir, "documents").select(F.monotonically_increasing_id().alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text", "source")
     docs = stored(docs, "numbered")
     near = stored(op6_minhash.row_components(docs.select("doc", "doc_id", text_or_empty().alias("text"))), "near")
-    return pack(docs.join(near, "doc", "left"), cluster=F.col("component"))
+    sized = measured(docs, F.col("doc"))  # the texts stay where they are: clusters join the sizes
+    near = near.select(F.col("doc").alias("given"), "component")
+    return pack_sizes(sized.join(near, "given", "left").withColumn("given", F.col("component")))
