@@ -48,6 +48,54 @@ def test_gaps_by_candle_and_grid(spark):
         check_gaps(df, "1d")
 
 
+def _gaps_by_hand(bars, step):
+    """Runs of missing grid points and the points themselves, by a set of minutes."""
+    runs, points = [], []
+    for symbol in sorted({s for s, _ in bars}):
+        times = {t for s, t in bars if s == symbol}
+        first, last, run = min(times), max(times), []
+        for t in range(first, last + 2 * step, step):
+            if t <= last and t not in times:
+                points.append((symbol, t))
+                run.append(t)
+            elif run:
+                runs.append((symbol, run[0], run[-1], len(run)))
+                run = []
+    return runs, points
+
+
+@pytest.mark.parametrize("layout", [Layout(), TINY, Layout(bucket_steps=7)])
+def test_gaps_against_sets(spark, layout):
+    """Holes within words and over whole words and chunks, bars off the grid and twice, times before 1970, one-bar series."""
+    import random
+    rng, step = random.Random(5), 5
+    bars = [(s, off + step * k) for s, off, n, share in (("A", -3_001, 400, 0.8), ("B", 2, 900, 0.03), ("C", 17, 300, 1.0), ("D", 0, 1, 1.0))
+            for k in range(n) if rng.random() < share]
+    bars += [("A", -3_001 + 5 * 420 + 2), ("C", 18), ("D", 0), ("B", 64 * 5 + 2), ("B", 64 * 5 + 2)]
+    df = spark.createDataFrame(bars, ["symbol", "m"]).select("symbol", F.timestamp_micros(F.col("m") * 60_000_000).alias("ts"))
+    minute = lambda c: (F.unix_micros(c) / 60_000_000).cast("long").alias(c)
+    runs, points = _gaps_by_hand(bars, step)
+    got = find_time_gaps(df, "5m", layout=layout).select("symbol", minute("gap_start"), minute("gap_end"), "missing_count")
+    assert sorted(map(tuple, got.collect())) == runs
+    got = grid_missing(df, "5m", chunk=128, layout=layout).select("symbol", minute("ts"))
+    assert sorted(map(tuple, got.collect())) == points
+    none = df.where("false")
+    assert find_time_gaps(none, "5m").count() == grid_missing(none, "5m").count() == check_gaps(none, "5m", ts="ts").count() == 0
+
+
+def test_gap_plans_are_dealt_by_chunk(spark):
+    """Bars move once, by symbol and chunk; present points become no rows of a grid."""
+    df = _times(spark, ["00:00", "00:05", "00:20"])
+    runs = find_time_gaps(df, "5m")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in runs
+    joins = [line for line in runs.splitlines() if "Join " in line]
+    assert joins and all("chunk" in line for line in joins)
+    grid = grid_missing(df, "5m")._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" in grid and "LeftAnti" not in grid
+    joins = [line for line in grid.splitlines() if "Join " in line]
+    assert joins and all("chunk" in line or "word" in line for line in joins)
+
+
 def _grid(spark, n_sym, n):
     pdf = pd.DataFrame([(f"S{s}", pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i), float(i))
                         for s in range(n_sym) for i in range(n)], columns=["symbol", "ts", "x"])
