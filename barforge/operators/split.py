@@ -1,17 +1,22 @@
-"""Train / validation / test assignment with exact sizes and no global
-row-level window.
-
-A cut is a position in the total order ``(key, ties...)``.  It is found by
-refinement: rows are counted per wide bucket of the key, then per finer
-bucket inside the one that holds the cut, down to a single key value.  Rows
-are assigned by comparing their key with the cut values (literals); only
-the rows that share a cut value are ranked by the ties.  The key is a long:
-epoch microseconds for the time split, 60 bits of an MD5 for the random one.
+"""Train / validation / test assignment with exact sizes and no ranking of
+rows.
+
+A cut is a position in the total order ``(key, ties..., all other columns)``.
+It is found by refinement: rows are counted per wide bucket of the key, then
+per finer bucket inside the one that holds the cut, down to a key value,
+then per value of each tie, then per hash of the row, until the cut falls
+between two buckets; both cuts share each pass.  Rows are assigned by
+comparing their buckets with those of the cuts, which are literals: a
+projection.  Only equal rows have no order; they are counted, and so many
+copies go to each part.  The key is a long: epoch microseconds for the time
+split, 60 bits of an MD5 for the random one.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +28,8 @@ TIME_WIDTHS = (86_400_000_000, 60_000_000, 1)
 #: And of 60-bit hashes.
 HASH_WIDTHS = (1 << 40, 1 << 20, 1)
 LAST = 2**63 - 1
+#: Copies of a row that one task makes at a time.
+COPIES = 1 << 16
 
 
 def time_split_sizes(n: int, train_size: float, valid_size: float) -> tuple[int, int, int]:
@@ -35,54 +42,118 @@ def time_split_sizes(n: int, train_size: float, valid_size: float) -> tuple[int,
 
 
 def random_split_sizes(n: int, train_size: float, valid_size: float) -> tuple[int, int, int]:
-    """Sizes of the two-step random split: the test part is rounded up
-    first, then the validation share of the rest, also rounded up."""
-    test_size = 1.0 - train_size - valid_size
-    if test_size <= 0:
-        raise ValueError("train_size + valid_size must be < 1.0")
-    n_test = math.ceil(test_size * n)
-    m = n - n_test
-    valid_ratio = valid_size / (train_size + valid_size)
-    n_valid = math.ceil(valid_ratio * m)
-    return m - n_valid, n_valid, n_test
-
-
-def find_cut(df: DataFrame, key: str, cut: int, widths: tuple[int, ...]) -> tuple[int, int]:
-    """(key value, rows with a smaller key) of the row at position ``cut``;
-    past the last row the greatest key and the number of rows."""
-    before, inside = 0, F.lit(True)
-    for width in widths:
-        bucket = F.floor(F.col(key) / F.lit(width)) if width > 1 else F.col(key)
-        counts = df.where(inside).groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-        upto = F.sum("n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
-        hit = (counts.withColumn("upto", upto).where(F.col("upto") > cut - before).orderBy("b").select("b", "n", "upto").first())
-        if hit is None:
-            return LAST, cut
-        before += hit.upto - hit.n
-        inside = inside & (bucket == F.lit(hit.b))
-    return hit.b, before
-
-
-def assign_by_rank(df: DataFrame, key: Column, ties: list, cuts: tuple[int, int], widths: tuple[int, ...],
+    """Sizes of the two-step random split: the test part takes its share of
+    all rows, then the validation part its share of those left, both rounded
+    up; the rest trains."""
+    shares = (1.0 - train_size - valid_size, valid_size / (train_size + valid_size))
+    if shares[0] <= 0:
+        raise ValueError(f"train and validation shares of {train_size} and {valid_size} leave no test part")
+    left, taken = n, []
+    for share in shares:
+        taken.append(math.ceil(share * left))
+        left -= taken[-1]
+    return left, taken[1], taken[0]
+
+
+@dataclass
+class Cut:
+    """A cut between rows: ``at`` holds its bucket at each level looked at so
+    far, ``before`` the rows ahead of that bucket, ``past`` that it lies behind all rows."""
+    position: int
+    before: int = 0
+    at: tuple = ()
+    past: bool = False
+
+    @property
+    def found(self) -> bool:
+        return self.past or self.before == self.position
+
+    def inside(self, levels: list[Column]) -> Column:
+        """Is the row in the cut's bucket?"""
+        return reduce(Column.__and__, (c.eqNullSafe(F.lit(v)) for c, v in zip(levels, self.at)), F.lit(True))
+
+    def ahead(self, levels: list[Column]) -> Column:
+        """Is the row in a bucket before the cut's?  (No value comes last.)"""
+        if self.past:
+            return F.lit(True)
+        early = F.lit(False)
+        for c, v in reversed(list(zip(levels, self.at))):
+            less = c.isNotNull() if v is None else F.coalesce(c < F.lit(v), F.lit(False))
+            early = less | (c.eqNullSafe(F.lit(v)) & early)
+        return early
+
+
+def _narrower(column: Column, widths: tuple[int, ...]) -> list[Column]:
+    return [F.floor(column / F.lit(w)) if w > 1 else column for w in widths]
+
+
+def find_cuts(df: DataFrame, levels: list[Column], positions: tuple[int, ...]) -> list[Cut]:
+    """The cuts at ``positions``, refined level by level: a pass counts, for
+    every cut that is still inside a bucket, the rows per bucket of the next
+    level.  One row per cut comes back from each pass."""
+    cuts = [Cut(p) for p in positions]
+    for depth, level in enumerate(levels):
+        open_cuts = [i for i, c in enumerate(cuts) if not c.found or not c.at]
+        if not open_cuts:
+            break
+        of = F.explode(F.filter(F.array(*[F.when(cuts[i].inside(levels), F.lit(i)) for i in open_cuts]), lambda i: i.isNotNull()))
+        counts = df.select(of.alias("i"), level.alias("b")).groupBy("i", "b").agg(F.count(F.lit(1)).alias("n"))
+        order = Window.partitionBy("i").orderBy(F.col("b").asc_nulls_last())
+        need = F.element_at(F.array(*[F.lit(c.position - c.before).cast("long") for c in cuts]), F.col("i") + 1)
+        upto = counts.withColumn("upto", F.sum("n").over(order))
+        hits = {r.i: r for r in upto.where((F.col("upto") > need) & (F.col("upto") - F.col("n") <= need)).collect()}
+        for i in open_cuts:
+            if i in hits:
+                cuts[i] = Cut(cuts[i].position, cuts[i].before + hits[i].upto - hits[i].n, (*cuts[i].at, hits[i].b))
+            else:
+                cuts[i].past = True
+    return cuts
+
+
+def _numbered_copies(rows: DataFrame, names: list[str]) -> DataFrame:
+    """``rows`` (the copies of few rows) anew, numbered from 0 in ``_pos``
+    within their ``_cut``: copies are counted, and made again in many tasks."""
+    counts = rows.groupBy("_cut", *names).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("_cut").orderBy(*[F.col(c) for c in names]))
+    runs = counts.withColumn("_start", upto - F.col("_n"))
+    runs = runs.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES)))).repartition("_start", "_run")
+    first, last = F.col("_start") + F.col("_run") * COPIES, F.col("_start") + F.col("_n") - 1
+    return runs.withColumn("_pos", F.explode(F.sequence(first, F.least(first + (COPIES - 1), last)))).select(*names, "_cut", "_pos")
+
+
+def assign_by_rank(df: DataFrame, key: Column, ties: list[Column], cuts: tuple[int, int], widths: tuple[int, ...],
                    labels=("train", "valid", "test"), whole: bool = False) -> DataFrame:
     """Add ``split``: positions ``< cuts[0]`` get labels[0], ``< cuts[1]``
-    labels[1], the rest labels[2], in the total order ``(key, *ties)``.  With
-    ``whole`` the rows of one key stay together: a key that holds a cut goes
-    to the part in which it begins."""
+    labels[1], the rest labels[2], in the total order ``(key, *ties, hash of
+    the row)``, ties without a value last.  With ``whole`` the rows of one key stay together: a key
+    that holds a cut goes to the part in which it begins."""
+    names = df.columns
     d = df.withColumn("_k", key)
-    found = [find_cut(d, "_k", c, widths) for c in cuts]
-    at_cut = F.col("_k").isin(sorted({k for k, _ in found}))
+    levels = _narrower(F.col("_k"), widths)
+    if not whole:
+        levels += [*ties, *_narrower(F.xxhash64(*[F.col(f"`{c}`") for c in names]), HASH_WIDTHS)]
+    found = find_cuts(d, levels, cuts)
+
+    def label(early) -> Column:
+        out = F.lit(labels[2])
+        for cut, name in reversed(list(zip(found, labels))):
+            out = F.when(early(cut), F.lit(name)).otherwise(out)
+        return out
+
     if whole:
-        ranked = d.withColumn("_pos", F.lit(0))
-    else:
-        order = Window.partitionBy("_k").orderBy(*ties)
-        ranked = d.where(at_cut).withColumn("_pos", F.row_number().over(order) - 1).unionByName(
-            d.where(~at_cut).withColumn("_pos", F.lit(0)))
-    split = F.lit(labels[2])
-    for (k, before), cut, label in reversed(list(zip(found, cuts, labels))):
-        early = (F.col("_k") < F.lit(k)) | ((F.col("_k") == F.lit(k)) & (F.col("_pos") + F.lit(before) < F.lit(cut)))
-        split = F.when(early, F.lit(label)).otherwise(split)
-    return ranked.withColumn("split", split).drop("_k", "_pos")
+        # a key that begins before the cut goes before it whole
+        return d.withColumn("split", label(lambda c: c.ahead(levels) | (F.lit(not c.found) & c.inside(levels)))).drop("_k")
+    split = [c for c in found if not c.found]
+    plain = label(lambda c: c.ahead(levels))
+    if not split:
+        return d.withColumn("split", plain).drop("_k")
+    # equal rows on both sides of a cut: the first of them that the cut still needs go before it
+    holder = F.coalesce(*[F.when(c.inside(levels), F.lit(i)) for i, c in enumerate(split)], F.lit(-1))
+    d = d.withColumn("_cut", holder).withColumn("split", plain)
+    rest = d.where("_cut < 0").drop("_k", "_cut")
+    copies = _numbered_copies(d.where("_cut >= 0").select(*names, "_k", "_cut"), [*names, "_k"])
+    chosen = label(lambda c: c.ahead(levels) | (c.inside(levels) & (F.col("_pos") < F.lit(c.position - c.before))) if c in split else c.ahead(levels))
+    return rest.unionByName(copies.withColumn("split", chosen).select(*names, "split"))
 
 
 def _time_key(ts: str) -> Column:
@@ -95,7 +166,7 @@ def split_time(df: DataFrame, n: int, train_size: float = 0.7, valid_size: float
     """Chronological split in the total order ``(ts, symbol)``, NULLs last;
     with ``whole_timestamps`` no time is in two parts."""
     a, v, _ = time_split_sizes(n, train_size, valid_size)
-    ties = [F.col(symbol).asc_nulls_last()] if symbol in df.columns else [F.lit(0)]
+    ties = [F.col(symbol)] if symbol in df.columns else []
     return assign_by_rank(df, _time_key(ts), ties, (a, a + v), TIME_WIDTHS, whole=whole_timestamps)
 
 
@@ -113,9 +184,9 @@ def split_random(df: DataFrame, n: int, train_size: float = 0.7, valid_size: flo
     ``hash_key``: test first, then validation, then train.  ``shuffle=False`` keeps the
     order of time: train, then validation, then test."""
     tr, va, te = random_split_sizes(n, train_size, valid_size)
-    sym = [F.col(symbol).asc_nulls_last()] if symbol in df.columns else []
+    sym = [F.col(symbol)] if symbol in df.columns else []
     if shuffle:
         key = hash_key(ts if ts in df.columns else None, symbol if symbol in df.columns else None, random_state)
-        ties = [F.col(ts).asc_nulls_last(), *sym] if ts in df.columns else sym or [F.lit(0)]
+        ties = [epoch_micros(ts), *sym] if ts in df.columns else sym
         return assign_by_rank(df, key, ties, (te, te + va), HASH_WIDTHS, labels=("test", "valid", "train"))
-    return assign_by_rank(df, _time_key(ts), sym or [F.lit(0)], (tr, tr + va), TIME_WIDTHS)
+    return assign_by_rank(df, _time_key(ts), sym, (tr, tr + va), TIME_WIDTHS)

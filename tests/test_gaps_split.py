@@ -1,5 +1,6 @@
 """Gap reports, split, scaler, union, page ingest."""
 
+from collections import Counter
 from datetime import datetime
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from barforge.config import Layout
 from barforge.operators.gaps import check_gaps, find_time_gaps, grid_missing
 from barforge.operators.scale import apply_scaler_values, fit_scaler
-from barforge.operators.split import split_random, split_time
+from barforge.operators.split import random_split_sizes, split_random, split_time, time_split_sizes
 from barforge.operators.union import concat_intersection
 from barforge.session import scratch_path
 from barforge.sources.klines import read_kline_pages
@@ -167,3 +168,43 @@ def test_kline_pages(spark, tmp_path):
     (bad / "p.json").write_text('{"code": -1121, "msg": "Invalid symbol."}')
     with pytest.raises(Exception):
         read_kline_pages(spark, str(tmp_path / "bad")).collect()
+
+
+def _split_by_sorting(rows, cuts):
+    """Number of rows per (row, part) when rows are sorted as the split sorts them; equal rows have no order."""
+    order = sorted(rows, key=lambda r: (r[1] is None, r[1], r[0] is None, r[0] or ""))
+    parts = ["train"] * cuts[0] + ["valid"] * (cuts[1] - cuts[0]) + ["test"] * (len(rows) - cuts[1])
+    return Counter((r[0], r[1], part) for r, part in zip(order, parts))
+
+
+@pytest.mark.parametrize("case", ["one time", "no times", "copies", "two cuts in one row", "no symbols", "spread"])
+def test_time_split_of_ties(spark, case):
+    """Cuts inside one time, inside the rows without a time and inside copies of one row."""
+    t = lambda i: datetime(2024, 1, 1 + i // 24, i % 24)
+    rows = {
+        "one time": [(f"S{i:03d}", t(5)) for i in range(60)] + [(f"S{i:03d}", t(i % 24)) for i in range(40)],
+        "no times": [(f"S{i % 30:03d}", None) for i in range(90)] + [("S000", t(1))] * 3,
+        "copies": [("A", t(1))] * 30 + [("A", t(2))] * 50 + [("B", t(2))] * 20,
+        "two cuts in one row": [("A", t(2))] * 100 + [("A", t(1))],
+        "no symbols": [(None, t(i % 3)) for i in range(40)] + [("Z", t(i % 3)) for i in range(33)],
+        "spread": [(f"S{i % 7}", t(i)) for i in range(101)],
+    }[case]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz").repartition(5)
+    n = len(rows)
+    got = Counter(tuple(r) for r in split_time(df, n).select("symbol", "ts", "split").collect())
+    a, v, _ = time_split_sizes(n, 0.7, 0.15)
+    assert got == _split_by_sorting(rows, (a, a + v))
+    random = Counter(r.split for r in split_random(df, n).select("split").collect())
+    assert (random["train"], random["valid"], random["test"]) == random_split_sizes(n, 0.7, 0.15)
+
+
+def test_tied_rows_are_not_ranked(spark):
+    """Rows without a time go to parts by their hashes: no window over rows, and the order of input does not matter."""
+    df = spark.range(1000).select(F.lit("A").alias("symbol"), F.lit(None).cast("timestamp").alias("ts"), (F.col("id") * 1.5).alias("x"))
+    out = split_time(df, 1000)
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert Counter(r.split for r in out.collect()) == {"train": 700, "valid": 150, "test": 150}
+    assert sorted(map(tuple, split_time(df.repartition(7, "x"), 1000).collect())) == sorted(map(tuple, out.collect()))
+    empty = df.where("false")
+    assert split_time(empty, 0).count() == split_random(empty, 0).count() == 0
+    assert Counter(r.split for r in split_time(df, 1000, whole_timestamps=True).collect()) == {"train": 1000}
