@@ -336,6 +336,11 @@ CORRECTED_SQL = """SELECT * REPLACE (
   CASE WHEN open_time >= '1996-01-01' AND open_time < '1998-01-01' OR {late} THEN 0 ELSE trades END AS trades) FROM ({src})"""
 
 
+OVERLAP_SQL = """SELECT * REPLACE (
+  CASE WHEN open_time >= '1996-01-01' AND open_time < '1998-01-01' THEN close / 2.0 ELSE close END AS close,
+  CASE WHEN open_time >= '1996-01-01' AND open_time < '1998-01-01' THEN 0 ELSE trades END AS trades) FROM ({src})"""
+
+
 def oracle_queries() -> dict[str, str]:
     fd = feature_doubles()
     feats_all = RAW12 + feature_names(CFG, RAW12) + target_names((1, 5, 15), "binclass")
@@ -393,6 +398,8 @@ def oracle_queries() -> dict[str, str]:
         "scaler_fit": f"SELECT feature, {rnd_sql('mean', 3)} AS mean, {rnd_sql('scale', 3)} AS scale FROM ({scaler_params_sql(SB)})",
         "scaled_dataset": scaled_sql(SB),
         "kline_pages": raw_bars_sql(),
+        "kline_pages_overlap": select_rounded(OVERLAP_SQL.format(src=SB), ["open_time" if c == "ts" else c for c in RAW12]),
+        "raw_mixed_headers": select_rounded(clean_sql(SB), RAW12),
         "raw_roundtrip": select_rounded(clean_sql(SB), RAW12),
         "feature_roundtrip": "SELECT * FROM (" + select_rounded(features_sql(SB), feats_all) + ") UNION ALL SELECT * FROM ("
                              + select_rounded(features_sql(SB), feats_all) + ")",

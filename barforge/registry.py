@@ -362,6 +362,25 @@ def q_kline_pages(spark, d):
     return _out(read_kline_pages(spark, root, whole_files=False))
 
 
+def q_kline_pages_overlap(spark, d):
+    """Candles of two years come again later in the same files: the last page counts."""
+    root = scratch_path(spark, "pages")
+    bars = supplier_bars(spark, d)
+    again = bars.where("open_time >= '1996-01-01' AND open_time < '1998-01-01'")
+    write_kline_pages(bars, root, interval="1d", again=again.withColumns({"close": F.col("close") / 2.0, "trades": F.lit(0).cast("long")}))
+    return _out(read_kline_pages(spark, root, whole_files=False))
+
+
+def q_raw_mixed_headers(spark, d):
+    """CSV files in two orders of columns, one of them with a column more."""
+    root = scratch_path(spark, "raw")
+    bars = supplier_bars(spark, d)
+    bars.where("open_time < '1996-01-01'").write.option("header", True).csv(f"{root}/part=1")
+    other = bars.where("open_time >= '1996-01-01'").withColumn("venue", F.lit("x"))
+    other.select(*reversed(other.columns)).write.option("header", True).csv(f"{root}/part=2")
+    return _out(load_and_prepare(spark, root, mixed_headers=True).select(*RAW12))
+
+
 def q_raw_roundtrip(spark, d):
     root = scratch_path(spark, "raw")
     save_raw(supplier_bars(spark, d), root, "csv", "1d")
@@ -439,6 +458,8 @@ QUERIES = {
     "scaler_fit": q_scaler_fit,
     "scaled_dataset": q_scaled_dataset,
     "kline_pages": q_kline_pages,
+    "kline_pages_overlap": q_kline_pages_overlap,
+    "raw_mixed_headers": q_raw_mixed_headers,
     "raw_roundtrip": q_raw_roundtrip,
     "feature_roundtrip": q_feature_roundtrip,
     "feature_dataset": q_feature_dataset,

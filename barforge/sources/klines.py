@@ -5,7 +5,7 @@ strings); an API error object ``{"code": .., "msg": ..}`` in place of a page
 is an error.  Pages are landed as files under ``<root>/symbol=<SYM>/``; the
 symbol comes from the partition directory.  The reader keeps rows in
 ``[start, end)`` and de-duplicates ``(symbol, open_time)`` keeping the row
-of the latest page (file name order, then position inside the page).
+of the latest page (file name order, then place in the file, then position inside the page).
 """
 
 from __future__ import annotations
@@ -43,10 +43,11 @@ def read_kline_pages(spark: SparkSession, root: str, start=None, end=None,
     """Typed candles from landed pages.  ``whole_files``: one page per file
     (as returned by the endpoint); otherwise one page per line."""
     reader = spark.read.option("wholetext", True) if whole_files else spark.read
-    raw = string_symbols(reader.text(root), reader, lambda r: r.text(root)).withColumn("_file", F.input_file_name())
+    raw = string_symbols(reader.text(root), reader, lambda r: r.text(root)).withColumn("_file", F.col("_metadata.file_path"))
     if "symbol" not in raw.columns:
         raise ValueError("pages must be landed under symbol=<SYM>/ directories")
-    raw = raw.withColumn("_line", F.monotonically_increasing_id()) if not whole_files else raw.withColumn("_line", F.lit(0))
+    # a file's splits come in the order of their starts, and the lines of a split are numbered upwards by the task that reads it
+    raw = raw.withColumn("_line", F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("nth")))
     err = F.get_json_object(F.col("value"), "$.code")
     checked = raw.withColumn(
         "value", F.when(err.isNotNull(), F.raise_error(F.concat(F.lit("exchange error page: "), F.col("value"))))
@@ -65,10 +66,14 @@ def read_kline_pages(spark: SparkSession, root: str, start=None, end=None,
     return out.select(*RAW_COLUMNS)
 
 
-def write_kline_pages(bars: DataFrame, root: str, interval: str = "1m") -> None:
+def write_kline_pages(bars: DataFrame, root: str, interval: str = "1m", again: DataFrame | None = None) -> None:
     """Land candles as exchange-style pages (one page of at most
     ``MAX_LIMIT`` steps per line, partitioned by symbol).  Used to build
-    ingest fixtures from the test tables."""
+    ingest fixtures from the test tables.  ``again``: candles whose pages
+    follow a symbol's other pages in the same file."""
+    rows = bars.withColumn("_pass", F.lit(0))
+    if again is not None:
+        rows = rows.unionByName(again.withColumn("_pass", F.lit(1)))
     step_ms = ingest_step_ms(interval) if interval in ("1m", "3m", "5m", "15m", "30m", "1h") else None
     ms = F.unix_millis(F.col("open_time").cast("timestamp"))
     page = F.floor(ms / F.lit((step_ms or 86_400_000) * MAX_LIMIT))
@@ -78,9 +83,9 @@ def write_kline_pages(bars: DataFrame, root: str, interval: str = "1m") -> None:
         F.unix_millis(F.col("close_time").cast("timestamp")).cast("string"),
         F.col("quote_volume").cast("string"), F.col("trades").cast("string"),
         F.col("taker_buy_base").cast("string"), F.col("taker_buy_quote").cast("string"), F.lit("0"))
-    pages = (bars.select("symbol", page.alias("_page"), ms.alias("_ms"), arr.alias("_r"))
-             .groupBy("symbol", "_page")
+    pages = (rows.select("symbol", "_pass", page.alias("_page"), ms.alias("_ms"), arr.alias("_r"))
+             .groupBy("symbol", "_pass", "_page")
              .agg(F.sort_array(F.collect_list(F.struct("_ms", "_r"))).alias("_rows"))
-             .select("symbol", "_page", F.to_json(F.transform("_rows", lambda s: s["_r"])).alias("value")))
-    (pages.repartition("symbol").sortWithinPartitions("symbol", "_page")
+             .select("symbol", "_pass", "_page", F.to_json(F.transform("_rows", lambda s: s["_r"])).alias("value")))
+    (pages.repartition("symbol").sortWithinPartitions("symbol", "_pass", "_page")
      .select("symbol", "value").write.mode("overwrite").partitionBy("symbol").text(root))

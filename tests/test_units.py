@@ -5,9 +5,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from barforge.config import WindowsConfig
 from barforge.functions.intervals import infer_step, parse_time, resolve_window
 from barforge.operators.clean import prepare_bars
 from barforge.operators.split import random_split_sizes, time_split_sizes
+from barforge.sources.files import gather_input_files, load_and_prepare
+from barforge.sources.klines import read_kline_pages
 
 
 def test_interval_table():
@@ -107,3 +110,51 @@ def test_trades_with_holes(spark):
             ("A", "2024-01-01 00:05:00", "1", "1", "1", "1", "1", "2024-01-01 00:09:59", None)]
     df = spark.createDataFrame(data, ["symbol", "open_time", "open", "high", "low", "close", "volume", "close_time", "trades"])
     assert sorted(r["trades"] or 0 for r in prepare_bars(df).collect()) == [0, 5]
+
+
+def test_last_page_of_a_split_file_wins(spark, tmp_path):
+    """Pages in one file that several tasks read: the place in the file decides, not the task."""
+    t0, minute = 1704067200000, 60_000
+    folder = tmp_path / "pages" / "symbol=A"
+    folder.mkdir(parents=True)
+    line = lambda close, first: "[" + ",".join(
+        f'["{t0 + i * minute}","1","9","0.5","{close}","1","{t0 + (i + 1) * minute - 1}","1","1","1","1","0"]' for i in range(first, first + 3)) + "]"
+    pages = [(close, first) for close in range(1, 9) for first in (0, 2, 4)]
+    (folder / "p.json").write_text("\n".join(line(*p) for p in pages))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+        got = read_kline_pages(spark, str(tmp_path / "pages"), whole_files=False).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(got) == 7 and {r.close for r in got} == {8.0}
+
+
+def test_csv_files_with_other_headers(spark, tmp_path):
+    head = "symbol,open_time,open,high,low,close,volume,close_time"
+    (tmp_path / "a b.csv").write_text(head + "\nA,2024-01-01 00:00:00,1,2,0.5,1.5,7,2024-01-01 00:00:59\n")
+    swapped = ",".join(reversed(head.split(",")))
+    (tmp_path / "c.csv").write_text(swapped + ",trades\n2024-01-01 00:01:59,8,2.5,1.0,3,2,2024-01-01 00:01:00,A,4\n")
+    (tmp_path / "d.csv").write_text(swapped + ",trades\n")
+    (tmp_path / "e.csv").write_text("")
+    got = load_and_prepare(spark, str(tmp_path), fmt="csv", mixed_headers=True).orderBy("ts").collect()
+    assert [(r.close, r.volume, r.trades) for r in got] == [(1.5, 7.0, None), (2.5, 8.0, 4)]
+    with pytest.raises(Exception):
+        load_and_prepare(spark, str(tmp_path), fmt="csv").collect()
+
+
+def test_feature_files_are_found(spark, tmp_path):
+    for name in ("b.csv", "a.parquet", "notes.txt"):
+        (tmp_path / name).write_text("x")
+    assert [p.rsplit("/", 1)[1] for p in gather_input_files(spark, str(tmp_path))] == ["a.parquet", "b.csv"]
+    assert gather_input_files(spark, ("x", "y")) == ["x", "y"]
+    assert gather_input_files(spark, str(tmp_path / "b.csv")) == [str(tmp_path / "b.csv")]
+    (tmp_path / "empty").mkdir()
+    for bad in ("absent", "empty"):
+        with pytest.raises(FileNotFoundError):
+            gather_input_files(spark, str(tmp_path / bad))
+
+
+def test_warmup_rows():
+    assert WindowsConfig().warmup_rows() == 72
+    assert WindowsConfig(ma=(), vol=(), vol_feat=(), macd_signal=500).warmup_rows() == 26
