@@ -3,7 +3,7 @@ dataset assembly as Spark DataFrame jobs.
 
 Every operator is a DataFrame -> DataFrame function (usable with
 ``DataFrame.transform``) or a column expression; nothing is computed on the
-driver except small, size-bounded decisions (hot-symbol list, split cut
+driver except small, size-bounded decisions (split cut
 points).
 """
 

@@ -20,9 +20,11 @@ Every row is an affine map ``y -> A*y + B``; maps compose associatively.
    map).  Prefix counts and last positions give each block's first-row map,
    then the composite block map ``(A_E, B_E)``.
 3. Carry-in of block E: the maps of the e-blocks before it, composed in
-   order, nothing cut off.  A layout block's e-blocks are one sorted array
-   (bounded by ``block_rows / Be``) that is scanned from its carry-in; the
-   layout blocks' composite maps (one row each) are scanned first.  A value
+   order, nothing cut off, as a tree.  A layout block's e-blocks are one sorted
+   array (bounded by ``block_rows / Be``) that is scanned from its carry-in; the
+   layout blocks' composite maps (one row each) are scanned first.  A scan cuts
+   its array into pieces and scans the pieces' composites before the pieces, so
+   its work stays near the array's length.  A value
    that decays below the smallest double stays that, with its sign, as a
    step-by-step recurrence does: it never turns into zero.
 4. The carries are collected per (symbol, layout block) into one sorted
@@ -81,31 +83,49 @@ def _decayed(y, carry, factor, added):
     return F.when((y == 0) & (carry != 0) & (factor > 0) & (added == 0), F.signum(carry) * F.lit(TINY)).otherwise(y)
 
 
-def _scan(maps: str, start):
-    """The value before each map of an ordered array (A_E, B_E), from ``start``."""
+#: Maps that are composed one after the other; longer arrays are cut into pieces of so many.
+PIECE = 512
+
+
+def _walk(maps, start):
+    """The value before each map of an ordered array (A_E, B_E, A_f), from ``start``.
+    Each step copies the values so far, so ``maps`` is a piece."""
     def step(acc, e):
-        y = _decayed(e["A_E"] * acc["y"] + e["B_E"], acc["y"], e["A_f"] if maps == "_ebs" else F.lit(1.0), e["B_E"])
+        y = _decayed(e["A_E"] * acc["y"] + e["B_E"], acc["y"], e["A_f"], e["B_E"])
         return F.struct(y.alias("y"), F.concat(acc["ys"], F.array(acc["y"])).alias("ys"))
     first = F.struct(start.alias("y"), F.array().cast("array<double>").alias("ys"))
     return F.aggregate(maps, first, step)["ys"]
 
 
+def _composite(maps):
+    """The one map that an ordered array of maps amounts to; its A_f is 0 if some map forgets what was before."""
+    def step(m, e):
+        added = _decayed(e["A_E"] * m["B_E"] + e["B_E"], m["B_E"], e["A_f"], e["B_E"])
+        return F.struct((e["A_E"] * m["A_E"]).alias("A_E"), added.alias("B_E"), F.least(m["A_f"], e["A_f"]).alias("A_f"))
+    return F.aggregate(maps, F.struct(F.lit(1.0).alias("A_E"), F.lit(0.0).alias("B_E"), F.lit(1.0).alias("A_f")), step)
+
+
+def _scan(maps: str, start):
+    """``_walk`` over an array of any length, in two levels: pieces are composed, the
+    composites walked, then each piece from the value before it."""
+    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size(maps) - 1) / PIECE).cast("int")), lambda i: F.slice(maps, i * PIECE + 1, PIECE))
+    return F.flatten(F.zip_with(pieces, _walk(F.transform(pieces, _composite), start), _walk))
+
+
 def _ln1m(alpha: float) -> float:
     return math.log1p(-alpha) if alpha < 1.0 else float("-inf")
 
 
-def _prefix(tbl: DataFrame, keys: list[str], blocked: bool, cols: dict[str, tuple[str, str]]) -> DataFrame:
+def _prefix(tbl: DataFrame, keys: list[str], cols: dict[str, tuple[str, str]]) -> DataFrame:
     """Exclusive prefix aggregates over e-blocks in ``(_blk, _eb)`` order
     within ``keys``.  ``cols``: out -> (input column, 'sum'|'max').
 
-    Two levels for split series: inside each layout block (bounded number of
-    e-blocks), then over the per-block totals (one row per layout block).
+    Two levels: inside each layout block (bounded number of e-blocks), then
+    over the per-block totals (one row per layout block).
     """
     agg = {"sum": F.sum, "max": F.max}
     w_in = Window.partitionBy(*keys, BLK).orderBy("_eb").rowsBetween(Window.unboundedPreceding, -1)
     out = tbl.select("*", *[agg[how](c).over(w_in).alias(n) for n, (c, how) in cols.items()])
-    if not blocked:
-        return out
     tot = tbl.groupBy(*keys, BLK).agg(*[agg[how](c).alias(f"_t_{n}") for n, (c, how) in cols.items()])
     w_b = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*keys, BLK, *[agg[how](f"_t_{n}").over(w_b).alias(f"_p_{n}") for n, (c, how) in cols.items()])
@@ -123,7 +143,7 @@ def _prefix(tbl: DataFrame, keys: list[str], blocked: bool, cols: dict[str, tupl
 
 
 def add_ewms(df: DataFrame, specs: Sequence[EwmSpec], symbol: str = "symbol", ts: str = "ts",
-             blocked: bool = False, block_rows: int = 1 << 20, cap: int = 512) -> DataFrame:
+             block_rows: int = 1 << 20, cap: int = 512) -> DataFrame:
     """Add one column per spec to ``df`` (laid out by ``SeriesPlan``: rows
     carry ``_blk``, ``_rn`` and ``_core``).  Halo rows pass through with
     NULL results; only core rows enter the scan."""
@@ -133,12 +153,11 @@ def add_ewms(df: DataFrame, specs: Sequence[EwmSpec], symbol: str = "symbol", ts
             s = EwmSpec(s.name, s.x, s.alpha, s.min_periods, False)
         groups.setdefault(eblock_size(s.alpha, cap), []).append(s)
     for be, group in sorted(groups.items(), reverse=True):
-        df = _add_group(df, group, be, symbol, ts, blocked, block_rows)
+        df = _add_group(df, group, be, symbol, ts, block_rows)
     return df
 
 
-def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: str,
-               blocked: bool, block_rows: int) -> DataFrame:
+def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: str, block_rows: int) -> DataFrame:
     keys = [symbol]
     d = df.withColumn("_eb", F.floor((F.col(RN) - 1) / be).cast("long"))
     wb = Window.partitionBy(symbol, BLK, "_eb").orderBy(ts)
@@ -242,7 +261,7 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
     for p_ in parts[1:]:
         longf = longf.unionByName(p_)
     pk = ["spec", *keys]
-    longf = _prefix(longf, pk, blocked, {"cnt_before": ("n_obs", "sum"), "prev_obs": ("last_obs", "max")})
+    longf = _prefix(longf, pk, {"cnt_before": ("n_obs", "sum"), "prev_obs": ("last_obs", "max")})
 
     alpha = F.element_at(F.array(*[F.lit(float(s.alpha)) for s in specs]), F.col("spec") + 1)
     la = F.element_at(F.array(*[F.lit(_ln1m(s.alpha)) for s in specs]), F.col("spec") + 1)
@@ -263,15 +282,10 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
     # --- 3. carry-in: the maps composed in order ------------------------------
     blocks = longf.groupBy(*pk, BLK).agg(F.sort_array(F.collect_list(
         F.struct("_eb", "A_E", "B_E", "A_f", "b_f", "cb", "f_rn", "x_f"))).alias("_ebs"))
-    if blocked:
-        one = F.struct(F.lit(1.0).alias("A"), F.lit(0.0).alias("B"))
-        whole = F.aggregate("_ebs", one, lambda m, e: F.struct((e["A_E"] * m["A"]).alias("A"), (e["A_E"] * m["B"] + e["B_E"]).alias("B")))
-        maps = blocks.select(*pk, F.struct(BLK, whole["A"].alias("A_E"), whole["B"].alias("B_E")).alias("_m"))
-        starts = maps.groupBy(*pk).agg(F.sort_array(F.collect_list("_m")).alias("_ms"))
-        starts = starts.select(*pk, F.explode(F.arrays_zip(F.col(f"_ms.{BLK}").alias(BLK), _scan("_ms", F.lit(0.0)).alias("_c0"))).alias("_s"))
-        blocks = blocks.join(starts.select(*pk, f"_s.{BLK}", "_s._c0"), [*pk, BLK])
-    else:
-        blocks = blocks.withColumn("_c0", F.lit(0.0))
+    maps = blocks.select(*pk, BLK, _composite(F.col("_ebs")).alias("_m"))
+    starts = maps.groupBy(*pk).agg(F.sort_array(F.collect_list(F.struct(BLK, "_m.*"))).alias("_ms"))
+    starts = starts.select(*pk, F.explode(F.arrays_zip(F.col(f"_ms.{BLK}").alias(BLK), _scan("_ms", F.lit(0.0)).alias("_c0"))).alias("_s"))
+    blocks = blocks.join(starts.select(*pk, f"_s.{BLK}", "_s._c0"), [*pk, BLK])
 
     # --- 4. one sorted array of carries per (symbol, layout block) ----------
     per_blk = block_rows // be

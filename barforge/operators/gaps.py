@@ -59,9 +59,9 @@ def _pairs(points: DataFrame, at: str, *carried: str, after: DataFrame | None =
 
 
 def check_gaps(df: DataFrame, interval: str, symbol: str = "symbol", ts: str = "open_time",
-               layout: Layout | None = None, hot_symbols=None) -> DataFrame:
+               layout: Layout | None = None) -> DataFrame:
     """``(symbol, gap_before, missing_candles)``; empty frame keeps the
-    schema.  ``hot_symbols`` has no effect: all series are cut alike."""
+    schema.  All series are cut alike."""
     step = ingest_step_ms(interval) * 1000
     apart = F.col("us") - F.col("before")
     missing = F.greatest(_whole(apart, step) - 1, F.lit(0)).cast("long")
@@ -90,10 +90,10 @@ def _time(k: Column, step_us: int, like: str) -> Column:
 
 
 def find_time_gaps(df: DataFrame, interval: str = "5m", max_allow_miss: int = 0, symbol: str = "symbol",
-                   ts: str = "ts", layout: Layout | None = None, hot_symbols=None) -> DataFrame:
+                   ts: str = "ts", layout: Layout | None = None) -> DataFrame:
     """``(symbol, gap_start, gap_end, missing_count)`` for runs of missing
-    grid points longer than ``max_allow_miss``.  ``hot_symbols`` has no
-    effect: all series are cut alike."""
+    grid points longer than ``max_allow_miss``.  All series
+    are cut alike."""
     if ts not in df.columns:
         raise ValueError(f"gap search needs the time column {ts!r}; clean the candles first")
     step, like = step_micros(interval), dict(df.dtypes)[ts]

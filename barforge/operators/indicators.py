@@ -115,7 +115,7 @@ def _window_columns(d: DataFrame, cfg: WindowsConfig, w, horizons, task, thresh,
 def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval: str = "5m",
                      horizons: Iterable[int] | None = DEFAULT_HORIZONS, task: str = DEFAULT_TASK,
                      thresh: float = DEFAULT_THRESH, trim_warmup: bool = True,
-                     layout: Layout | None = None, hot_symbols="auto",
+                     layout: Layout | None = None,
                      dedup_order=None, keep: Column | None = None,
                      columns: Iterable[str] | None = None, close_known: bool = False) -> DataFrame:
     """Features (and, unless ``horizons`` is None, targets) of a cleaned bar
@@ -158,11 +158,11 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
     back = cfg.lookback_rows()
     ahead = max(horizons) if horizons else 0
     plan = SeriesPlan(bars, back=back, ahead=ahead, step_us=step_micros(interval), layout=layout,
-                      hot_symbols=hot_symbols, dedup_order=dedup_order, keep=keep)
+                      dedup_order=dedup_order, keep=keep)
     spans = sorted(ema_spans)
     warm = cfg.warmup_rows()
 
-    def per_branch(d: DataFrame, blocked: bool) -> DataFrame:
+    def add(d: DataFrame) -> DataFrame:
         w = plan.window
         close, high, low = F.col("close"), F.col("high"), F.col("low")
         prev = F.lag(close, 1).over(w)
@@ -187,7 +187,7 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
             # changes and MACD are NULL-free after their first value (dense);
             # the true range may have holes (NULL high and low)
             d = persist(d)
-            d = add_ewms(d, specs, blocked=blocked, block_rows=layout.block_rows, cap=layout.ewm_block)
+            d = add_ewms(d, specs, block_rows=layout.block_rows, cap=layout.ewm_block)
         keep_cols = [c for c in d.columns if c not in ("_gain", "_loss", "_tr", "_prev")
                      and not (c.startswith("_ema") and int(c[4:]) not in (*cfg.ma, cfg.macd_fast, cfg.macd_slow))]
         if need_macd:
@@ -196,7 +196,7 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
             d = d.select(*keep_cols)
         if need_signal:
             d = persist(d)
-            d = add_ewms(d, [EwmSpec.span(sig, macd, cfg.macd_signal, dense=dn)], blocked=blocked,
+            d = add_ewms(d, [EwmSpec.span(sig, macd, cfg.macd_signal, dense=dn)],
                          block_rows=layout.block_rows, cap=layout.ewm_block)
         # bounded frames, lags and leads last: one window pass over the same
         # partitions (sorted again, not re-shuffled)
@@ -222,7 +222,7 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
             cond = cond & F.col("_tail_ok")
         return d.filter(cond).select(*base, *feats, *tgts, CORE)
 
-    return plan.map(per_branch)
+    return plan.map(add)
 
 
 def _only(bars: DataFrame, columns: list[str], options: dict, **windows) -> DataFrame:
@@ -267,16 +267,15 @@ def add_volume_features(bars: DataFrame, windows: Iterable[int] = WindowsConfig.
 
 
 def make_targets(df: DataFrame, horizons: Iterable[int] = DEFAULT_HORIZONS, task: str = DEFAULT_TASK,
-                 thresh: float = DEFAULT_THRESH, layout: Layout | None = None,
-                 hot_symbols="auto") -> DataFrame:
+                 thresh: float = DEFAULT_THRESH, layout: Layout | None = None) -> DataFrame:
     """Forward-return targets per horizon, then drop the last
     ``max(horizons)`` rows of every symbol (one ``lead`` window pass)."""
     horizons = tuple(horizons)
     max_h = max(horizons) if horizons else 0
-    plan = SeriesPlan(df, ahead=max_h, layout=layout or Layout(), hot_symbols=hot_symbols)
+    plan = SeriesPlan(df, ahead=max_h, layout=layout or Layout())
     names = target_names(horizons, task)
 
-    def fn(d: DataFrame, blocked: bool) -> DataFrame:
+    def fn(d: DataFrame) -> DataFrame:
         close = F.col("close")
         cols = [label(F.ln(F.lead(close, h).over(plan.window)) - F.ln(close), task, thresh).alias(n)
                 for h, n in zip(horizons, names)]
@@ -287,10 +286,9 @@ def make_targets(df: DataFrame, horizons: Iterable[int] = DEFAULT_HORIZONS, task
     return plan.map(fn)
 
 
-def future_return(df: DataFrame, horizon: int, name: str | None = None, layout: Layout | None = None,
-                  hot_symbols="auto") -> DataFrame:
+def future_return(df: DataFrame, horizon: int, name: str | None = None, layout: Layout | None = None) -> DataFrame:
     """``ln(close[t+h]) - ln(close[t])`` per symbol (no trimming)."""
-    plan = SeriesPlan(df, ahead=horizon, layout=layout or Layout(), hot_symbols=hot_symbols)
+    plan = SeriesPlan(df, ahead=horizon, layout=layout or Layout())
     nm = name or f"future_ret_{horizon}"
-    return plan.map(lambda d, b: d.select(
+    return plan.map(lambda d: d.select(
         "*", (F.ln(F.lead("close", horizon).over(plan.window)) - F.ln("close")).alias(nm)))

@@ -2,23 +2,21 @@
 
 Every time-series operator here is a window over ``(symbol ORDER BY ts)``.
 Spark evaluates such a window one partition key at a time, so a symbol that
-holds a large share of all bars would become a single task.  This module
-lays a series out so that no symbol is ever processed whole by one task:
-
-* **cold** symbols (at most ``Layout.hot_rows`` bars) keep one block,
-  ``_blk = 0``; the operator's window ``PARTITION BY symbol, _blk ORDER BY
-  ts`` then costs one hash exchange, shared by every window expression,
-  de-duplication and the global row number ``_rn``.
-* **hot** symbols are numbered first (``_rn``, exact, from per-time-bucket
-  row counts and a prefix over the small bucket table), then cut into blocks
-  of ``Layout.block_rows`` rows.  Each block also receives the last ``back``
-  rows of the previous block and the first ``ahead`` rows of the next one as
-  *halo* rows (``_core = false``), so bounded frames, ``lag`` and ``lead``
-  are exact inside every block.  Halo rows are dropped after the windows.
-
-The hot list is decided on the driver from a column-pruned, partially
-aggregated count per symbol; its size is bounded by ``rows / hot_rows``.
-The choice only changes the physical layout, never the result.
+holds a large share of all bars would become a single task.  One layout serves
+all series, whatever their length:
+
+1. Rows are dealt by ``(symbol, _tb)``, a bucket of ``Layout.bucket_steps`` steps
+   of time.  De-duplication and the place in the bucket are windows there.
+2. A table with one row per bucket (its count) gives by a prefix sum what lies
+   before each bucket, so every row has its exact number ``_rn`` in its series.
+3. Rows are dealt by ``(symbol, _blk)``, blocks of ``Layout.block_rows`` numbers;
+   all windows of an operator share this exchange.  Each block also receives the
+   last ``back`` rows of the block before it and the first ``ahead`` rows of the
+   next one as *halo* rows (``_core = false``), so bounded frames, ``lag`` and
+   ``lead`` are exact inside every block.  Halo rows are dropped after the windows.
+
+No task holds more than a bucket or a block with its halo, the driver holds
+nothing of the data, and results do not depend on the sizes chosen.
 """
 
 from __future__ import annotations
@@ -50,13 +48,8 @@ def with_series_key(df: DataFrame, symbol: str) -> tuple[DataFrame, Callable[[Da
     return keyed, lambda out: out.withColumn(symbol, F.nullif(F.col(symbol), F.lit(NO_SYMBOL))) if symbol in out.columns else out
 
 
-def detect_hot_symbols(df: DataFrame, symbol: str = "symbol",
-                       hot_rows: int = Layout().hot_rows) -> list:
-    """Symbols with more than ``hot_rows`` rows.  At most
-    ``count(df) / hot_rows`` entries, so safe to hold on the driver."""
-    rows = (df.groupBy(symbol).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > hot_rows).select(symbol).collect())
-    return [r[0] for r in rows]
+#: Bucket of the rows without a time; like NULL, it comes before all others.
+NO_TIME = -(2**63)
 
 
 @dataclass
@@ -64,11 +57,11 @@ class SeriesPlan:
     """Lays out ``df`` (one row per bar, keyed ``symbol, ts``) for windows.
 
     ``back`` / ``ahead``: rows before / after the current row that any window
-    of the operator reads (halo sizes for split symbols).
+    of the operator reads (halo sizes).
     ``dedup_order``: when given, keep one row per ``(symbol, ts)``: the first
     in this order (ties beyond it broken by the listed columns only).
     ``keep``: row filter applied after de-duplication, before numbering.
-    ``step_us``: bar step, used to size the time buckets of hot symbols.
+    ``step_us``: bar step, used to size the time buckets.
     """
 
     df: DataFrame
@@ -80,88 +73,65 @@ class SeriesPlan:
     keep: Column | None = None
     step_us: int = 60_000_000
     layout: Layout = field(default_factory=Layout)
-    hot_symbols: Sequence | str = "auto"
 
     def __post_init__(self):
         self.df, self._restore = with_series_key(self.df, self.symbol)
         if self.back >= self.layout.block_rows or self.ahead >= self.layout.block_rows:
             raise ValueError("halo larger than a block")
-        if isinstance(self.hot_symbols, str):
-            if self.hot_symbols != "auto":
-                raise ValueError("hot_symbols must be 'auto' or a list")
-            self.hot_symbols = detect_hot_symbols(self.df, self.symbol, self.layout.hot_rows)
-        self.hot_symbols = list(self.hot_symbols)
 
     # ------------------------------------------------------------------
     @property
     def window(self) -> WindowSpec:
         return Window.partitionBy(self.symbol, BLK).orderBy(self.ts)
 
-    def _dedup(self, df: DataFrame, part: list[str]) -> DataFrame:
-        if self.dedup_order is None:
-            return df
-        w = Window.partitionBy(*part, self.ts).orderBy(*self.dedup_order)
-        return df.withColumn("_dup", F.row_number().over(w)).filter("_dup = 1").drop("_dup")
-
-    def cold(self) -> DataFrame:
-        df = self.df
-        if self.hot_symbols:
-            df = df.filter(~F.col(self.symbol).isin(self.hot_symbols))
-        df = df.withColumn(BLK, F.lit(0).cast("long"))
-        df = self._dedup(df, [self.symbol, BLK])
-        if self.keep is not None:
-            df = df.filter(self.keep)
-        return (df.withColumn(RN, F.row_number().over(self.window).cast("long"))
-                .withColumn(CORE, F.lit(True)))
-
-    def hot(self) -> DataFrame | None:
-        if not self.hot_symbols:
-            return None
-        lay = self.layout
-        df = self.df.filter(F.col(self.symbol).isin(self.hot_symbols))
-        bucket_us = max(1, self.step_us) * lay.bucket_steps
-        df = df.withColumn("_tb", F.floor(epoch_micros(self.ts) / F.lit(bucket_us)))
-        df = self._dedup(df, [self.symbol, "_tb"])
-        if self.keep is not None:
-            df = df.filter(self.keep)
-        # row counts per (symbol, time bucket): one row per bucket, partial agg
-        counts = df.groupBy(self.symbol, "_tb").agg(F.count(F.lit(1)).alias("_cnt"))
-        offsets = counts.withColumn(
-            "_off",
-            F.coalesce(F.sum("_cnt").over(
-                Window.partitionBy(self.symbol).orderBy("_tb")
-                .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        ).drop("_cnt")
-        w_local = Window.partitionBy(self.symbol, "_tb").orderBy(self.ts)
-        df = (df.join(offsets, [self.symbol, "_tb"])
-              .withColumn(RN, (F.col("_off") + F.row_number().over(w_local)).cast("long"))
-              .drop("_off", "_tb"))
-        B = lay.block_rows
-        pos = (F.col(RN) - 1) % B
-        blk = F.floor((F.col(RN) - 1) / B).cast("long")
-        targets = F.array(
-            F.struct(blk.alias("b"), F.lit(True).alias("c")),
-            F.when(pos >= B - self.back, F.struct((blk + 1).alias("b"), F.lit(False).alias("c"))),
-            F.when((pos < self.ahead) & (blk > 0), F.struct((blk - 1).alias("b"), F.lit(False).alias("c"))),
-        )
-        return (df.withColumn("_t", F.explode(F.filter(targets, lambda s: s.isNotNull())))
-                .withColumn(BLK, F.col("_t.b")).withColumn(CORE, F.col("_t.c")).drop("_t"))
+    def _bucketed(self) -> DataFrame:
+        """De-duplicated, kept rows with their bucket, dealt by ``(symbol, _tb)``."""
+        width = max(1, self.step_us) * self.layout.bucket_steps
+        df = self.df.withColumn("_tb", F.coalesce(F.floor(epoch_micros(self.ts) / F.lit(width)), F.lit(NO_TIME)))
+        if self.dedup_order is not None:
+            # copies are neighbours in this order: the same exchange and sort as the numbering's
+            w = Window.partitionBy(self.symbol, "_tb").orderBy(self.ts, *self.dedup_order)
+            df = df.select("*", F.row_number().over(w).alias("_at"), F.lag(self.ts).over(w).alias("_ts0"))
+            df = df.filter((F.col("_at") == 1) | ~F.col("_ts0").eqNullSafe(F.col(self.ts))).drop("_at", "_ts0")
+        return df if self.keep is None else df.filter(self.keep)
+
+    def numbered(self) -> DataFrame:
+        """Rows with ``_rn``, their exact number in the series (from 1)."""
+        rows = self._bucketed()
+        counts = rows.groupBy(F.col(self.symbol).alias("_osym"), F.col("_tb").alias("_otb")).agg(F.count(F.lit(1)).alias("_cnt"))
+        before = Window.partitionBy("_osym").orderBy("_otb").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select("_osym", "_otb", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+        place = F.row_number().over(Window.partitionBy(self.symbol, "_tb").orderBy(self.ts)).alias("_at")
+        same = F.col(self.symbol) == F.col("_osym")
+        if dict(rows.dtypes)[self.symbol] != "string":  # a NULL symbol has no marker then
+            same = F.col(self.symbol).eqNullSafe(F.col("_osym"))
+        out = rows.select("*", place).join(offsets, same & (F.col("_tb") == F.col("_otb")))
+        return out.withColumn(RN, (F.col("_off") + F.col("_at")).cast("long")).drop("_osym", "_otb", "_off", "_at", "_tb")
+
+    def blocks(self) -> DataFrame:
+        """Numbered rows with their block, and the halo rows of every block."""
+        df, size = self.numbered(), self.layout.block_rows
+        blk = F.floor((F.col(RN) - 1) / size).cast("long")
+        if not (self.back or self.ahead):
+            return df.withColumns({BLK: blk, CORE: F.lit(True)})
+        place = (F.col(RN) - 1) % size
+        own = F.struct(blk.alias("b"), F.lit(True).alias("c"))
+        after = F.struct((blk + 1).alias("b"), F.lit(False).alias("c"))
+        ahead = F.struct((blk - 1).alias("b"), F.lit(False).alias("c"))
+        last, first = place >= size - self.back, (place < self.ahead) & (blk > 0)
+        to = (F.when(last & first, F.array(own, after, ahead)).when(last, F.array(own, after))
+              .when(first, F.array(own, ahead)).otherwise(F.array(own)))
+        return df.withColumn("_t", F.explode(to)).withColumns({BLK: F.col("_t.b"), CORE: F.col("_t.c")}).drop("_t")
 
     # ------------------------------------------------------------------
-    def map(self, fn: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
-        """Apply ``fn(frame, blocked)`` to each layout branch and union.
+    def map(self, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Apply ``fn`` to the laid-out frame.
 
         ``fn`` sees halo rows (``_core = false``) and may use ``self.window``;
         it must keep ``_core`` or drop halo rows itself.  The internal columns
         are removed from the result.
         """
-        parts = [fn(self.cold(), False)]
-        h = self.hot()
-        if h is not None:
-            parts.append(fn(h, True))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
+        out = fn(self.blocks())
         if CORE in out.columns:
             out = out.filter(F.col(CORE))
         out = self._restore(out)

@@ -23,8 +23,7 @@ from barforge.plans.workflow import run_chain
 from barforge.rounding import round_frame
 from barforge.session import ensure_utc, release_cached, scratch_path
 from barforge.sources.files import compact_raw, gather_input_files, load_and_prepare, load_time_index, manifest, save_features, save_raw
-from barforge.config import Layout
-from barforge.sources.fixtures import daily_bars, hot_symbols_upper_bound, hourly_bars, rising_bars, supplier_bars, table
+from barforge.sources.fixtures import daily_bars, hourly_bars, rising_bars, supplier_bars, table
 from barforge.sources.klines import read_kline_pages, write_kline_pages
 from barforge.sources.scan import bounded_scan
 
@@ -52,10 +51,9 @@ def hb_clean(spark, d):
 
 def sb_features(spark, d, horizons=(1, 5, 15), task="binclass", thresh=0.0, trim=True, columns=None):
     rows = sb_clean(spark, d)
-    hot = hot_symbols_upper_bound(spark, d, "supplier", Layout().hot_rows)
     return add_all_features(rows, CFG, interval="1d", horizons=horizons, task=task, thresh=thresh,
                             trim_warmup=trim, dedup_order=dedup_order(rows.columns), keep=keep_valid(), close_known=True,
-                            hot_symbols=hot, columns=columns)
+                            columns=columns)
 
 
 def dirty_raw(spark: SparkSession, d: str) -> DataFrame:

@@ -42,21 +42,6 @@ def hourly_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hot_symbols_upper_bound(spark: SparkSession, sf_dir: str, kind: str, hot_rows: int) -> list:
-    """Symbols that may exceed ``hot_rows`` bars, from the source rows (a
-    bar needs at least one source row, so source counts bound bar counts).
-    One pruned column and a partial aggregate; avoids building the bars
-    twice.  The list is bounded by ``rows / hot_rows``."""
-    if kind == "supplier":
-        src = table(spark, sf_dir, "lineitem").select(
-            F.concat(F.lit("S"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0")).alias("symbol"))
-    else:
-        src = table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol"))
-    rows = (src.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > hot_rows).select("symbol").collect())
-    return [r[0] for r in rows]
-
-
 def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     price = F.col("l_extendedprice") / F.col("l_quantity")

@@ -15,7 +15,7 @@ from barforge.operators.union import concat_intersection
 from barforge.session import scratch_path
 from barforge.sources.klines import read_kline_pages
 
-TINY = Layout(hot_rows=2, block_rows=4, bucket_steps=2, ewm_block=2)
+TINY = Layout(block_rows=4, bucket_steps=2, ewm_block=2)
 
 
 def _times(spark, hhmm, symbol="A"):
@@ -23,22 +23,22 @@ def _times(spark, hhmm, symbol="A"):
         [(symbol, datetime(2024, 1, 1, int(t[:2]), int(t[3:]))) for t in hhmm], ["symbol", "ts"])
 
 
-@pytest.mark.parametrize("layout,hot", [(Layout(), []), (TINY, "auto")])
-def test_gap_ranges(spark, layout, hot):
+@pytest.mark.parametrize("layout", [Layout(), TINY])
+def test_gap_ranges(spark, layout):
     df = _times(spark, ["00:00", "00:05", "00:20", "00:25", "00:40"])
     got = [(r.gap_start.strftime("%H:%M"), r.gap_end.strftime("%H:%M"), r.missing_count)
-           for r in find_time_gaps(df, "5m", layout=layout, hot_symbols=hot).orderBy("gap_start").collect()]
+           for r in find_time_gaps(df, "5m", layout=layout).orderBy("gap_start").collect()]
     assert got == [("00:10", "00:15", 2), ("00:30", "00:35", 2)]
-    assert find_time_gaps(df, "5m", max_allow_miss=2, layout=layout, hot_symbols=hot).count() == 0
+    assert find_time_gaps(df, "5m", max_allow_miss=2, layout=layout).count() == 0
     off = _times(spark, ["00:00", "00:05", "00:12", "00:15"])
     got = [(r.gap_start.strftime("%H:%M"), r.gap_end.strftime("%H:%M"), r.missing_count)
-           for r in find_time_gaps(off, "5m", layout=layout, hot_symbols=hot).collect()]
+           for r in find_time_gaps(off, "5m", layout=layout).collect()]
     assert got == [("00:10", "00:10", 1)]
 
 
 def test_gaps_by_candle_and_grid(spark):
     df = _times(spark, ["00:00", "00:05", "00:20", "00:25", "00:40"]).withColumnRenamed("ts", "open_time")
-    got = sorted((r.gap_before, r.missing_candles) for r in check_gaps(df, "5m", hot_symbols=[]).collect())
+    got = sorted((r.gap_before, r.missing_candles) for r in check_gaps(df, "5m").collect())
     assert got == [("2024-01-01T00:20:00+00:00", 2), ("2024-01-01T00:40:00+00:00", 2)]
     off = _times(spark, ["00:00", "00:05", "00:12", "00:15"]).withColumnRenamed("ts", "open_time")
     got = sorted((r.gap_before, r.missing_candles) for r in check_gaps(off, "5m", layout=TINY).collect())

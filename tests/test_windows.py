@@ -15,7 +15,7 @@ from barforge.operators.series import SeriesPlan
 from barforge.sources.fixtures import hourly_bars, supplier_bars
 from datasets import SF001
 
-TINY = Layout(hot_rows=40, block_rows=96, bucket_steps=16, ewm_block=16)
+TINY = Layout(block_rows=96, bucket_steps=16, ewm_block=16)
 
 
 def _series(spark, values, symbol="A"):
@@ -25,10 +25,10 @@ def _series(spark, values, symbol="A"):
     return df.withColumn("x", nan_to_null("x")), pdf
 
 
-def _ewm(spark, df, alpha, mp, layout=Layout(), hot=(), dense=False):
-    plan = SeriesPlan(df, layout=layout, hot_symbols=list(hot))
-    out = plan.map(lambda d, b: add_ewms(d.filter("_core"), [EwmSpec("y", "x", alpha, mp, dense)], blocked=b,
-                                         block_rows=layout.block_rows, cap=layout.ewm_block))
+def _ewm(spark, df, alpha, mp, layout=Layout(), dense=False):
+    plan = SeriesPlan(df, layout=layout)
+    out = plan.map(lambda d: add_ewms(d.filter("_core"), [EwmSpec("y", "x", alpha, mp, dense)],
+                                      block_rows=layout.block_rows, cap=layout.ewm_block))
     return out.orderBy("symbol", "ts").toPandas()["y"].to_numpy(dtype="float64", na_value=np.nan)
 
 
@@ -40,33 +40,33 @@ def test_ewm_hole_golden(spark):
 
 
 @pytest.mark.parametrize("alpha", [2 / 51, 1 / 14, 1 / 3, 1.0])
-@pytest.mark.parametrize("hot", [False, True])
-def test_ewm_matches_pandas(spark, alpha, hot):
+@pytest.mark.parametrize("split", [False, True])
+def test_ewm_matches_pandas(spark, alpha, split):
     rng = np.random.default_rng(7)
     x = np.cumsum(rng.normal(size=700)) + 50
     x[rng.random(700) < 0.15] = np.nan
     x[:3] = np.nan
     df, pdf = _series(spark, list(x))
-    got = _ewm(spark, df, alpha, 5, TINY if hot else Layout(ewm_block=32), ["A"] if hot else [])
+    got = _ewm(spark, df, alpha, 5, TINY if split else Layout(ewm_block=32))
     exp = pdf["x"].ewm(alpha=alpha, adjust=False, min_periods=5).mean().to_numpy()
     assert np.allclose(got, exp, rtol=1e-10, atol=1e-10, equal_nan=True)
 
 
 @pytest.mark.parametrize("alpha", [2 / 51, 1 / 3, 1.0])
-@pytest.mark.parametrize("hot", [False, True])
-def test_ewm_dense_matches_pandas(spark, alpha, hot):
+@pytest.mark.parametrize("split", [False, True])
+def test_ewm_dense_matches_pandas(spark, alpha, split):
     rng = np.random.default_rng(11)
     x = np.cumsum(rng.normal(size=900)) + 80
     x[:30] = np.nan  # leading NULLs only
     df, pdf = _series(spark, list(x))
-    got = _ewm(spark, df, alpha, 9, TINY if hot else Layout(ewm_block=64), ["A"] if hot else [], dense=True)
+    got = _ewm(spark, df, alpha, 9, TINY if split else Layout(ewm_block=64), dense=True)
     exp = pdf["x"].ewm(alpha=alpha, adjust=False, min_periods=9).mean().to_numpy()
     assert np.allclose(got, exp, rtol=1e-10, atol=1e-10, equal_nan=True)
 
 
-def _features(spark, layout=Layout(), hot="auto", horizons=(1, 5, 15)):
+def _features(spark, layout=Layout(), horizons=(1, 5, 15)):
     rows = prepare_rows(hourly_bars(spark, SF001))
-    f = add_all_features(rows, interval="1h", layout=layout, hot_symbols=hot, horizons=horizons,
+    f = add_all_features(rows, interval="1h", layout=layout, horizons=horizons,
                          dedup_order=dedup_order(rows.columns), keep=keep_valid(), close_known=True)
     return f.toPandas().sort_values(["symbol", "ts"]).reset_index(drop=True), rows.toPandas()
 
@@ -90,21 +90,21 @@ def test_all_features_vs_pandas(spark):
     _compare(got, golden.all_features(raw))
 
 
-def test_all_features_split_symbols(spark):
-    """Every symbol forced through the hot layout (tiny blocks, halos,
-    two-level prefixes): same result."""
-    got, raw = _features(spark, layout=TINY, hot="auto")
+@pytest.mark.parametrize("layout", [TINY, Layout(block_rows=75, bucket_steps=1000, ewm_block=1)])
+def test_all_features_any_block_size(spark, layout):
+    """Tiny blocks with halos, blocks hardly longer than their halo: same result."""
+    got, raw = _features(spark, layout=layout)
     _compare(got, golden.all_features(raw))
 
 
 def test_invariant_to_partitioning_and_order(spark):
     rows = prepare_rows(supplier_bars(spark, SF001))
-    a = add_all_features(rows, interval="1d", hot_symbols=[]).orderBy("symbol", "ts").toPandas()
+    a = add_all_features(rows, interval="1d").orderBy("symbol", "ts").toPandas()
     shuffled = rows.repartition(3).orderBy(F.rand(3))
-    b = add_all_features(shuffled, interval="1d", hot_symbols=[]).orderBy("symbol", "ts").toPandas()
+    b = add_all_features(shuffled, interval="1d").orderBy("symbol", "ts").toPandas()
     _compare(a, b)
     one = rows.filter(F.col("symbol") == a["symbol"].iloc[0])
-    c = add_all_features(one, interval="1d", hot_symbols=[]).orderBy("ts").toPandas()
+    c = add_all_features(one, interval="1d").orderBy("ts").toPandas()
     _compare(c, a[a["symbol"] == a["symbol"].iloc[0]].reset_index(drop=True))
 
 
@@ -122,10 +122,9 @@ def test_single_indicators(spark):
 def test_prefix_stability(spark):
     """Features of a row do not change when later rows are appended."""
     rows = prepare_rows(hourly_bars(spark, SF001)).filter(F.col("symbol") == "view")
-    full = add_all_features(rows, interval="1h", horizons=None, hot_symbols=[]).toPandas()
+    full = add_all_features(rows, interval="1h", horizons=None).toPandas()
     cut = full["ts"].iloc[len(full) // 2]
-    part = add_all_features(rows.filter(F.col("ts") <= F.lit(cut)), interval="1h", horizons=None,
-                            hot_symbols=[]).toPandas()
+    part = add_all_features(rows.filter(F.col("ts") <= F.lit(cut)), interval="1h", horizons=None).toPandas()
     _compare(part, full[full["ts"] <= cut].reset_index(drop=True))
 
 
@@ -136,8 +135,7 @@ def test_hand_goldens(spark):
     df = spark.createDataFrame(pdf)
     cfg = WindowsConfig(ma=(2,), vol=(2,), vol_feat=(2,), rsi=2, macd_fast=2, macd_slow=3, macd_signal=2,
                         bb_period=2, atr_period=1)
-    out = add_all_features(df, cfg, interval="1h", horizons=None, trim_warmup=False,
-                           hot_symbols=[]).orderBy("ts").toPandas()
+    out = add_all_features(df, cfg, interval="1h", horizons=None, trim_warmup=False).orderBy("ts").toPandas()
     assert out["ret_simple"].isna().tolist() == [True, True, False, True]
     assert out["ret_simple"][2] == -1.0
     assert out["atr_1"][0] == 2.0  # true range of the first row = high - low
@@ -147,12 +145,10 @@ def test_hand_goldens(spark):
 def test_rsi_and_percent_b_nulls(spark):
     pdf = pd.DataFrame({"symbol": "A", "ts": pd.date_range("2024-01-01", periods=40, freq="h"),
                         "open": 1.0, "high": 100.0, "low": 0.5, "close": np.arange(1.0, 41.0), "volume": 1.0})
-    out = add_all_features(spark.createDataFrame(pdf), interval="1h", horizons=None, trim_warmup=False,
-                           hot_symbols=[]).orderBy("ts").toPandas()
+    out = add_all_features(spark.createDataFrame(pdf), interval="1h", horizons=None, trim_warmup=False).orderBy("ts").toPandas()
     assert out["rsi_14"].isna().all()  # no loss -> NULL, not 100
     flat = pdf.assign(close=5.0)
-    out2 = add_all_features(spark.createDataFrame(flat), interval="1h", horizons=None, trim_warmup=False,
-                            hot_symbols=[]).orderBy("ts").toPandas()
+    out2 = add_all_features(spark.createDataFrame(flat), interval="1h", horizons=None, trim_warmup=False).orderBy("ts").toPandas()
     assert out2["bb_percent_b"].isna().all()
 
 
@@ -160,30 +156,29 @@ def test_targets(spark):
     pdf = pd.DataFrame({"symbol": "A", "ts": pd.date_range("2024-01-01", periods=20, freq="h"),
                         "close": np.exp(np.linspace(0, 1, 20))})
     df = spark.createDataFrame(pdf)
-    assert make_targets(df, (1, 5, 15), hot_symbols=[]).count() == 5
+    assert make_targets(df, (1, 5, 15)).count() == 5
     c = pd.DataFrame({"symbol": "A", "ts": pd.date_range("2024-01-01", periods=4, freq="h"),
                       "close": [1.0, np.exp(0.1), 1.0, 1.0]})
-    t = make_targets(spark.createDataFrame(c), (1,), "binclass", 0.0, hot_symbols=[]).orderBy("ts").toPandas()
+    t = make_targets(spark.createDataFrame(c), (1,), "binclass", 0.0).orderBy("ts").toPandas()
     assert t["target_up_1"].tolist() == [1, 0, 0]
     r = np.cumsum([0, 0.02, 0.005, -0.005, -0.02])
     m = pd.DataFrame({"symbol": "A", "ts": pd.date_range("2024-01-01", periods=6, freq="h"),
                       "close": np.exp(np.append(r, 1.0))})
     md = spark.createDataFrame(m).withColumn("close", F.when(F.col("close") != F.lit(float(np.e)), F.col("close")))
-    mt = make_targets(md, (1,), "multiclass", 0.01, hot_symbols=[]).orderBy("ts").toPandas()
+    mt = make_targets(md, (1,), "multiclass", 0.01).orderBy("ts").toPandas()
     assert mt["target_cls_1"].tolist()[:4] == [1, 0, 0, -1]
     assert pd.isna(mt["target_cls_1"].tolist()[4])
 
 
-@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("split", [False, True])
 @pytest.mark.parametrize("dense", [False, True])
-def test_ewm_long_decay(spark, hot, dense):
+def test_ewm_long_decay(spark, split, dense):
     """Nothing is cut off: after the last non-zero value the mean decays for
     thousands of rows and, like the step-by-step recurrence, never becomes zero."""
     rng = np.random.default_rng(5)
     x = np.concatenate([rng.random(50), np.zeros(12_000), rng.random(3), np.zeros(300)])
     df, pdf = _series(spark, list(x))
-    got = _ewm(spark, df, 1 / 14, 14, Layout(hot_rows=40, block_rows=2048, bucket_steps=512, ewm_block=256) if hot else Layout(),
-               ["A"] if hot else [], dense=dense)
+    got = _ewm(spark, df, 1 / 14, 14, Layout(block_rows=2048, bucket_steps=512, ewm_block=256) if split else Layout(), dense=dense)
     y, want = x[0], []
     for v in x:
         y = y * (13 / 14) + v / 14
@@ -216,3 +211,47 @@ def test_rsi_of_long_flat_and_rising_runs(spark):
             want.append(100 - 100 / (1 + gain / loss) if loss else np.nan)
         assert np.isnan(rsi).sum() == 14, name
         assert np.allclose(rsi[14:], want[13:], atol=1e-6)
+
+
+def test_layout_numbers_and_halos(spark):
+    """Exact numbers whatever the sizes, rows without a time first, one of equal times kept, halos of both sides."""
+    rng = np.random.default_rng(8)
+    rows = [(s, None if rng.random() < 0.02 else int(t), float(v)) for s, n in (("A", 300), ("B", 7), (None, 40), ("C", 1))
+            for t, v in zip(rng.integers(0, 50 * n, n), rng.random(n))]
+    rows += [("A", r[1], r[2] + 1) for r in rows[:30]]
+    df = spark.createDataFrame(rows, "symbol string, m long, x double").withColumn("ts", F.timestamp_seconds(F.col("m") * 60))
+    want = {}
+    for s in {r[0] for r in rows}:
+        best = {}
+        for _, m, x in (r for r in rows if r[0] == s):
+            best[m] = max(best.get(m, -1.0), x)
+        for i, m in enumerate(sorted(best, key=lambda v: (v is not None, v or 0))):
+            want[s, m] = (i + 1, best[m])
+    for layout in (Layout(), Layout(block_rows=4, bucket_steps=3, ewm_block=4), Layout(block_rows=64, bucket_steps=10**6, ewm_block=4)):
+        plan = SeriesPlan(df, back=3, ahead=2, dedup_order=[F.col("x").desc()], layout=layout)
+        got = [(None if r.symbol == "\0" else r.symbol, r.m, r.x, r._rn, r._blk, r._core) for r in plan.blocks().collect()]
+        assert {(s, m): (n, x) for s, m, x, n, _, core in got if core} == want
+        assert sum(r[-1] for r in got) == len(want)
+        for s in {r[0] for r in got}:
+            size, total = layout.block_rows, sum(k[0] == s for k in want)
+            for b in range((total - 1) // size + 1):
+                held = sorted(r[3] for r in got if r[0] == s and r[4] == b)
+                assert held == list(range(max(1, b * size + 1 - 3), min(total, (b + 1) * size + 2) + 1))
+
+
+def test_ewm_of_many_blocks_is_linear(spark):
+    """100,000 blocks of one series: their maps are composed as a tree, in seconds."""
+    import time
+    from barforge.operators import ewm
+    n = 100_000
+    maps = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(
+        F.when(i == 5, F.lit(0.0)).otherwise(F.lit(0.9)).alias("A_E"), (i % 7).cast("double").alias("B_E"),
+        F.when(i == 5, F.lit(0.0)).otherwise(F.lit(1.0)).alias("A_f"))).alias("_m"))
+    began = time.time()
+    got = maps.select(ewm._scan("_m", F.lit(3.0)).alias("y")).first().y
+    assert time.time() - began < 30
+    y, want = 3.0, []
+    for i in range(1, n + 1):
+        want.append(y)
+        y = (0.0 if i == 5 else 0.9) * y + i % 7
+    assert np.allclose(got, want, rtol=1e-12)
