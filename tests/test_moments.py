@@ -73,3 +73,16 @@ def test_a_later_save_corrects_an_earlier_one(spark, fmt):
     assert closes() == [2.0] * 5 + [3.0] * 7
     save_raw(_candles(spark, [0], 1.0, 0), out, fmt, "1h")
     assert closes() == [1.0] + [2.0] * 4 + [3.0] * 7 and saves(spark, root) == [3, 4]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_files_of_a_save_do_not_grow_with_its_symbols(spark, fmt):
+    out = scratch_path(spark, "saves")
+    names = [None, "", " a ", "00700", 'q"u,o', "x/y=z", *(f"S{i}" for i in range(300))]
+    symbol = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("id") + 1).cast("int"))
+    bars = _candles(spark, [0], 2.0, 9).crossJoin(spark.range(len(names))).withColumn("symbol", symbol).drop("id")
+    save_raw(bars, out, fmt, "1h")
+    root = f"{out}/interval=1h"
+    assert spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").option("recursiveFileLookup", True).load(f"{root}/_ingest_seq=1").count() <= 8
+    got = load_and_prepare(spark, root, fmt=fmt).select("symbol").collect()
+    assert sorted(str(r.symbol) for r in got) == sorted(str(n) for n in names if n != "")  # as with folders of symbols, '' is none
