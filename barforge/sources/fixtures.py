@@ -51,8 +51,10 @@ def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         li.select(
             F.concat(F.lit("S"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0")).alias("symbol"),
             F.col("l_shipdate").alias("open_time"),
-            price.alias("price"), order.alias("ord"), taker.alias("taker"),
-            "l_quantity", "l_extendedprice")
+            "l_quantity", "l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", taker.alias("taker"))
+        # few lines share a supplier and a day: they are dealt as they are, which is less than the groups' first and last ones
+        .repartition("symbol", "open_time")
+        .select("symbol", "open_time", price.alias("price"), order.alias("ord"), "taker", "l_quantity", "l_extendedprice")
         .groupBy("symbol", "open_time")
         .agg(
             F.min_by("price", "ord").alias("open"),

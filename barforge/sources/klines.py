@@ -10,7 +10,7 @@ of the latest page (file name order, then place in the file, then position insid
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.functions.intervals import ingest_step_ms
@@ -68,24 +68,26 @@ def read_kline_pages(spark: SparkSession, root: str, start=None, end=None,
 
 def write_kline_pages(bars: DataFrame, root: str, interval: str = "1m", again: DataFrame | None = None) -> None:
     """Land candles as exchange-style pages (one page of at most
-    ``MAX_LIMIT`` steps per line, partitioned by symbol).  Used to build
+    ``MAX_LIMIT`` steps per line, partitioned by symbol, compressed).  Used to build
     ingest fixtures from the test tables.  ``again``: candles whose pages
     follow a symbol's other pages in the same file."""
     rows = bars.withColumn("_pass", F.lit(0))
     if again is not None:
         rows = rows.unionByName(again.withColumn("_pass", F.lit(1)))
     step_ms = ingest_step_ms(interval) if interval in ("1m", "3m", "5m", "15m", "30m", "1h") else None
+    own = ["open_time", *(name for name in PAGE_FIELDS if name not in ("open_time", "_ignore"))]
+    # a symbol's pages are one file: its candles are dealt once, as numbers, and become text where the pages are made
+    rows = rows.select("symbol", "_pass", *own).repartition("symbol")
     ms = F.unix_millis(F.col("open_time").cast("timestamp"))
     page = F.floor(ms / F.lit((step_ms or 86_400_000) * MAX_LIMIT))
-    arr = F.array(
-        ms.cast("string"), F.col("open").cast("string"), F.col("high").cast("string"),
-        F.col("low").cast("string"), F.col("close").cast("string"), F.col("volume").cast("string"),
-        F.unix_millis(F.col("close_time").cast("timestamp")).cast("string"),
-        F.col("quote_volume").cast("string"), F.col("trades").cast("string"),
-        F.col("taker_buy_base").cast("string"), F.col("taker_buy_quote").cast("string"), F.lit("0"))
+
+    def text(c: str) -> Column:
+        return (F.unix_millis(F.col(c).cast("timestamp")) if c in ("open_time", "close_time") else F.col(c)).cast("string")
+
+    arr = F.array(*[F.lit("0") if c == "_ignore" else text(c) for c in PAGE_FIELDS])
     pages = (rows.select("symbol", "_pass", page.alias("_page"), ms.alias("_ms"), arr.alias("_r"))
              .groupBy("symbol", "_pass", "_page")
              .agg(F.sort_array(F.collect_list(F.struct("_ms", "_r"))).alias("_rows"))
              .select("symbol", "_pass", "_page", F.to_json(F.transform("_rows", lambda s: s["_r"])).alias("value")))
-    (pages.repartition("symbol").sortWithinPartitions("symbol", "_pass", "_page")
-     .select("symbol", "value").write.mode("overwrite").partitionBy("symbol").text(root))
+    (pages.sortWithinPartitions("symbol", "_pass", "_page")
+     .select("symbol", "value").write.mode("overwrite").option("compression", "gzip").partitionBy("symbol").text(root))

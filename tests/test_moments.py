@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from barforge.operators.moments import add_sliding_moments, pieces
 from barforge.session import path_exists, scratch_path
 from barforge.sources.files import compact_raw, load_and_prepare, save_raw, saves
+from barforge.sources.klines import read_kline_pages, write_kline_pages
 
 
 def test_pieces_fill_every_width():
@@ -86,3 +87,13 @@ def test_files_of_a_save_do_not_grow_with_its_symbols(spark, fmt):
     assert spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").option("recursiveFileLookup", True).load(f"{root}/_ingest_seq=1").count() <= 8
     got = load_and_prepare(spark, root, fmt=fmt).select("symbol").collect()
     assert sorted(str(r.symbol) for r in got) == sorted(str(n) for n in names if n != "")  # as with folders of symbols, '' is none
+
+
+def test_pages_are_compressed_and_hold_the_same_candles(spark):
+    root = scratch_path(spark, "pages")
+    bars = _candles(spark, range(1500), 2.5, 9)
+    write_kline_pages(bars, root, "1h", again=_candles(spark, [3], 0.1, 1))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path").collect()
+    assert [f.path.rpartition(".")[2] for f in files] == ["gz"]
+    got = read_kline_pages(spark, root, whole_files=False).orderBy("open_time").collect()
+    assert [(r.close, r.trades) for r in got] == [(0.1, 1) if h == 3 else (2.5, 9) for h in range(1500)]
