@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barforge.operators.moments import add_sliding_moments, pieces
 from barforge.session import path_exists, scratch_path
-from barforge.sources.files import compact_raw, load_and_prepare, save_raw, saves
+from barforge.sources.files import compact_raw, load_and_prepare, load_time_index, save_features, save_raw, saves
 from barforge.sources.klines import read_kline_pages, write_kline_pages
 
 
@@ -97,3 +97,13 @@ def test_pages_are_compressed_and_hold_the_same_candles(spark):
     assert [f.path.rpartition(".")[2] for f in files] == ["gz"]
     got = read_kline_pages(spark, root, whole_files=False).orderBy("open_time").collect()
     assert [(r.close, r.trades) for r in got] == [(0.1, 1) if h == 3 else (2.5, 9) for h in range(1500)]
+
+
+def test_features_are_saved_compressed(spark):
+    root = scratch_path(spark, "features")
+    frame = spark.createDataFrame([(None, datetime(2024, 1, 1), 0.1), ("00700", datetime(2024, 1, 2), None)], "symbol string, ts timestamp_ntz, sma_5 double")
+    path = save_features(frame, f"{root}/part.csv", "CSV", compression="gzip")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").collect()
+    assert listed and all(f.path.endswith(".csv.gz") for f in listed)
+    got = load_time_index(spark, path).orderBy("ts").collect()
+    assert [(r.symbol, r.sma_5) for r in got] == [(None, 0.1), ("00700", None)]
