@@ -10,7 +10,8 @@ non-NULL values were seen.
 
 Every row is an affine map ``y -> A*y + B``; maps compose associatively.
 
-1. Rows are cut into e-blocks of ``Be`` consecutive rows (``_rn``).  Inside
+1. Rows that stand in a layout block with a later block in their series (``_more``: none in a series of one
+   block) are cut into e-blocks of ``Be`` consecutive rows (``_rn``).  Inside
    an e-block, with ``L = sum(ln A)`` and ``S = sum(B * exp(-L))`` as running
    window sums, the value assuming a zero carry-in is ``exp(L) * S``.  ``Be``
    bounds ``|L|`` so the exponentials stay finite.  The first non-NULL row
@@ -19,20 +20,18 @@ Every row is an affine map ``y -> A*y + B``; maps compose associatively.
 2. One summary row per e-block (count, first/last non-NULL position, block
    map).  Prefix counts and last positions give each block's first-row map,
    then the composite block map ``(A_E, B_E)``.
-3. Carry-in of block E: the maps of the e-blocks before it, composed in
-   order, nothing cut off, as a tree.  A layout block's e-blocks are one sorted
-   array (bounded by ``block_rows / Be``) that is scanned from its carry-in; the
-   layout blocks' composite maps (one row each) are scanned first.  A scan cuts
+3. Carry-in of a layout block: the maps of the e-blocks before it, composed in
+   order, nothing cut off, as a tree: those of a layout block first (an array
+   bounded by ``block_rows / Be``), then the layout blocks' composites.  A scan cuts
    its array into pieces and scans the pieces' composites before the pieces, so
    its work stays near the array's length.  A value
    that decays below the smallest double stays that, with its sign, as a
    step-by-step recurrence does: it never turns into zero.
-4. The carries are collected per (symbol, layout block) into one sorted
-   array (bounded by ``block_rows / Be``) and joined back on exactly the
-   row side's partitioning keys, so the row side is not shuffled again.
+4. The carries, one row for every layout block but the first ones, are broadcast to the
+   rows, which are not shuffled again, and the rows' maps are composed by doubling steps
+   (numpy, a batch of sorted rows at a time, ``barforge.operators.arrow``).
 
-The row-level work never leaves the ``(symbol, _blk)`` partitions; the
-summary tables hold one row per ``Be`` bars.
+The summary tables hold one row per ``Be`` bars of series of more than one layout block.
 """
 
 from __future__ import annotations
@@ -41,10 +40,12 @@ import math
 from dataclasses import dataclass
 from typing import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barforge.operators.series import BLK, CORE, RN
+from barforge.operators.arrow import AT, Step, add_doubles, numbers
+from barforge.operators.series import BLK, CORE, MORE, RN
 from barforge.session import persist
 
 TINY = 5e-324         # the smallest double
@@ -143,22 +144,156 @@ def _prefix(tbl: DataFrame, keys: list[str], cols: dict[str, tuple[str, str]]) -
     return out.select(*rest, *fixed)
 
 
-def add_ewms(df: DataFrame, specs: Sequence[EwmSpec], symbol: str = "symbol", ts: str = "ts",
-             block_rows: int = 1 << 20, cap: int = 512) -> DataFrame:
-    """Add one column per spec to ``df`` (laid out by ``SeriesPlan``: rows
-    carry ``_blk``, ``_rn`` and ``_core``).  Halo rows pass through with
-    NULL results; only core rows enter the scan."""
+def _groups(specs: Sequence[EwmSpec], cap: int) -> list[tuple[int, list[EwmSpec]]]:
+    """Specs by the size of their e-blocks."""
     groups: dict[int, list[EwmSpec]] = {}
     for s in specs:
         if s.dense and s.alpha >= 1.0:  # e-blocks of one row: nothing to sum
             s = EwmSpec(s.name, s.x, s.alpha, s.min_periods, False)
         groups.setdefault(eblock_size(s.alpha, cap), []).append(s)
-    for be, group in sorted(groups.items(), reverse=True):
-        df = _add_group(df, group, be, symbol, ts, block_rows)
+    return sorted(groups.items(), reverse=True)
+
+
+def ewm_carries(df: DataFrame, specs: Sequence[EwmSpec], symbol: str = "symbol", ts: str = "ts",
+                block_rows: int = 1 << 20, cap: int = 512) -> list[DataFrame]:
+    """For each group of specs what reaches the layout blocks from those before them: one row per block that is not
+    the first of its series.  Only rows of ``df`` (laid out by ``SeriesPlan``) whose series goes on after their block are read."""
+    rows = df.filter(F.col(MORE)) if MORE in df.columns else df
+    rows = rows.filter(F.col(CORE)) if CORE in df.columns else rows
+    return [_carries(rows, group, be, symbol, ts, block_rows) for be, group in _groups(specs, cap)]
+
+
+def add_ewms(df: DataFrame, specs: Sequence[EwmSpec], symbol: str = "symbol", ts: str = "ts",
+             block_rows: int = 1 << 20, cap: int = 512, carries: list[DataFrame] | None = None) -> DataFrame:
+    """Add one column per spec to ``df`` (laid out by ``SeriesPlan``: rows
+    carry ``_blk``, ``_rn`` and ``_core``).  Halo rows pass through with
+    NULL results; only core rows enter the scan.  ``carries``: those of the same rows, by default
+    found here."""
+    given = df.columns
+    df = join_carries(df, specs, ewm_carries(df, specs, symbol, ts, block_rows, cap) if carries is None else carries, symbol, cap)
+    if AT not in given:
+        df = df.withColumn(AT, F.row_number().over(Window.partitionBy(symbol, BLK).orderBy(ts)))
+    return add_doubles(df, [ewm_step(specs, cap)]).select(*given, *[s.name for s in specs])
+
+
+def join_carries(df: DataFrame, specs: Sequence[EwmSpec], carries: list[DataFrame], symbol: str = "symbol", cap: int = 512) -> DataFrame:
+    """``df`` with a column of carries for every group of specs, which ``ewm_step`` reads; its rows stay in their order."""
+    for (_, group), carry in zip(_groups(specs, cap), carries):
+        carry = F.broadcast(carry.toDF("_csym", "_cblk", _carry_name(group)))
+        df = df.join(carry, F.col(symbol).eqNullSafe(F.col("_csym")) & (F.col(BLK) == F.col("_cblk")), "left").drop("_csym", "_cblk")
     return df
 
 
-def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: str, block_rows: int) -> DataFrame:
+def _carry_name(group: list[EwmSpec]) -> str:
+    return f"_carry_{group[0].name}"
+
+
+def ewm_step(specs: Sequence[EwmSpec], cap: int = 512) -> Step:
+    """The columns of ``add_ewms`` as a step over numbered rows with their carries."""
+    groups = [group for _, group in _groups(specs, cap)]
+    return [s.name for group in groups for s in group], _recursion(groups)
+
+
+def _state(text: str) -> list:
+    """(value, rows since the last observation, observations) of each spec, None without one."""
+    values = [float(v) if v else None for v in text.split(",")]
+    return [None if values[i] is None else tuple(values[i:i + 3]) for i in range(0, len(values), 3)]
+
+
+def _maps(x: np.ndarray, ok: np.ndarray, first: np.ndarray, of: np.ndarray, alpha: float, states: dict[int, tuple]):
+    """(A, B) of every row: ``ok`` marks observations, ``first`` the first rows of series, ``of`` the series of a row;
+    ``states`` are those in which series go on, by their number.  Also the observations counted up to the row."""
+    at = np.arange(len(x))
+    begin = first[of]
+    prev = np.concatenate([[-1], np.maximum.accumulate(np.where(ok, at, -1))[:-1]])
+    gap, value, count = np.full(len(first), -1.0), np.zeros(len(first)), np.zeros(len(first))
+    for i, state in states.items():
+        value[i], gap[i], count[i] = state
+    inside, goes_on = prev >= begin, gap[of] >= 0
+    d = np.where(inside, at - prev, at - begin + gap[of] + 1.0)
+    o = (1.0 - alpha) ** d
+    after = ok & (inside | goes_on)
+    a = np.where(ok, np.where(after, np.where(d == 1, 1.0 - alpha, o / (o + alpha)), 0.0), 1.0)
+    b = np.where(ok, np.where(after, np.where(d == 1, alpha * x, alpha * x / (o + alpha)), x), 0.0)
+    start = first[gap >= 0]
+    if len(start):
+        y0, added = value[gap >= 0], b[start]
+        y = a[start] * y0 + added
+        b[start] = np.where((y == 0) & (y0 != 0) & (a[start] > 0) & (added == 0), np.copysign(TINY, y0), y)
+    seen = np.cumsum(ok)
+    return a, b, seen - (seen[begin] - ok[begin]) + count[of]
+
+
+def _kept_tiny(y: np.ndarray, decays: np.ndarray, first: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """``y`` with the smallest double of its sign where a value that only ``decays`` has become zero."""
+    if y.all():
+        return y
+    mark = ~decays | (y != 0)
+    mark[first] = True
+    last = np.maximum.accumulate(np.where(mark, np.arange(len(y)), 0))
+    return np.where((y == 0) & (y[last] != 0), np.copysign(TINY, y[last]), y)
+
+
+def _recursion(groups: list[list[EwmSpec]]):
+    """Step of ``add_doubles``: the values of core rows, from the carries of a block or the state after the last batch."""
+    specs = [s for group in groups for s in group]
+
+    def run(batches):
+        left = None  # states after the last row
+        for b, at in batches:
+            begins = at == 1
+            series = np.cumsum(begins)  # 0 goes on from the last batch
+            rows = np.flatnonzero(b.column(CORE).to_numpy(zero_copy_only=False)) if CORE in b.schema.names else np.arange(b.num_rows)
+            states = {0: left} if left is not None and not begins[0] else {}
+            where, offset = np.flatnonzero(begins), 0
+            for group in groups:
+                carried = b.column(_carry_name(group)).take(where)
+                for j in np.flatnonzero(carried.is_valid().to_numpy(zero_copy_only=False)):
+                    states.setdefault(int(series[where[j]]), [None] * len(specs))[offset:offset + len(group)] = _state(carried[int(j)].as_py())
+                offset += len(group)
+            out = [(np.zeros(b.num_rows), np.zeros(b.num_rows, bool)) for _ in specs]
+            last = int(series[-1])
+            left = states.get(last)
+            if len(rows):
+                mine = series[rows]
+                first = np.flatnonzero(np.diff(mine, prepend=-1))
+                of = np.cumsum(np.bincount(first, minlength=len(rows))) - 1
+                number = {int(s): i for i, s in enumerate(mine[first])}
+                given = {c: tuple(v[rows] for v in numbers(b.column(c))) for c in {s.x for s in specs}}
+                a, y, seen = (np.empty((len(specs), len(rows))) for _ in range(3))
+                with np.errstate(all="ignore"):
+                    for j, s in enumerate(specs):
+                        own = {number[k]: v[j] for k, v in states.items() if k in number and v[j] is not None}
+                        a[j], y[j], seen[j] = _maps(*given[s.x], first, of, s.alpha, own)
+                    decays = (a > 0) & (y == 0)
+                    a[:, first] = 0.0
+                    # maps of 1, 2, 4, ... rows; nothing is composed beyond a series' first row here
+                    k, longest = 1, int(np.diff(first, append=len(rows)).max())
+                    while k < longest:
+                        y[:, k:] += np.where(a[:, k:] != 0, a[:, k:] * y[:, :-k], 0.0)
+                        a[:, k:] = a[:, k:] * a[:, :-k]
+                        k *= 2
+                    y = np.array([_kept_tiny(v, free, first, of) for v, free in zip(y, decays)])
+                for j, s in enumerate(specs):
+                    out[j][0][rows], out[j][1][rows] = y[j], seen[j] >= max(1, int(s.min_periods))
+                if mine[-1] == last:
+                    left = [_after(y[j], seen[j], given[s.x][1], first[-1], own) for j, (s, own) in enumerate(zip(specs, left or [None] * len(specs)))]
+            yield out
+    return run
+
+
+def _after(y: np.ndarray, seen: np.ndarray, ok: np.ndarray, begin: int, before: tuple | None) -> tuple | None:
+    """The state after the last row of a series that begins, in this batch, at ``begin``."""
+    if not seen[-1]:
+        return None
+    held = np.flatnonzero(ok[begin:])
+    gap = len(ok) - begin - 1 - held[-1] if len(held) else len(ok) - begin + before[1]
+    return float(y[-1]), float(gap), float(seen[-1])
+
+
+def _carries(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: str, block_rows: int) -> DataFrame:
+    """symbol, ``_blk`` and, per spec in one text, (value, rows since the last observation, observations) before the block.
+    (The text of a double is exact, and Spark's writer of Arrow goes through a batch's arrays anew for every row.)"""
     keys = [symbol]
     d = df.withColumn("_eb", F.floor((F.col(RN) - 1) / be).cast("long"))
     wb = Window.partitionBy(symbol, BLK, "_eb").orderBy(ts)
@@ -173,20 +308,15 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
         return F.exp(F.lit(-_ln1m(specs[i].alpha)) * (F.col(RN) - start).cast("double"))
 
     # --- 1. in-block running sums -------------------------------------------
-    # dense inputs (no NULL after the first value): one running sum
-    #   G = sum(x * g); the value assuming a zero carry-in is
-    #   a * exp(ln(1-a) * (t - start)) * (G - x_f * g_f)
+    # dense inputs (no NULL after the first value): the value assuming a zero carry-in is
+    #   a * exp(ln(1-a) * (t - start)) * (G - x_f * g_f) with G = sum(x * g), a plain aggregate below
     # general inputs: running sums of ln A and B * exp(-L) (holes renormalise)
-    step1 = []
-    for i, s in enumerate(specs):
-        x = F.col(s.x)
-        step1.append(F.count(x).over(upto).alias(f"_lc{i}"))
-        if s.dense:
-            step1.append(F.sum(x * g(i)).over(upto).alias(f"_G{i}"))
-        else:
-            step1.append(F.last(F.when(x.isNotNull(), F.col(RN)), True).over(before).alias(f"_pv{i}"))
-    d = d.select("*", *step1)
     if gen:
+        step1 = []
+        for i in gen:
+            x = F.col(specs[i].x)
+            step1 += [F.count(x).over(upto).alias(f"_lc{i}"), F.last(F.when(x.isNotNull(), F.col(RN)), True).over(before).alias(f"_pv{i}")]
+        d = d.select("*", *step1)
         step2 = []
         for i in gen:
             s = specs[i]
@@ -245,7 +375,6 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
     if dense:
         # plain aggregate over the input rows: no window recomputation
         base = df.withColumn("_eb", F.floor((F.col(RN) - 1) / be).cast("long"))
-        base = base.filter(F.col(CORE)) if CORE in base.columns else base
         summ = base.groupBy(symbol, BLK, "_eb").agg(*[c for i in dense for c in dense_cols(i)])
         summ = dense_finish(summ, dense)
         parts.append(summ.select(
@@ -256,14 +385,16 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
                          F.col(f"Lend{i}").alias("L_end"), F.col(f"locend{i}").alias("loc_end"))
                 for i in dense])).alias("s")).select(symbol, BLK, "_eb", "s.*"))
     if gen:
-        core = d.filter(F.col(CORE)) if CORE in d.columns else d
-        parts.append(long_rows(core, gen, gen_cols))
+        parts.append(long_rows(d, gen, gen_cols))
     longf = parts[0]
     for p_ in parts[1:]:
         longf = longf.unionByName(p_)
     pk = ["spec", *keys]
     # one row per e-block, read by the prefixes, the maps and the scan: the windows under it run once
     longf = persist(longf)
+    upto_block = Window.partitionBy(*pk).orderBy(BLK).rowsBetween(Window.unboundedPreceding, 0)
+    observed = (longf.groupBy(*pk, BLK).agg(F.sum("n_obs").alias("n"), F.max("last_obs").alias("last"))
+                .select(*pk, (F.col(BLK) + 1).alias(BLK), F.sum("n").over(upto_block).alias("n"), F.max("last").over(upto_block).alias("last")))
     longf = _prefix(longf, pk, {"cnt_before": ("n_obs", "sum"), "prev_obs": ("last_obs", "max")})
 
     alpha = F.element_at(F.array(*[F.lit(float(s.alpha)) for s in specs]), F.col("spec") + 1)
@@ -283,42 +414,18 @@ def _add_group(df: DataFrame, specs: list[EwmSpec], be: int, symbol: str, ts: st
         F.when(has, F.exp("L_end") * F.col("b_f") + F.col("loc_end")).otherwise(F.lit(0.0)).alias("B_E"))
 
     # --- 3. carry-in: the maps composed in order ------------------------------
-    blocks = longf.groupBy(*pk, BLK).agg(F.sort_array(F.collect_list(
-        F.struct("_eb", "A_E", "B_E", "A_f", "b_f", "cb", "f_rn", "x_f"))).alias("_ebs"))
+    blocks = longf.groupBy(*pk, BLK).agg(F.sort_array(F.collect_list(F.struct("_eb", "A_E", "B_E", "A_f"))).alias("_ebs"))
     maps = blocks.select(*pk, BLK, _composite(F.col("_ebs")).alias("_m"))
     starts = maps.groupBy(*pk).agg(F.sort_array(F.collect_list(F.struct(BLK, "_m.*"))).alias("_ms"))
+    # one place more than blocks: what reaches the last block of the series
+    one = F.struct((F.element_at("_ms", -1)[BLK] + 1).alias(BLK), F.lit(1.0).alias("A_E"), F.lit(0.0).alias("B_E"), F.lit(1.0).alias("A_f"))
+    starts = starts.select(*pk, F.concat("_ms", F.array(one)).alias("_ms"))
     starts = starts.select(*pk, F.explode(F.arrays_zip(F.col(f"_ms.{BLK}").alias(BLK), _scan("_ms", F.lit(0.0)).alias("_c0"))).alias("_s"))
-    blocks = blocks.join(starts.select(*pk, f"_s.{BLK}", "_s._c0"), [*pk, BLK])
-
-    # --- 4. one sorted array of carries per (symbol, layout block) ----------
-    per_blk = block_rows // be
-    blocks = blocks.withColumn("_c", _scan("_ebs", F.col("_c0")))
-    carried = F.zip_with("_ebs", "_c", lambda e, c: F.struct(
-        (e["_eb"] - F.col(BLK) * per_blk).alias("_idx"), c.alias("c"), e["A_f"].alias("A_f"), e["b_f"].alias("b_f"),
-        e["cb"].alias("cb"), e["f_rn"].alias("f_rn"), e["x_f"].alias("x_f")))
-    arrays = blocks.select(*keys, BLK, "spec", carried.alias("_cy")).groupBy(*keys, BLK).agg(*[
-        F.first(F.when(F.col("spec") == i, F.col("_cy")), True).alias(f"_cy{i}") for i in range(len(specs))])
-    d = d.join(arrays, [*keys, BLK])
-    idx = (F.col("_eb") - F.col(BLK) * per_blk + 1).cast("int")
-    # halo rows (other blocks' rows copied in for bounded frames) get NULL
-    ok = (idx >= 1) & (idx <= F.size(F.col("_cy0")))
-    if CORE in d.columns:
-        ok = ok & F.col(CORE)
-    outs = []
-    for i, s in enumerate(specs):
-        cy = F.when(ok, F.element_at(F.col(f"_cy{i}"), idx))
-        if s.dense:
-            a, la = float(s.alpha), _ln1m(s.alpha)
-            gf = cy["x_f"] * F.exp(F.lit(-la) * (cy["f_rn"] - start).cast("double"))
-            loc = F.lit(a) * F.exp(F.lit(la) * (F.col(RN) - start).cast("double")) * (F.col(f"_G{i}") - gf)
-            lt = F.lit(la) * (F.col(RN) - cy["f_rn"]).cast("double")
-            y = _decayed(F.exp(lt) * (cy["A_f"] * cy["c"] + cy["b_f"]) + loc, cy["c"], cy["A_f"], cy["b_f"] + loc)
-        else:
-            y = _decayed(F.exp(F.col(f"_cum{i}")) * (cy["A_f"] * cy["c"] + cy["b_f"]) + F.col(f"_loc{i}"),
-                         cy["c"], cy["A_f"], cy["b_f"] + F.col(f"_loc{i}"))
-        y = F.when(F.col(f"_lc{i}") == 0, cy["c"]).otherwise(y)
-        mp = max(1, int(s.min_periods))
-        outs.append(F.when(cy["cb"] + F.col(f"_lc{i}") >= mp, y).alias(s.name))
-    d = d.select("*", *outs)
-    drop = ["_eb"] + [f"_{p}{i}" for i in range(len(specs)) for p in ("lc", "pv", "cum", "loc", "cy", "G")]
-    return d.drop(*drop)
+    carried = starts.select(*pk, f"_s.{BLK}", "_s._c0").join(observed, [*pk, BLK]).where(F.col("n") > 0)
+
+    # --- 4. one row per (symbol, layout block) ----------
+    def of(i, value):
+        return F.max(F.when(F.col("spec") == i, value.cast("double")))
+    gap = F.col(BLK) * block_rows - F.col("last")
+    return carried.groupBy(*keys, BLK).agg(F.concat_ws(",", *[
+        F.coalesce(v.cast("string"), F.lit("")) for i in range(len(specs)) for v in (of(i, F.col("_c0")), of(i, gap), of(i, F.col("n")))]).alias("_carry"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 
-from typing import Iterable
+from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from barforge.config import DEFAULT_HORIZONS, DEFAULT_TASK, DEFAULT_THRESH, Layout, WindowsConfig
 from barforge.functions.columns import safe_div
 from barforge.functions.intervals import step_micros
-from barforge.operators.ewm import EwmSpec, add_ewms
-from barforge.operators.moments import add_sliding_moments
-from barforge.operators.series import CORE, RN, SeriesPlan
+from barforge.operators.arrow import AT, Step, add_doubles, numbers
+from barforge.operators.ewm import EwmSpec, ewm_carries, ewm_step, join_carries
+from barforge.operators.moments import moments_step
+from barforge.operators.series import CORE, MORE, RN, SeriesPlan
 from barforge.session import persist
 
 RAW_FEATURE_BASE = ["symbol", "ts", "open", "high", "low", "close", "volume", "close_time",
@@ -71,6 +72,12 @@ def label(fr: Column, task: str, thresh: float) -> Column:
 def _window_columns(d: DataFrame, cfg: WindowsConfig, w, horizons, task, thresh, wanted: Iterable[str] | None = None) -> DataFrame:
     """Lags, leads, ratios, and the rolling family from shared sliding moments; ``wanted``: only these of it."""
     cols = set(d.columns)
+    return _rolled_columns(_lagged_columns(d, w, horizons, task, thresh), cfg, feature_names(cfg, cols) if wanted is None else wanted)
+
+
+def _lagged_columns(d: DataFrame, w, horizons, task, thresh) -> DataFrame:
+    """Lags, leads, ratios, and the row's place in its block."""
+    cols = set(d.columns)
     close, high, low, vol = F.col("close"), F.col("high"), F.col("low"), F.col("volume")
     prev = F.lag(close, 1).over(w)
     exprs: dict[str, Column] = {}
@@ -89,9 +96,13 @@ def _window_columns(d: DataFrame, cfg: WindowsConfig, w, horizons, task, thresh,
             exprs[target_names([h], task)[0]] = label(fr, task, thresh)
         max_h = max(horizons) if len(horizons) else 0
         exprs["_tail_ok"] = F.lead(F.lit(1), max_h).over(w).isNotNull() if max_h > 0 else F.lit(True)
-    d = d.select("*", *[e.alias(n) for n, e in exprs.items()])
+    exprs[AT] = F.row_number().over(w)
+    return d.select("*", *[e.alias(n) for n, e in exprs.items()])
 
-    names = set(feature_names(cfg, cols) if wanted is None else wanted)
+
+def _rolled_columns(d: DataFrame, cfg: WindowsConfig, wanted: Iterable[str], before: Sequence[Step] = (), drop: Iterable[str] = ()) -> DataFrame:
+    """The rolling family of ``_lagged_columns``, as far as ``wanted``, after the steps ``before``; without the columns in ``drop``."""
+    cols, names = set(d.columns), set(wanted)
     bands = {f"bb_mid_{cfg.bb_period}", f"bb_up_{cfg.bb_period}", f"bb_low_{cfg.bb_period}", "bb_percent_b"} & names
     rolled = {  # feature -> (input, width, what of it)
         **{f"sma_{k}": ("close", k, "mean") for k in cfg.ma}, **{f"vol_sma_{k}": ("volume", k, "mean") for k in cfg.ma},
@@ -105,13 +116,26 @@ def _window_columns(d: DataFrame, cfg: WindowsConfig, w, horizons, task, thresh,
     widths: dict[str, set[int]] = {}
     for c, k, _ in rolled.values():
         widths.setdefault(c, set()).add(k)
-    d = add_sliding_moments(d, w, widths, {c for c, _, x in rolled.values() if x == "std"})
+    steps = list(before)
+    if widths:
+        steps.append(moments_step(widths, {c for c, _, x in rolled.values() if x == "std"}))
+    if steps:
+        d = add_doubles(d, steps, drop)
     out = [F.col(f"_{x}{k}_{c}").alias(n) for n, (c, k, x) in rolled.items()]
     if "trades" not in cols:
         out += [F.lit(None).cast("double").alias(n) for k in cfg.vol_feat for n in (f"trades_roll_mean_{k}", f"trades_roll_std_{k}") if n in names]
     return d.select(*[c for c in d.columns if not c.startswith(("_mean", "_std"))], *out)
 
 
+def _difference(x: str, y: str):
+    """Step of ``add_doubles``: x - y."""
+    def run(batches):
+        for b, _ in batches:
+            (left, held), (right, also) = numbers(b.column(x)), numbers(b.column(y))
+            yield [(left - right, held & also)]
+    return run
+
+
 def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval: str = "5m",
                      horizons: Iterable[int] | None = DEFAULT_HORIZONS, task: str = DEFAULT_TASK,
                      thresh: float = DEFAULT_THRESH, trim_warmup: bool = True,
@@ -181,26 +205,32 @@ def add_all_features(bars: DataFrame, cfg: WindowsConfig | None = None, interval
             specs.append(EwmSpec.wilder(f"atr_{cfg.atr_period}", "_tr", cfg.atr_period))
         macd = macd_name
         sig = f"macd_signal_{cfg.macd_signal}"
+        sizes = {"block_rows": layout.block_rows, "cap": layout.ewm_block}
         if specs:
-            # narrow frame (raw columns + EWM inputs), read twice by the scan;
+            # narrow frame (raw columns + EWM inputs), read again where a series goes on after its block;
             # with the FLT-2 filter in the pass, close has no NULL: close, its
             # changes and MACD are NULL-free after their first value (dense);
             # the true range may have holes (NULL high and low)
             d = persist(d)
-            d = add_ewms(d, specs, block_rows=layout.block_rows, cap=layout.ewm_block)
-        keep_cols = [c for c in d.columns if c not in ("_gain", "_loss", "_tr", "_prev")
-                     and not (c.startswith("_ema") and int(c[4:]) not in (*cfg.ma, cfg.macd_fast, cfg.macd_slow))]
+            carries = ewm_carries(d, specs, **sizes)
+
+        # lags, leads and the rows' places in one window pass over the same partitions; the
+        # recursive and rolling means follow in that order
+        d = _lagged_columns(d, w, horizons, task, thresh)
+
+        steps, more = [], d.filter(F.col(MORE))
+        if specs:
+            d, more = (join_carries(x, specs, carries, cap=layout.ewm_block) for x in (d, more))
+            steps.append(ewm_step(specs, layout.ewm_block))
         if need_macd:
-            d = d.select(*keep_cols, (F.col(f"_ema{cfg.macd_fast}") - F.col(f"_ema{cfg.macd_slow}")).alias(macd))
-        else:
-            d = d.select(*keep_cols)
+            steps.append(([macd], _difference(f"_ema{cfg.macd_fast}", f"_ema{cfg.macd_slow}")))
         if need_signal:
-            d = persist(d)
-            d = add_ewms(d, [EwmSpec.span(sig, macd, cfg.macd_signal, dense=dn)],
-                         block_rows=layout.block_rows, cap=layout.ewm_block)
-        # bounded frames, lags and leads last: one window pass over the same
-        # partitions (sorted again, not re-shuffled)
-        d = _window_columns(d, cfg, w, horizons, task, thresh, feats)
+            signal = [EwmSpec.span(sig, macd, cfg.macd_signal, dense=dn)]
+            d = join_carries(d, signal, ewm_carries(add_doubles(more, steps), signal, **sizes), cap=layout.ewm_block)
+            steps.append(ewm_step(signal, layout.ewm_block))
+        inputs = {"_gain", "_loss", "_tr", "_prev", AT, MORE, *(c for c in d.columns if c.startswith("_carry_")),
+                  *(f"_ema{s}" for s in spans if s not in cfg.ma)}
+        d = _rolled_columns(d, cfg, feats, steps, drop=inputs)
         extra = {}
         if "_bbm" in d.columns:
             p, k = cfg.bb_period, F.lit(float(cfg.bb_std))

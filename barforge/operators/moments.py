@@ -1,7 +1,7 @@
 """Sliding counts, sums and sums of squared deviations, shared by all widths.
 
 A window of 4k rows is four windows of k rows that end here and k, 2k and 3k rows before;
-so windows of 1, 4, 16, ... rows follow from each other by lags, and
+so windows of 1, 4, 16, ... rows follow from each other by lags (numpy, a batch of sorted rows at a time), and
 a window of any width is a few of them (50 = 3 * 16 + 2 * 1).  All widths of an input share these
 levels, and a row costs a number of steps that grows with the logarithm of the widest window.
 
@@ -15,9 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+import numpy as np
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
+from barforge.operators.arrow import AT, Step, add_doubles, numbers
+
 #: Windows of a level that make up one of the next.  Every level is a pass over the rows, so few levels are better than few lags.
 RADIX = 4
 
@@ -34,58 +37,81 @@ def pieces(width: int) -> list[tuple[int, int]]:
     return out
 
 
-def _names(column: str, level: int, spread: bool) -> list[str]:
-    return [f"_{part}{level}_{column}" for part in ("n", "m", "q")[:3 if spread else 2]]
-
-
-def merged(windows: list[list[str]], out: list[str]) -> tuple[list[str], list[str]]:
-    """SQL of the window that neighbouring windows, columns (n, m[, q]) each, make together: its count and
-    mean, and then, in a projection that has these, its sum of squares."""
-    n = " + ".join(f"`{w[0]}`" for w in windows)
-    first = f"`{windows[0][1]}`"
-    m = " + ".join([first, *(f"(`{w[1]}` - {first}) * `{w[0]}` / greatest({n}, 1D)" for w in windows[1:])])
-    squares = [f"`{w[2]}`" for w in windows] + [f"`{w[0]}` * (`{w[1]}` - `{out[1]}`) * (`{w[1]}` - `{out[1]}`)" for w in windows] * (len(windows) > 1) if len(out) > 2 else []
-    return [f"{n} AS `{out[0]}`", f"{m} AS `{out[1]}`"], [f"{' + '.join(squares)} AS `{out[2]}`"] if squares else []
+def merged(windows: list[tuple]) -> tuple:
+    """The window that neighbouring windows (n, m, q or None) make together."""
+    n = sum(w[0] for w in windows)
+    first = windows[0][1]
+    m = first
+    for w in windows[1:]:
+        m = m + (w[1] - first) * w[0] / np.maximum(n, 1.0)
+    if windows[0][2] is None:
+        return n, m, None
+    q = sum(w[2] for w in windows)
+    if len(windows) > 1:
+        for w in windows:
+            q = q + w[0] * (w[1] - m) * (w[1] - m)
+    return n, m, q
+
+
+def _lagged(window: tuple, k: int, at: np.ndarray) -> tuple:
+    """The windows that end ``k`` rows before, empty before a block's first row."""
+    if not k:
+        return window
+    out = []
+    for part in window:
+        if part is not None:
+            shifted = np.zeros_like(part)
+            shifted[k:] = part[:-k]
+            shifted[at <= k] = 0.0
+            part = shifted
+        out.append(part)
+    return tuple(out)
+
+
+def _sliding(x: np.ndarray, held: np.ndarray, at: np.ndarray, widths: list[int], spread: bool) -> dict[int, tuple]:
+    """(n, m, q) of the last k rows, for every width k."""
+    levels = [(held.astype(np.float64), x, np.zeros(len(x)) if spread else None)]
+    for level in range(pieces(max(widths))[0][0]):
+        levels.append(merged([_lagged(levels[level], RADIX ** level * i, at) for i in range(RADIX)]))
+    return {k: merged([_lagged(levels[level], offset, at) for level, offset in pieces(k)]) for k in widths}
+
+
+def _moments(widths: dict[str, list[int]], spread: set[str]):
+    """Step of ``add_doubles``: the rows that the windows of the next batch reach back to are kept."""
+    back = max(k for ks in widths.values() for k in ks) - 1
+
+    def run(batches):
+        tail = None
+        for b, at in batches:
+            n, given = b.num_rows, {c: numbers(b.column(c)) for c in widths}
+            if tail is not None:
+                at = np.concatenate([tail[0], at])
+                given = {c: tuple(np.concatenate(pair) for pair in zip(tail[1][c], own)) for c, own in given.items()}
+            means, deviations = [], []
+            with np.errstate(all="ignore"):
+                for c, ks in widths.items():
+                    found = _sliding(*given[c], at, ks, c in spread)
+                    for k in ks:
+                        count, mean, squares = (part[-n:] if part is not None else None for part in found[k])
+                        means.append((mean, count == k))
+                        if squares is not None:
+                            deviations.append((np.sqrt(squares / k), count == k))
+            from_row = max(0, len(at) - back)
+            tail = at[from_row:], {c: (x[from_row:], held[from_row:]) for c, (x, held) in given.items()}
+            yield means + deviations
+    return run
+
+
+def moments_step(widths: dict[str, Iterable[int]], spread: Iterable[str] = ()) -> Step:
+    """The columns of ``add_sliding_moments`` as a step over numbered rows."""
+    widths, spread = {c: sorted(set(ks)) for c, ks in widths.items() if ks}, set(spread)
+    names = [f"_mean{k}_{c}" for c, ks in widths.items() for k in ks] + [f"_std{k}_{c}" for c, ks in widths.items() if c in spread for k in ks]
+    return names, _moments(widths, spread)
 
 
 def add_sliding_moments(d: DataFrame, w: WindowSpec, widths: dict[str, Iterable[int]], spread: Iterable[str] = ()) -> DataFrame:
     """``d`` with ``_mean{k}_{column}``, and for the columns in ``spread`` ``_std{k}_{column}`` (population), over the
     last k rows of ``w`` for every k in ``widths[column]``: NULL unless all k rows hold a value."""
-    widths = {c: sorted(set(ks)) for c, ks in widths.items() if ks}
-    if not widths:
+    if not any(widths.values()):
         return d
-    spread, given = set(spread), d.columns
-
-    def own(c: str, level: int) -> list[str]:
-        return _names(c, level, c in spread)
-
-    def lags(wanted: list[tuple[str, int]]) -> list[Column]:
-        return [F.lag(f"`{n}`", k, 0.0).over(w).alias(f"{n}_at{k}") for n, k in wanted]
-
-    def at(names: list[str], k: int) -> list[str]:
-        return [f"{n}_at{k}" if k else n for n in names]
-
-    kept = [f"`{c}`" for c in given]
-    base = []
-    for c in widths:
-        x = f"CAST(`{c}` AS DOUBLE)"
-        base += [f"{e} AS `{n}`" for e, n in zip((f"IF({x} IS NULL, 0D, 1D)", f"coalesce({x}, 0D)", "0D"), own(c, 0))]
-    d = d.selectExpr(*kept, *base)
-    levels = [n for c in widths for n in own(c, 0)]
-    top = {c: pieces(max(ks))[0][0] for c, ks in widths.items()}
-    for level in range(1, max(top.values()) + 1):
-        rising = [c for c in widths if top[c] >= level]
-        steps = [RADIX ** (level - 1) * i for i in range(RADIX)]
-        d = d.select("*", *lags([(n, k) for c in rising for n in own(c, level - 1) for k in steps[1:]]))
-        made = [merged([at(own(c, level - 1), k) for k in steps], own(c, level)) for c in rising]
-        d = d.selectExpr("*", *[e for means, _ in made for e in means])
-        d = d.selectExpr(*kept, *[f"`{n}`" for n in levels], *[f"`{n}`" for c in rising for n in own(c, level)[:2]], *[e for _, squares in made for e in squares])
-        levels += [n for c in rising for n in own(c, level)]
-    wanted = {(n, offset) for c, ks in widths.items() for k in ks for level, offset in pieces(k) if offset for n in own(c, level)}
-    d = d.select("*", *lags(sorted(wanted)))
-    whole = [merged([at(own(c, level), offset) for level, offset in pieces(k)], [f"_{part}of{k}_{c}" for part in ("n", "m", "q")[:len(own(c, 0))]])
-             for c, ks in widths.items() for k in ks]
-    d = d.selectExpr("*", *[e for means, _ in whole for e in means]).selectExpr("*", *[e for _, squares in whole for e in squares])
-    out = [f"IF(`_nof{k}_{c}` = {k}, `_mof{k}_{c}`, NULL) AS `_mean{k}_{c}`" for c, ks in widths.items() for k in ks]
-    out += [f"IF(`_nof{k}_{c}` = {k}, sqrt(`_qof{k}_{c}` / {k}), NULL) AS `_std{k}_{c}`" for c, ks in widths.items() if c in spread for k in ks]
-    return d.selectExpr(*kept, *out)
+    return add_doubles(d.withColumn(AT, F.row_number().over(w)), [moments_step(widths, spread)], drop=(AT,))

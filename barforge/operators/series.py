@@ -33,7 +33,9 @@ from barforge.functions.columns import epoch_micros
 BLK = "_blk"
 RN = "_rn"
 CORE = "_core"
-INTERNAL = (BLK, RN, CORE)
+#: Does the series go on after the row's block?
+MORE = "_more"
+INTERNAL = (BLK, RN, CORE, MORE)
 
 
 #: Stands for a NULL symbol while rows are keyed by it (joins match no NULLs).
@@ -96,11 +98,12 @@ class SeriesPlan:
         return df if self.keep is None else df.filter(self.keep)
 
     def numbered(self) -> DataFrame:
-        """Rows with ``_rn``, their exact number in the series (from 1)."""
+        """Rows with ``_rn``, their exact number in the series (from 1), and ``_total``, its length."""
         rows = self._bucketed()
         counts = rows.groupBy(F.col(self.symbol).alias("_osym"), F.col("_tb").alias("_otb")).agg(F.count(F.lit(1)).alias("_cnt"))
         before = Window.partitionBy("_osym").orderBy("_otb").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = counts.select("_osym", "_otb", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+        offsets = counts.select("_osym", "_otb", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                                F.sum("_cnt").over(Window.partitionBy("_osym")).alias("_total"))
         place = F.row_number().over(Window.partitionBy(self.symbol, "_tb").orderBy(self.ts)).alias("_at")
         same = F.col(self.symbol) == F.col("_osym")
         if dict(rows.dtypes)[self.symbol] != "string":  # a NULL symbol has no marker then
@@ -113,7 +116,7 @@ class SeriesPlan:
         df, size = self.numbered(), self.layout.block_rows
         blk = F.floor((F.col(RN) - 1) / size).cast("long")
         if not (self.back or self.ahead):
-            return df.withColumns({BLK: blk, CORE: F.lit(True)})
+            return df.withColumns({BLK: blk, CORE: F.lit(True), MORE: (blk + 1) * size < F.col("_total")}).drop("_total")
         place = (F.col(RN) - 1) % size
         own = F.struct(blk.alias("b"), F.lit(True).alias("c"))
         after = F.struct((blk + 1).alias("b"), F.lit(False).alias("c"))
@@ -121,7 +124,8 @@ class SeriesPlan:
         last, first = place >= size - self.back, (place < self.ahead) & (blk > 0)
         to = (F.when(last & first, F.array(own, after, ahead)).when(last, F.array(own, after))
               .when(first, F.array(own, ahead)).otherwise(F.array(own)))
-        return df.withColumn("_t", F.explode(to)).withColumns({BLK: F.col("_t.b"), CORE: F.col("_t.c")}).drop("_t")
+        return df.withColumn("_t", F.explode(to)).withColumns(
+            {BLK: F.col("_t.b"), CORE: F.col("_t.c"), MORE: (F.col("_t.b") + 1) * size < F.col("_total")}).drop("_t", "_total")
 
     # ------------------------------------------------------------------
     def map(self, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
