@@ -249,12 +249,13 @@ def _linked(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     texts = texts.select("doc", "text")
 
     in_bands = nodes.select("node", "sketch").mapInArrow(_bands, "bucket long, node long")
-    centres = stored(in_bands.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
-                     .where("centre <> last").select("bucket", "centre"), "star-centres")
-    stars = stored(in_bands.join(centres, "bucket").select("bucket", "centre", "node").distinct(), "stars")
+    # most buckets hold one node: a one beside it takes less room in a shuffle than the node again
+    centres = stored(in_bands.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
+                     .where("n > 1").select("bucket", "centre"), "star-centres")
+    stars = stored(in_bands.join(centres, "bucket").select("centre", "node").distinct(), "stars")
     texts = stored(texts.join(stars.select(F.col("node").alias("doc")).distinct(), "doc", "left_semi"), "involved-texts")
     wide = nodes.select("node", "wide", "n_shingles")
-    pairs = (stars.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = (stars.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))
              .join(wide.toDF("a", "wide_a", "n_a"), "a").join(wide.toDF("b", "wide_b", "n_b"), "b").select("a", "b", "wide_a", "wide_b", "n_a", "n_b")
              .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
     close = stored(pairs.mapInArrow(_agree(percent), "a long, b long"), "star-pairs")
