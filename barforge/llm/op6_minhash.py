@@ -5,6 +5,9 @@ densification (128 bins) and texts with equal sets become one class.  Bands of 4
 bins put the classes into buckets.  In a bucket the smallest class is the centre of
 a star: only (centre, member) edges are candidates, so pairs grow with members.
 
+Sketches and texts are not shuffled to find out which of them are needed: a bitmap of bounded size is held against
+them where they lie.  It may let more pass, never less, and exact joins follow on what has passed.
+
 Candidates whose wide sketches agree well enough are confirmed on full shingle sets, a star at a
 time, and links are joined into components.  Where a star's members are then still in several
 components, those outside the largest one are held against all members of other components, on
@@ -39,6 +42,12 @@ MARGINS = ((16, 25), (200, 12), (None, 8))
 STAR_ROWS = 256
 #: About as many askers, and as many members, of a star meet in a task of the second pass, and so many shingles of either.
 BLOCK_ROWS, BLOCK_SHINGLES = 4096, 1 << 20
+#: Bits of a bitmap for each id in it, and the most it may have (16 MB): beyond that it only lets more pass.
+MARK_BITS, MOST_MARKS = 64, 1 << 27
+#: Bits in a value of Spark's bitmap_construct_agg.
+PAGE_BITS = 1 << 15
+#: Bits of a bucket that are left out where buckets are only counted: 40 are enough to tell most apart.
+KEY_SHIFT = 24
 
 
 def wide_sketch(tool: OnePermutation, shingles: np.ndarray, own: np.ndarray) -> bytes:
@@ -49,20 +58,51 @@ def wide_sketch(tool: OnePermutation, shingles: np.ndarray, own: np.ndarray) ->
     return (low[::2] << 4 | low[1::2]).tobytes()
 
 
+def marked(ids: DataFrame):
+    """A broadcast bitmap of the written ids (id, a hash), by their last bits."""
+    size = max(PAGE_BITS, min(MOST_MARKS, 1 << (MARK_BITS * ids.count()).bit_length()))
+    at = F.col("id").bitwiseAND(F.lit(size - 1))
+    pages = (ids.select(F.floor(at / PAGE_BITS).alias("page"), at.bitwiseAND(F.lit(PAGE_BITS - 1)).alias("bit"))
+             .repartition("page").groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
+    out = np.zeros((size // PAGE_BITS, PAGE_BITS // 8), np.uint8)
+    for page, bits in pages:
+        out[page] = np.frombuffer(bits, np.uint8)
+    return ids.sparkSession.sparkContext.broadcast(out.ravel())
+
+
+def passes(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether the ids have their bit in the bitmap: all that were put in, and few others."""
+    at = ids & (8 * len(bits) - 1)
+    return (bits[at >> 3] >> (at & 7) & 1).astype(bool)
+
+
 def _sketch(batches):
-    sketch, wide = OnePermutation(BINS), OnePermutation(WIDE_BINS, probes=False)
-    own = salt(WIDE_BINS, 17)
+    sketch = OnePermutation(BINS)
     for b in batches:
-        sizes, keys, bins, bits = [], [], [], []
+        sizes, keys, bins = [], [], []
         for shingles in shingle_sets(b.column("text")):
             some = len(shingles) > 0
             sizes.append(len(shingles))
             keys.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if some else None)
             bins.append(sketch(shingles).astype(np.uint16).tobytes() if some else None)
-            bits.append(wide_sketch(wide, shingles, own) if some else None)
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc"), b.column("doc_id"), pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (keys, bins, bits))],
-            names=["doc", "doc_id", "n_shingles", "class", "sketch", "wide"])
+            [b.column("doc"), b.column("doc_id"), pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (keys, bins))],
+            names=["doc", "doc_id", "n_shingles", "class", "sketch"])
+
+
+def _involved(marks):
+    """The texts whose id passes, with their wide sketches."""
+    def run(batches):
+        tool, own = OnePermutation(WIDE_BINS, probes=False), salt(WIDE_BINS, 17)
+        for b in batches:
+            b = b.filter(pa.array(passes(marks.value, b.column("id").to_numpy())))
+            sizes, wide = [], []
+            for shingles in shingle_sets(b.column("text")):
+                sizes.append(len(shingles))
+                wide.append(wide_sketch(tool, shingles, own) if len(shingles) else None)
+            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(sizes, pa.int64()), pa.array(wide, pa.binary()), b.column("text")],
+                                             names=["doc", "n_shingles", "wide", "text"])
+    return run
 
 
 def _unpacked(column: pa.Array) -> np.ndarray:
@@ -82,16 +122,31 @@ def _least_agreement(percent: int, sizes: np.ndarray) -> np.ndarray:
     return np.maximum(0, percent - margin) / 100
 
 
-def _bands(batches):
-    """One row for each band: its four bins are one 64-bit word."""
+def _band_words(batches, firsts):
+    """Of the rows whose id passes: their numbers and, by row, a 64-bit word for each band's four bins."""
     bands = BINS // ROWS
     own = salt(bands, 13)
     for b in batches:
-        n = b.num_rows
-        words = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint64).reshape(n, bands)
-        keys = mix(words ^ own).view(np.int64).ravel()
-        yield pa.RecordBatch.from_arrays([pa.array(keys), b.column("node").take(pa.array(np.repeat(np.arange(n), bands)))],
-                                         names=["bucket", "node"])
+        b = b.filter(pa.array(passes(firsts.value, b.column("id").to_numpy())))
+        words = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint64).reshape(-1, bands)
+        yield b.column("doc").to_numpy(), mix(words ^ own)
+
+
+def _band_keys(firsts):
+    """One row for each band: its word without the last bits."""
+    def run(batches):
+        for _, words in _band_words(batches, firsts):
+            yield pa.RecordBatch.from_arrays([pa.array((words >> np.uint64(KEY_SHIFT)).view(np.int64).ravel())], names=["id"])
+    return run
+
+
+def _bands(firsts, busy):
+    """One row for each band whose key passes."""
+    def run(batches):
+        for docs, words in _band_words(batches, firsts):
+            at, band = np.nonzero(passes(busy.value, (words >> np.uint64(KEY_SHIFT)).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)[at, band]), pa.array(docs[at])], names=["bucket", "node"])
+    return run
 
 
 def _agree(percent: int):
@@ -241,20 +296,25 @@ def _linked(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Of the written texts (doc, a row number; doc_id; text): the sketches of every row, and
     (class, root, first) of every class of equal sets that has words.  root names the component;
     first (no_id, doc_id, doc) is its row with the smallest doc_id, null ids last."""
-    rows = stored(texts.mapInArrow(_sketch, "doc long, doc_id long, n_shingles long, class binary, sketch binary, wide binary"), "sketches")
+    rows = stored(texts.mapInArrow(_sketch, "doc long, doc_id long, n_shingles long, class binary, sketch binary"), "sketches")
     nodes = rows.where("n_shingles > 0").groupBy("class").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc")).alias("first"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"),
-        F.first("n_shingles").alias("n_shingles"))
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc")).alias("first"), F.first("n_shingles").alias("n_shingles"))
     nodes = stored(nodes.withColumn("node", F.col("first.doc")), "classes")
     texts = texts.select("doc", "text")
 
-    in_bands = nodes.select("node", "sketch").mapInArrow(_bands, "bucket long, node long")
-    # most buckets hold one node: a one beside it takes less room in a shuffle than the node again
+    # most buckets hold one node: they are counted without it, and only the others' members are dealt by bucket
+    firsts = marked(nodes.select(F.xxhash64("node").alias("id")))
+    sketches = rows.where("n_shingles > 0").select("doc", F.xxhash64("doc").alias("id"), "sketch")
+    busy = stored(sketches.mapInArrow(_band_keys(firsts), "id long").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"), "busy-buckets")
+    in_bands = sketches.mapInArrow(_bands(firsts, marked(busy)), "bucket long, node long")
+    in_bands = stored(in_bands.join(nodes.select("node"), "node", "left_semi").select("bucket", "node"), "bands")
     centres = stored(in_bands.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
                      .where("n > 1").select("bucket", "centre"), "star-centres")
     stars = stored(in_bands.join(centres, "bucket").select("centre", "node").distinct(), "stars")
-    texts = stored(texts.join(stars.select(F.col("node").alias("doc")).distinct(), "doc", "left_semi"), "involved-texts")
-    wide = nodes.select("node", "wide", "n_shingles")
+    members = marked(stars.select("node").distinct().select(F.xxhash64("node").alias("id")))
+    texts = stored(texts.select("doc", F.xxhash64("doc").alias("id"), "text")
+                   .mapInArrow(_involved(members), "doc long, n_shingles long, wide binary, text string"), "involved-texts")
+    wide, texts = texts.select("doc", "wide", "n_shingles"), texts.select("doc", "text")
     pairs = (stars.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))
              .join(wide.toDF("a", "wide_a", "n_a"), "a").join(wide.toDF("b", "wide_b", "n_b"), "b").select("a", "b", "wide_a", "wide_b", "n_a", "n_b")
              .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))

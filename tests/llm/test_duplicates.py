@@ -304,3 +304,36 @@ def test_fingerprints_of_one_and_no_row(spark):
     assert r.edited_text == "a b c da b c " and r.near_next == 1.0
     assert op9_fingerprints.compare_with_next(docs.limit(0)).count() == 0
     assert op9_fingerprints.fingerprint(docs).first().fingerprint == r.fingerprint
+
+
+def test_bitmap_lets_all_its_ids_pass(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    ids, others = rng.integers(-2**63, 2**63, 3000), rng.integers(-2**63, 2**63, 20_000)
+    frame = spark.createDataFrame([(int(i),) for i in ids], "id long")
+    bits = op6_minhash.marked(frame).value
+    assert op6_minhash.passes(bits, ids).all() and op6_minhash.passes(bits, others).mean() < 0.03
+    assert not op6_minhash.passes(op6_minhash.marked(frame.limit(0)).value, ids).any()
+    monkeypatch.setattr(op6_minhash, "MOST_MARKS", op6_minhash.PAGE_BITS)
+    bits = op6_minhash.marked(frame).value
+    assert len(bits) == op6_minhash.PAGE_BITS // 8 and op6_minhash.passes(bits, ids).all()
+
+
+@pytest.mark.parametrize("all_pass", [False, True])
+def test_texts_and_sketches_are_not_shuffled_to_be_chosen(spark, monkeypatch, all_pass):
+    """The texts of star members are found where they lie, classes without sketches; what passes too much changes nothing."""
+    plans, whole = {}, op6_minhash.stored
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return whole(df, name)
+
+    monkeypatch.setattr(op6_minhash, "stored", noted)
+    if all_pass:
+        monkeypatch.setattr(op6_minhash, "marked", lambda ids: spark.sparkContext.broadcast(np.full(4096, 255, np.uint8)))
+    rng = random.Random(23)
+    rows = awkward(rng) + [(1000 + i, t) for i, t in enumerate(chain(rng, 8))]
+    rows += [(2000 + i, t) for i, (_, t) in enumerate(rows[:4])]
+    got = [tuple(r) for r in op6_minhash.near_duplicates(documents(spark, rows)).collect()]
+    assert order(got) == order(brute_components(rows))
+    assert "Exchange" not in plans["involved-texts"]
+    assert "sketch:binary" not in plans["classes"]
