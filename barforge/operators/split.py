@@ -96,8 +96,12 @@ def find_cuts(df: DataFrame, levels: list[Column], positions: tuple[int, ...]) -
         open_cuts = [i for i, c in enumerate(cuts) if not c.found or not c.at]
         if not open_cuts:
             break
-        of = F.explode(F.filter(F.array(*[F.when(cuts[i].inside(levels), F.lit(i)) for i in open_cuts]), lambda i: i.isNotNull()))
-        counts = df.select(of.alias("i"), level.alias("b")).groupBy("i", "b").agg(F.count(F.lit(1)).alias("n"))
+        # rows are counted by the cuts they lie inside of; few counts, not the rows, are then dealt to these
+        sides = [cuts[i].inside(levels).alias(f"c{i}") for i in open_cuts]
+        rows = df.select(*sides, level.alias("b")).where(reduce(Column.__or__, (F.col(f"c{i}") for i in open_cuts)))
+        counts = rows.groupBy(*[f"c{i}" for i in open_cuts], "b").agg(F.count(F.lit(1)).alias("n"))
+        of = F.explode(F.filter(F.array(*[F.when(F.col(f"c{i}"), F.lit(i)) for i in open_cuts]), lambda i: i.isNotNull()))
+        counts = counts.select(of.alias("i"), "b", "n").groupBy("i", "b").agg(F.sum("n").alias("n"))
         order = Window.partitionBy("i").orderBy(F.col("b").asc_nulls_last())
         need = F.element_at(F.array(*[F.lit(c.position - c.before).cast("long") for c in cuts]), F.col("i") + 1)
         upto = counts.withColumn("upto", F.sum("n").over(order))
